@@ -25,14 +25,21 @@ def discover_categories(df: DataFrame, col: str = "weather_description") -> list
     return names
 
 
+def category_names(df: DataFrame, col: str, categories: list[str] | None) -> list[str]:
+    return discover_categories(df, col) if categories is None else [normalize_text(c) for c in categories]
+
+
 def one_hot(df: DataFrame, col: str = "weather_description", categories: list[str] | None = None) -> DataFrame:
-    """0/1 column per category, null is 0 everywhere; given categories always appear."""
-    names = [normalize_text(c) for c in categories] if categories else discover_categories(df, col)
+    """0/1 column per category, null is 0 everywhere; given categories always appear.
+
+    ``None`` takes all categories that occur, an empty list none.
+    """
+    names = category_names(df, col, categories)
     return df.withColumns({n: F.coalesce((normalized_name(col) == n).cast("double"), F.lit(0.0)) for n in names})
 
 
 def _period_features(df, by, weather_column, categories, exclude):
-    names = [normalize_text(c) for c in categories] if categories else discover_categories(df, weather_column)
+    names = category_names(df, weather_column, categories)
     flags = {n: F.coalesce((normalized_name(weather_column) == n).cast("double"), F.lit(0.0)) for n in names}
     sums = [c for c in SUMMED if c in df.columns and c not in exclude]
     means = [c for c in AVERAGED if c in df.columns and c not in exclude]

@@ -57,6 +57,7 @@ def regression_metrics_multi(df: DataFrame, keys: list[str], target: str = "targ
     Returns ``single`` rows (one per target) and one ``scaled`` row per key with ``_scaled`` meaning.
     """
     by = [*keys, target]
+    df = df.dropna(subset=[truth, pred])
     limits = df.groupBy(*by).agg(F.min(truth).alias("_lo"), F.max(truth).alias("_hi"))
     width = F.when(F.col("_hi") == F.col("_lo"), 1.0).otherwise(F.col("_hi") - F.col("_lo"))
     scaled = (

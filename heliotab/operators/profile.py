@@ -9,6 +9,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
 from .clean import numeric_columns
 from .ranks import exact_median, exact_quantiles, running_total
 
@@ -156,9 +157,9 @@ def mad_flags(df: DataFrame, keys: list[str], value: str = "value", std: float =
 
     With a MAD of zero every value off the median is an outlier.
     """
-    medians = exact_median(df, keys, value, "_median")
+    medians = settle(exact_median(df, keys, value, "_median"))
     centred = _attach(df, medians, keys).withColumn("_dev", F.abs(F.col(value) - F.col("_median")))
-    mads = exact_median(centred, keys, "_dev", "_mad")
+    mads = settle(exact_median(centred, keys, "_dev", "_mad"))
     scaled = F.col("_dev") * MAD_SCALE / F.col("_mad")
     flag = F.when(F.col("_mad") == 0, F.col("_dev") > 0).otherwise(scaled >= std)
     return _attach(centred, mads, keys).withColumn("outlier", F.coalesce(flag, F.lit(False))).drop(

@@ -4,7 +4,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings that the operators rely on for right results or safe plans.
 RUNTIME_CONF = {
@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -33,8 +36,8 @@ def get_session(app_name: str = "heliotab", master: str | None = None, conf: dic
     return configure(builder.getOrCreate())
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the folder all executors share (``spark.checkpoint.dir``).
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
 
     Only a local-mode session without that setting falls back to a temporary folder.
     """
@@ -42,7 +45,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="heliotab-")
-        spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="heliotab-"))
         base = spark.sparkContext.getCheckpointDir()
-    return os.path.join(base.rstrip("/"), f"{label}-{uuid.uuid4().hex[:12]}")
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder."""
+    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a small table once and cut its lineage, for statistics that several scans join."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

@@ -1,5 +1,8 @@
 """Writers. Nothing here gathers rows; files are bounded by row count, not by installation."""
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +30,27 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, sep=";", header=True)
 
 
-def write_run_record(record: DataFrame, path: str) -> None:
-    """Evaluation records, one folder per run, as the registry scan expects them in JSON."""
-    record.write.mode("append").partitionBy("name").json(path)
+def write_run_records(records: DataFrame, root: str, name: str = "name") -> None:
+    """Evaluation records as ``<root>/<run>/<run>.results.json``, the layout the registry scan reads.
+
+    Spark writes one file per run into a staging folder; the driver then only renames, once per
+    run of this job.
+    """
+    spark = records.sparkSession
+    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
+    records.withColumn("_run", F.col(name)).drop("name").repartition("_run").write.partitionBy("_run").json(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(path(staging)):
+        label = folder.getPath().getName()
+        if not label.startswith("_run="):
+            continue
+        run = unquote(label[len("_run=") :])
+        fs.mkdirs(path(f"{root}/{run}"))
+        for part in fs.listStatus(folder.getPath()):
+            if part.getPath().getName().endswith(".json"):
+                fs.rename(part.getPath(), path(f"{root}/{run}/{run}.results.json"))
+    fs.delete(path(staging), True)
 
 
 def write_model(coefficients: DataFrame, path: str) -> None:
