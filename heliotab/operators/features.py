@@ -4,6 +4,8 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import join_stats, settle
+
 
 def missing_flags(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({f"{c}_isna": F.col(c).isNull() for c in cols})
@@ -31,7 +33,7 @@ def threshold_categories(df: DataFrame, cols: list[str], thresholds: list) -> Da
 
 
 def minmax_fit(train: DataFrame, cols: list[str], keys: tuple[str, ...] = ("installation",)) -> DataFrame:
-    """Minimum and width per column, one row per key; a constant column has width 1."""
+    """Minimum and width per column, one settled row per key; a constant column has width 1."""
     stats = train.groupBy(*keys).agg(
         *[F.min(F.col(c).cast("double")).alias(f"{c}__lo") for c in cols],
         *[F.max(F.col(c).cast("double")).alias(f"{c}__hi") for c in cols],
@@ -41,17 +43,14 @@ def minmax_fit(train: DataFrame, cols: list[str], keys: tuple[str, ...] = ("inst
         span = F.col(f"{c}__hi") - F.col(f"{c}__lo")
         return F.when(span == 0, F.lit(1.0)).otherwise(span)
 
-    return stats.select(
-        *keys, *[x for c in cols for x in (F.col(f"{c}__lo"), width(c).alias(f"{c}__width"))]
+    return settle(
+        stats.select(*keys, *[x for c in cols for x in (F.col(f"{c}__lo"), width(c).alias(f"{c}__width"))]), "scaler"
     )
 
 
 def minmax_apply(df: DataFrame, scaler: DataFrame, cols: list[str], keys: tuple[str, ...] = ("installation",)) -> DataFrame:
     """Scale with the fitted ranges; values outside the training range are not clipped."""
-    if keys:
-        joined = df.join(scaler, list(keys), "left")
-    else:
-        joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(scaler.withColumn("_one", F.lit(1))), "_one")
+    joined = join_stats(df, scaler, list(keys))
     scaled = {c: (F.col(c) - F.col(f"{c}__lo")) / F.col(f"{c}__width") for c in cols}
     return joined.withColumns(scaled).select(*df.columns)
 

@@ -7,18 +7,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import EPSILON, as_column, hash32
+from ..session import join_stats, settle
 from .ranks import exact_median, global_index, running_total
 
 REGRESSION_SCORES = ["MAE", "MSE", "RMSE", "MAPE", "MedAE", "R2", "ExplainedVar"]
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join one-row-per-key statistics; without keys both sides are a single row or the right one is."""
-    if keys:
-        return left.join(right, keys, how)
-    return left.withColumn("_one", F.lit(1)).join(F.broadcast(right.withColumn("_one", F.lit(1))), "_one").drop("_one")
-
-
 def _explained(error: Column, spread: Column) -> Column:
     """1 - error / spread; a truth without spread scores 1 if perfect, else 0."""
     return F.when(spread > 0, 1 - error / F.when(spread > 0, spread)).when(error == 0, 1.0).otherwise(0.0)
@@ -48,7 +42,7 @@ def regression_metrics(df: DataFrame, keys: list[str], truth: str = "y", pred: s
         _explained(F.col("_ve"), F.col("_vy")).alias("ExplainedVar"),
     )
     medians = exact_median(rows, keys, "_abs", "MedAE")
-    return _join_on(scored, medians, keys).select(*keys, "n", *REGRESSION_SCORES)
+    return join_stats(scored, medians, keys).select(*keys, "n", *REGRESSION_SCORES)
 
 
 def regression_metrics_multi(df: DataFrame, keys: list[str], target: str = "target", truth: str = "y", pred: str = "pred") -> DataFrame:
@@ -58,7 +52,7 @@ def regression_metrics_multi(df: DataFrame, keys: list[str], target: str = "targ
     """
     by = [*keys, target]
     df = df.dropna(subset=[truth, pred])
-    limits = df.groupBy(*by).agg(F.min(truth).alias("_lo"), F.max(truth).alias("_hi"))
+    limits = settle(df.groupBy(*by).agg(F.min(truth).alias("_lo"), F.max(truth).alias("_hi")))
     width = F.when(F.col("_hi") == F.col("_lo"), 1.0).otherwise(F.col("_hi") - F.col("_lo"))
     scaled = (
         df.join(limits, by)
@@ -311,7 +305,7 @@ def permutation_importance(
             )
         )
     counts = reduce(DataFrame.unionByName, shuffled)
-    drops = _join_on(weighted_f1(counts, ["run", "feature"]), base_score, []).withColumn(
+    drops = join_stats(weighted_f1(counts, ["run", "feature"]), base_score, []).withColumn(
         "_drop", F.col("_base") - F.col("f1")
     )
     return drops.groupBy("feature").agg(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import hash32, sum_or_zero
 from ..functions.timeparts import hour_of_year
+from ..session import join_stats, settle
 from .ranks import global_index
 
 # --------------------------------------------------------------------------- climatology
@@ -43,7 +44,8 @@ def _borrow(means: DataFrame, keys: list[str], position: str, first: int, last:
     lent = means.filter(F.col(position).between(first, last)).withColumn(
         position, (F.col(position) + shift).cast("int")
     )
-    return means.unionByName(lent.join(means.select(*keys, position), [*keys, position], "left_anti"))
+    seen = means.select(*keys, position)
+    return settle(means.unionByName(lent.join(seen, [*keys, position], "left_anti")), "climatology")
 
 
 def climatology_predict(df: DataFrame, model: DataFrame, position: Column, name: str, keys=("installation",)) -> DataFrame:
@@ -92,7 +94,7 @@ def ridge_fit(
     alphas: tuple[float, ...] = (1.0,),
     with_inverse: bool = False,
 ) -> DataFrame:
-    """One row per key, alpha and target: intercept and coefficients (intercept unpenalised).
+    """One settled row per key, alpha and target: intercept and coefficients (intercept unpenalised).
 
     ``with_inverse`` adds what leave-one-out errors need: the feature means and the inverse.
     """
@@ -128,7 +130,7 @@ def ridge_fit(
     if with_inverse:
         ddl += ", means array<double>, inverse array<double>"
         names += ["means", "inverse"]
-    return grams.mapInPandas(solve, ddl)
+    return settle(grams.mapInPandas(solve, ddl), "ridge")
 
 
 def linear_value(xs: list[str], coefficients: str = "coefficients", intercept: str = "intercept") -> Column:
@@ -138,7 +140,7 @@ def linear_value(xs: list[str], coefficients: str = "coefficients", intercept: s
 def ridge_predict(df: DataFrame, model: DataFrame, xs: list[str], keys: tuple[str, ...] = ("installation",), out: str = "pred") -> DataFrame:
     """Single-target prediction as a plain column expression."""
     weights = model.select(*keys, "intercept", "coefficients")
-    return df.join(weights, list(keys), "left").withColumn(out, linear_value(xs)).drop("intercept", "coefficients")
+    return join_stats(df, weights, list(keys)).withColumn(out, linear_value(xs)).drop("intercept", "coefficients")
 
 
 def ridge_predict_multi(df: DataFrame, model: DataFrame, xs: list[str], ys: list[str], keys=("installation",)) -> DataFrame:
@@ -164,9 +166,7 @@ def ridge_cv(
     keys, d = list(keys), len(xs)
     models = ridge_fit(df, xs, [y], tuple(keys), alphas, with_inverse=True)
     rows = df.dropna(subset=[*xs, y]).select(*keys, y, *xs)
-    joined = rows.join(models, keys) if keys else rows.withColumn("_one", F.lit(1)).join(
-        F.broadcast(models.withColumn("_one", F.lit(1))), "_one"
-    )
+    joined = join_stats(rows, models, keys, "inner")
     c = [F.col(x) - F.col("means")[i] for i, x in enumerate(xs)]
     leverage = sum((F.col("inverse")[i * d + j] * c[i] * c[j] for i in range(d) for j in range(d)), 1 / F.col("n"))
     left_out = (F.col(y) - linear_value(xs)) / (1 - leverage)
@@ -176,10 +176,8 @@ def ridge_cv(
         F.first("coefficients").alias("coefficients"),
     )
     best = scored.groupBy(*keys).agg(F.min_by("alpha", F.struct("loo_mse", "alpha")).alias("best_alpha"))
-    if not keys:
-        scored, best = scored.withColumn("_one", F.lit(1)), best.withColumn("_one", F.lit(1))
-    out = scored.join(best, keys or ["_one"])
-    return out.withColumn("best", F.col("alpha") == F.col("best_alpha")).drop("best_alpha", "_one")
+    out = join_stats(scored, best, keys)
+    return out.withColumn("best", F.col("alpha") == F.col("best_alpha")).drop("best_alpha")
 
 
 # --------------------------------------------------------------------------- learning curve

@@ -9,7 +9,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import join_stats, settle
 from .clean import numeric_columns
 from .ranks import exact_median, exact_quantiles, running_total
 
@@ -158,31 +158,23 @@ def mad_flags(df: DataFrame, keys: list[str], value: str = "value", std: float =
     With a MAD of zero every value off the median is an outlier.
     """
     medians = settle(exact_median(df, keys, value, "_median"))
-    centred = _attach(df, medians, keys).withColumn("_dev", F.abs(F.col(value) - F.col("_median")))
+    centred = join_stats(df, medians, keys).withColumn("_dev", F.abs(F.col(value) - F.col("_median")))
     mads = settle(exact_median(centred, keys, "_dev", "_mad"))
     scaled = F.col("_dev") * MAD_SCALE / F.col("_mad")
     flag = F.when(F.col("_mad") == 0, F.col("_dev") > 0).otherwise(scaled >= std)
-    return _attach(centred, mads, keys).withColumn("outlier", F.coalesce(flag, F.lit(False))).drop(
+    return join_stats(centred, mads, keys).withColumn("outlier", F.coalesce(flag, F.lit(False))).drop(
         "_median", "_dev", "_mad"
     )
 
 
-def _attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Join statistics of one row per key; without keys that is a single row, safe to broadcast."""
-    if keys:
-        return df.join(stats, keys, "left")
-    one = stats.withColumn("_one", F.lit(1))
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one", "left").drop("_one")
-
-
 def outlier_thresholds(flagged: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """Smallest and largest inlier, and the share of values beyond them."""
     x = F.col(value)
     known = flagged.filter(x.isNotNull())
     inlier = F.when(~F.col("outlier"), x)
-    limits = known.groupBy(*keys).agg(F.min(inlier).alias("lower"), F.max(inlier).alias("upper"))
+    limits = settle(known.groupBy(*keys).agg(F.min(inlier).alias("lower"), F.max(inlier).alias("upper")))
     return (
-        _attach(known, limits, keys)
+        join_stats(known, limits, keys)
         .groupBy(*keys)
         .agg(
             F.first("lower").alias("lower"),
@@ -198,8 +190,8 @@ def histogram(
 ) -> DataFrame:
     """Equal-width bins over the range of each key, split by flag columns; ``subset`` keeps the axis."""
     x = F.col(value)
-    ranges = df.filter(x.isNotNull()).groupBy(*keys).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-    rows = _attach(df.filter(x.isNotNull() if subset is None else x.isNotNull() & subset), ranges, keys)
+    ranges = settle(df.filter(x.isNotNull()).groupBy(*keys).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi")))
+    rows = join_stats(df.filter(x.isNotNull() if subset is None else x.isNotNull() & subset), ranges, keys)
     width = F.col("_hi") - F.col("_lo")
     position = F.coalesce(F.floor(F.try_divide(x - F.col("_lo"), width) * bins), F.lit(0))
     counts = rows.withColumn("bin", F.least(position, F.lit(bins - 1))).groupBy(*keys, *split, "bin")
@@ -211,8 +203,8 @@ def ecdf(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     counts = (
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
     )
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_all"))
+    totals = settle(counts.groupBy(*keys).agg(F.sum("n").alias("_all")))
     ranked = running_total(counts, keys, value, ["n"])
-    return _attach(ranked, totals, keys).select(
+    return join_stats(ranked, totals, keys).select(
         *keys, value, "n", ((F.col("n_before") + F.col("n")) / F.col("_all")).alias("cumulative")
     )

@@ -14,6 +14,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import nan_to_null
+from ..session import settle
+
 BUCKET = "_bucket"
 
 
@@ -81,10 +84,11 @@ def exact_quantiles(
     """Linear-interpolated quantiles per key, one column per entry of ``probs``.
 
     Only the buckets that hold a wanted rank are ordered: counting the buckets needs a
-    scan with map-side combine, and of the rows themselves just those few buckets move.
+    scan with map-side combine (settled: a few rows per key), and of the rows themselves just
+    those few buckets move.
     ``approx`` returns the sketch's own answer in a single pass instead.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value))
+    rows = df.select(*keys, nan_to_null(F.col(value).cast("double")).alias(value)).dropna(subset=[value])
     if approx:
         picked = F.percentile_approx(value, [float(p) for p in probs.values()], 10_000)
         flat = rows.groupBy(*keys).agg(picked.alias("_q"))
@@ -116,10 +120,11 @@ def exact_quantiles(
         ]
     )
     first, last = F.col("_offset"), F.col("_offset") + F.col("_n")
-    targets = (
+    targets = settle(
         counts.withColumn("_wanted", F.filter(wanted, lambda q: (q["low"] < last) & (q["high"] >= first)))
         .filter(F.size("_wanted") > 0)
-        .select(*keys, BUCKET, "_offset", "_wanted")
+        .select(*keys, BUCKET, "_offset", "_wanted"),
+        "ranks",
     )
     inside = Window.partitionBy(*keys, BUCKET).orderBy(value)
     ranked = (

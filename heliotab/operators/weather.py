@@ -80,11 +80,44 @@ def require_weather_coverage(power: DataFrame, weather: DataFrame, ts: str = "ti
         )
 
 
-def enrich_weather(power: DataFrame, weather: DataFrame, validate: bool = True, **upsample) -> DataFrame:
-    """Check coverage, put hourly weather on the 15-minute grid, join it to the readings."""
+def enrich_weather(
+    power: DataFrame,
+    weather: DataFrame,
+    validate: bool = True,
+    additive: tuple[str, ...] = ("sunshine_duration",),
+    step_seconds: int = STEP_SECONDS,
+    source_seconds: int = 3600,
+) -> DataFrame:
+    """Check coverage, then give every reading the weather of its step on the finer grid.
+
+    Equal to ``join_weather(power, upsample_ffill(weather))``, but weather rows are repeated per
+    source interval instead of per step, so only a quarter of them is shuffled: readings and
+    weather meet on the hour, and the step is checked in the join condition.
+    """
     if validate:
         require_weather_coverage(power, weather)
-    return join_weather(power, upsample_ffill(weather, **upsample))
+    spread = _next_in_series(weather, ["installation"], "timestamp", "_until")
+    starts = F.unix_micros("timestamp")
+    ends = F.greatest(F.coalesce(F.unix_micros("_until") - step_seconds * 1_000_000, starts), starts)
+    hour = source_seconds * 1_000_000
+    share = source_seconds / step_seconds
+    weather_by_hour = (
+        spread.withColumns({"_start": starts, "_end": ends})
+        .withColumn("_hour", F.explode(F.sequence(F.floor(F.col("_start") / hour), F.floor(F.col("_end") / hour))))
+        .withColumns({c: F.col(c) / share for c in additive if c in weather.columns})
+        .drop("timestamp", "_until")
+    )
+    at = F.unix_micros("timestamp")
+    readings = power.withColumns({"_at": at, "_hour": F.floor(at / hour)})
+    r, w = readings.alias("r"), weather_by_hour.alias("w")
+    same_step = (
+        (F.col("r.installation") == F.col("w.installation"))
+        & (F.col("r._hour") == F.col("w._hour"))
+        & F.col("r._at").between(F.col("w._start"), F.col("w._end"))
+        & ((F.col("r._at") - F.col("w._start")) % (step_seconds * 1_000_000) == 0)
+    )
+    measures = [c for c in weather.columns if c not in ("installation", "timestamp")]
+    return r.join(w, same_step, "left").select("r.*", *[f"w.{c}" for c in measures]).drop("_at", "_hour")
 
 
 def regular_grid(
@@ -111,14 +144,12 @@ def regular_grid(
 def climatology_fill(
     df: DataFrame, cols: list[str], ts: str = "date", keys: tuple[str, ...] = ("installation",)
 ) -> DataFrame:
-    """Null takes the mean of the same month, day, hour and minute over all years."""
-    slotted = df.withColumn("_slot", slot_of_year(ts))
-    means = slotted.groupBy(*keys, "_slot").agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
-    return (
-        slotted.join(means, [*keys, "_slot"])
-        .withColumns({c: F.coalesce(c, f"_mean_{c}") for c in cols})
-        .select(*df.columns)
-    )
+    """Null takes the mean of the same month, day, hour and minute over all years.
+
+    One shuffle; on a regular grid a slot holds one row per year.
+    """
+    same_slot = Window.partitionBy(*keys, slot_of_year(ts))
+    return df.withColumns({c: F.coalesce(F.col(c), F.avg(c).over(same_slot)) for c in cols})
 
 
 def forward_fill(df: DataFrame, cols: list[str], ts: str, keys: list[str]) -> DataFrame:

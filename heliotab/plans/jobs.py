@@ -21,6 +21,7 @@ from ..operators.weather import (
     regular_grid,
     upsample_ffill,
 )
+from ..session import settle
 
 OBSERVED = ["radiation_global", "sunshine_duration"]
 
@@ -58,7 +59,12 @@ def train_solar_model(
     categories: list[str] | None = None,
     keys: tuple[str, ...] = ("installation",),
 ) -> SolarModel:
-    """Scale, fit ridge on the train part and score the test part, for all installations at once."""
+    """Scale, fit ridge on the train part and score the test part, for all installations at once.
+
+    Features are days or hours, far fewer than readings; they are settled because scaler, fit and
+    scores each read them.
+    """
+    features = settle(features, "features")
     order = ("date",) if horizon == "daily" else ("date", "hour")
     if test_share is None:
         parted = chronological_holdout(features, holdout, order, keys)

@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings that the operators rely on for right results or safe plans.
 RUNTIME_CONF = {
@@ -57,7 +58,21 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a small table once and cut its lineage, for statistics that several scans join."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Write a small table to the shared folder once and read it back.
+
+    Statistics that several scans join are computed a single time this way, lost executors do not
+    bring them back to life from the raw data, and Spark knows the size of the file: it broadcasts
+    the table while it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_stats(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join statistics of one row per key; without keys they are a single row, safe to broadcast."""
+    if keys:
+        return df.join(stats, list(keys), how)
+    one = F.broadcast(stats.withColumn("_one", F.lit(1)))
+    return df.withColumn("_one", F.lit(1)).join(one, "_one", how).drop("_one")

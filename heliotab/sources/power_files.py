@@ -12,6 +12,7 @@ from ..operators.clean import (
     normalize_peak,
 )
 from ..operators.zones import to_utc
+from ..session import settle
 
 SITE_SCHEMA = T.StructType(
     [
@@ -35,7 +36,7 @@ def read_power_files(spark: SparkSession, root: str) -> DataFrame:
     """All ``root/<installation>/*.csv`` as text columns, matched by each file's own header.
 
     Lines are read splittably, so one huge file is still many tasks. Headers are one short row
-    per file and join back on the file path; the column names found are schema-sized.
+    per file, settled and joined back on the file path; the column names found are schema-sized.
     ``_file``, ``_block`` and ``_line`` keep the order of the rows within a file.
     """
     path = F.col("_metadata.file_path")
@@ -49,7 +50,7 @@ def read_power_files(spark: SparkSession, root: str) -> DataFrame:
     # a header line carries the literal column name, a data line never does
     cells = F.transform(F.split(F.regexp_replace("value", "^\\uFEFF", ""), ";"), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
     is_header = F.array_contains(cells, "timestamp")
-    headers = lines.filter(is_header).select("_file", cells.alias("_header"))
+    headers = settle(lines.filter(is_header).select("_file", cells.alias("_header")), "headers")
     shape = headers.agg(
         F.array_distinct(F.flatten(F.collect_set("_header"))).alias("names"),
         F.max(F.size("_header")).alias("width"),
