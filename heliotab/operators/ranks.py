@@ -29,6 +29,8 @@ def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> list[fl
     """Sketched quantiles of ``value``: at most ``buckets`` numbers reach the driver."""
     n = buckets or bucket_count(df.sparkSession)
     probs = [i / n for i in range(1, n)]
+    if not probs:
+        return []
     cuts = df.approxQuantile(value, probs, 1 / (2 * n))
     return sorted({c for c in cuts if c is not None and math.isfinite(c)})
 

@@ -6,7 +6,8 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_OFFSET_SUFFIX = r"\d{1,2}:\d{2}(:\d{2}([.]\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
+# wall-clock part ending in a time, then Z or a signed offset
+_WITH_OFFSET = r"^(.*\d{1,2}:\d{2}(?::\d{2}(?:[.]\d+)?)?)\s*(?:Z|([+-])(\d{2}):?(\d{2})?)$"
 _TRANSITION_SCHEMA = (
     "_zone string, _day date, _start timestamp_ntz, _end timestamp_ntz, "
     "_gap boolean, _instant timestamp, _second int"
@@ -61,7 +62,7 @@ def to_utc(
     spark, z = df.sparkSession, F.trim(F.col(zone))
     text = F.trim(F.col(column).cast("string"))
     lowered = F.lower(z)
-    aware = text.rlike(_OFFSET_SUFFIX)
+    aware = text.rlike(_WITH_OFFSET)
     fixed = lowered.rlike("^utc[+-]")
     named = ~(fixed | (lowered == "utc"))
     missing = F.raise_error(F.lit("timestamp without offset needs a time zone")).cast("timestamp")
@@ -70,6 +71,11 @@ def to_utc(
         found = df.filter(named & (z != "")).select(z.alias("z")).distinct().collect()
         zones = [r.z for r in found]
 
+    def part(i):
+        return F.regexp_extract(text, _WITH_OFFSET, i)
+
+    minutes = F.coalesce(part(3).try_cast("int"), F.lit(0)) * 60 + F.coalesce(part(4).try_cast("int"), F.lit(0))
+    offset = F.make_interval(mins=F.when(part(2) == "-", -minutes).otherwise(minutes))
     rows = df.withColumns(
         {
             "_local": F.when(~aware, text.cast("timestamp_ntz")),
@@ -79,7 +85,7 @@ def to_utc(
     ).withColumn("_day", F.to_date("_local"))
     plain = (
         F.when(text.isNull(), F.lit(None).cast("timestamp"))
-        .when(aware, F.when(aware, text).cast("timestamp"))
+        .when(aware, F.when(aware, part(1)).cast("timestamp") - offset)
         .when(z.isNull() | (z == ""), missing)
         .when(
             F.col("_zone").isNotNull(),
