@@ -8,6 +8,7 @@ from ..operators.aggregate import one_hot
 from ..operators.clean import (
     coerce_numeric,
     describe_codes,
+    events_on_series_days,
     normalize_peak,
     recover_total,
     recoverable_rows,
@@ -358,7 +359,8 @@ def predict_export(spark, sf_dir):
 )
 def solstice_semi(spark, sf_dir):
     """Events whose name contains a word and whose date occurs in the series."""
-    events = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority").contains("LOW"))
+    events = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("event_no"), F.col("o_orderdate").alias("date"), F.col("o_orderpriority").alias("event")
+    )
     series = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_shipdate").alias("date"))
-    named = events.select(F.col("o_orderkey").alias("event_no"), F.col("o_orderdate").alias("date"))
-    return named.join(series, "date", "left_semi")
+    return events_on_series_days(events, series, "LOW").drop("event")

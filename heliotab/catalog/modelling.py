@@ -232,24 +232,16 @@ def ridge_multi(spark, sf_dir):
     )
 
 
-def _solar_features(spark, sf_dir):
-    weather = hourly_weather(spark, sf_dir).select("installation", "timestamp", "sunshine_duration", "weather_description")
-    enriched = enrich_weather(quarter_hourly(spark, sf_dir), weather, validate=False)
-    return period_features(enriched, "daily", categories=[]), weather
-
-
 _UPSAMPLED = """spread AS (SELECT *, lead("timestamp") OVER (PARTITION BY installation ORDER BY "timestamp") AS nxt FROM hourly_weather),
   quarters AS (SELECT installation, sunshine_duration / 4 AS sunshine,
     unnest(generate_series("timestamp", coalesce(nxt - INTERVAL 15 MINUTE, "timestamp"), INTERVAL 15 MINUTE)) AS "timestamp" FROM spread)"""
 
 
-@query(
-    "score_batch",
-    f"""WITH {HOURLY_WEATHER}, {QUARTER_HOURLY}, {_UPSAMPLED},
+_DAYS = f"""{_UPSAMPLED},
     days AS (SELECT installation, CAST("timestamp" AS DATE) AS date, coalesce(sum(sol_prod), 0) AS y, coalesce(sum(sunshine), 0) AS s
-      FROM quarter_hourly LEFT JOIN quarters USING (installation, "timestamp") GROUP BY 1, 2),
-    train AS (SELECT * FROM days QUALIFY row_number() OVER (PARTITION BY installation ORDER BY date DESC) > 6),
-    scaler AS (SELECT installation, min(s) AS lo, CASE WHEN max(s) = min(s) THEN 1 ELSE max(s) - min(s) END AS wd FROM train GROUP BY 1),
+      FROM quarter_hourly LEFT JOIN quarters USING (installation, "timestamp") GROUP BY 1, 2)"""
+# three-feature ridge by Cramer's rule, from the rows in ``train``
+_SOLVED = f"""scaler AS (SELECT installation, min(s) AS lo, CASE WHEN max(s) = min(s) THEN 1 ELSE max(s) - min(s) END AS wd FROM train GROUP BY 1),
     x AS (SELECT installation, date, y, (s - lo) / wd AS a, sin({_ANGLE}) AS b, cos({_ANGLE}) AS c FROM train JOIN scaler USING (installation)),
     m AS (SELECT installation, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my, var_pop(a) * count(*) + 1 AS aa,
       var_pop(b) * count(*) + 1 AS bb, var_pop(c) * count(*) + 1 AS cc, covar_pop(a, b) * count(*) AS ab, covar_pop(a, c) * count(*) AS ac,
@@ -258,24 +250,48 @@ _UPSAMPLED = """spread AS (SELECT *, lead("timestamp") OVER (PARTITION BY instal
     d AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM m),
     w AS (SELECT *, ((bb * cc - bc * bc) * ay + (ac * bc - ab * cc) * bz + (ab * bc - ac * bb) * cy) / det AS wa,
       ((bc * ac - ab * cc) * ay + (aa * cc - ac * ac) * bz + (ab * ac - aa * bc) * cy) / det AS wb,
-      ((ab * bc - bb * ac) * ay + (ab * ac - aa * bc) * bz + (aa * bb - ab * ab) * cy) / det AS wc FROM d),
+      ((ab * bc - bb * ac) * ay + (ab * ac - aa * bc) * bz + (aa * bb - ab * ab) * cy) / det AS wc FROM d)"""
+_PRED = f"my + wa * ((s - lo) / wd - ma) + wb * (sin({_ANGLE}) - mb) + wc * (cos({_ANGLE}) - mc)"
+
+
+@query(
+    "score_batch",
+    f"""WITH {HOURLY_WEATHER}, {QUARTER_HOURLY}, {_DAYS},
+    train AS (SELECT * FROM days QUALIFY row_number() OVER (PARTITION BY installation ORDER BY date DESC) > 6), {_SOLVED},
     future AS (SELECT installation, CAST("timestamp" AS DATE) AS date, coalesce(sum(sunshine), 0) AS s FROM quarters GROUP BY 1, 2)
-    SELECT installation, CAST(date AS TIMESTAMP) AS date, CAST(date AS TIMESTAMP) AS "time",
-      round(my + wa * ((s - lo) / wd - ma) + wb * (sin({_ANGLE}) - mb) + wc * (cos({_ANGLE}) - mc), 4) AS pred
+    SELECT installation, CAST(date AS TIMESTAMP) AS date, CAST(date AS TIMESTAMP) AS "time", round({_PRED}, 4) AS pred
     FROM future JOIN scaler USING (installation) JOIN w USING (installation)""",
 )
 def score(spark, sf_dir):
     """Train on power and weather, then predict every day of the weather table."""
-    features, weather = _solar_features(spark, sf_dir)
-    model = train_solar_model(features, holdout=7, categories=[])
+    weather = _sunshine(spark, sf_dir)
+    enriched = enrich_weather(quarter_hourly(spark, sf_dir), weather, validate=False)
+    model = train_solar_model(period_features(enriched, "daily", categories=[]), holdout=7, categories=[])
     return score_batch(weather, model)
 
 
-@query("retrain_job")
+def _sunshine(spark, sf_dir):
+    return hourly_weather(spark, sf_dir).select("installation", "timestamp", "sunshine_duration", "weather_description")
+
+
+@query(
+    "retrain_job",
+    f"""WITH {HOURLY_WEATHER}, {QUARTER_HOURLY}, {_DAYS},
+    placed AS (SELECT *, {_key_hash_sql("(date_diff('day', DATE '1970-01-01', date) * 10 + CAST(substr(installation, 6) AS BIGINT))")} < 858993459 AS test FROM days),
+    train AS (SELECT * FROM placed WHERE NOT test), {_SOLVED},
+    scored AS (SELECT installation, y, {_PRED} AS pred FROM (SELECT * FROM placed WHERE test) t JOIN scaler USING (installation) JOIN w USING (installation))
+    SELECT installation, count(*) AS n, round(avg(abs(y - pred)), 4) AS "MAE", round(avg(pow(y - pred, 2)), 3) AS "MSE",
+      round(sqrt(avg(pow(y - pred, 2))), 4) AS "RMSE", round(avg(abs(y - pred) / greatest(abs(y), 2.220446049250313e-16)), 4) AS "MAPE",
+      round(median(abs(y - pred)), 4) AS "MedAE", round(1 - avg(pow(y - pred, 2)) / var_pop(y), 4) AS "R2",
+      round(1 - var_pop(y - pred) / var_pop(y), 4) AS "ExplainedVar" FROM scored GROUP BY 1""",
+    MSE=3,
+)
 def retrain_job(spark, sf_dir):
-    """Readings and weather to a fitted hourly model; its scores on the random test part."""
+    """Readings and weather to a fitted daily model; its scores on the random test part."""
+    day = F.datediff("date", F.lit("1970-01-01").cast("date")) * 10 + F.substring("installation", 6, 9).cast("bigint")
+    position = day.cast("bigint") % 1000003 * F.lit(2654435761) % F.lit(4294967296)
     model = retrain(
-        quarter_hourly(spark, sf_dir), hourly_weather(spark, sf_dir), "hourly", categories=["click", "view", "error"], validate=False
+        quarter_hourly(spark, sf_dir), _sunshine(spark, sf_dir), categories=[], validate=False, position=position
     )
     return model.metrics
 

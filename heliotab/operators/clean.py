@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import as_column, nan_to_null, to_number, total
+from ..session import settle
 
 # Export header of the power files -> canonical column name.
 POWER_COLUMN_NAMES = {
@@ -65,10 +66,10 @@ def strict_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 def normalize_peak(df: DataFrame, sites: DataFrame, peak: str = "Wp") -> DataFrame:
     """Power columns divided by the installation's peak power, ``soc`` from percent to share.
 
-    The site table is joined without a hint, so it is broadcast only while its size allows.
-    An installation without metadata fails the job.
+    The site table is settled and joined without a hint, so it is broadcast only while its size
+    allows. An installation without metadata fails the job.
     """
-    peaks = sites.select("installation", F.col(peak).cast("double").alias("_peak"))
+    peaks = settle(sites.select("installation", F.col(peak).cast("double").alias("_peak")), "peaks")
     present = [c for c in POWER_COLUMNS if c in df.columns]
     scaled = {c: F.try_divide(F.col(c), F.col("_checked")) for c in present}
     if "soc" in df.columns:
@@ -126,5 +127,14 @@ def label_of(*parts: Column | str, sep: str = " ") -> Column:
     return F.concat_ws(sep, *[as_column(p).cast("string") for p in parts])
 
 
+def events_on_series_days(events: DataFrame, series: DataFrame, word: str, name: str = "event", date: str = "date") -> DataFrame:
+    """Events whose name contains a word and whose date occurs in the series.
+
+    The dates are made distinct before the join, so a date with many rows stays one row.
+    """
+    days = series.select(date).distinct()
+    return events.filter(F.col(name).contains(word)).join(days, date, "left_semi")
+
+
 def fill_zero(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.fillna(0.0, subset=cols)

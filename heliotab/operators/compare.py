@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
 from .ranks import exact_median
 
 # Short names of model classes.
@@ -68,7 +69,7 @@ def _long(runs: DataFrame, metrics: list[str]) -> DataFrame:
 
 def metric_band(runs: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
     """Minimum, maximum and median of each metric over the runs."""
-    long = _long(runs, metrics).filter("value is not null")
+    long = settle(_long(runs, metrics).filter("value is not null"))
     limits = long.groupBy("metric").agg(F.min("value").alias("lowest"), F.max("value").alias("highest"))
     return limits.join(exact_median(long, ["metric"], "value", "median"), "metric")
 
@@ -89,6 +90,7 @@ def best_runs(runs: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
 
 def compare_runs(runs: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
     """Every run with its label, baseline flag, newest flag and the metrics in which it is best."""
+    runs = settle(runs, "registry")
     newest = latest(runs).select("name", F.lit(True).alias("_newest"))
     wins = best_runs(runs, metrics).groupBy("name").agg(F.array_sort(F.collect_set("metric")).alias("best_in"))
     return (

@@ -85,7 +85,17 @@ def run_name(timestamp, model_class, score, purpose, features, score_tag: str =
 
 def confusion_matrix(df: DataFrame, keys: list[str], labels: list, truth: str = "truth", pred: str = "pred") -> DataFrame:
     """Counts for every pair of ``labels`` per key, zeros included, with ``C_i_j`` cell names."""
-    counts = df.groupBy(*keys, F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(F.count("*").alias("n"))
+    return complete_matrix(label_counts(df, keys, truth, pred), keys, labels)
+
+
+def label_counts(df: DataFrame, keys: list[str], truth: str = "truth", pred: str = "pred") -> DataFrame:
+    """(truth, pred, n) per key, settled: every classification score follows from these few rows."""
+    pair = [F.col(truth).alias("truth"), F.col(pred).alias("pred")]
+    return settle(df.groupBy(*keys, *pair).agg(F.count("*").alias("n")), "counts")
+
+
+def complete_matrix(counts: DataFrame, keys: list[str], labels: list) -> DataFrame:
+    """Label pairs that never occurred join the counts with zero."""
 
     def indexed(prefix):
         return F.explode(
@@ -355,11 +365,11 @@ def classification_record(
     avg_mode: str = "weighted",
 ) -> DataFrame:
     """One registry row per run with scores, confusion map and per-class report."""
-    counts = df.groupBy(*keys, F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(F.count("*").alias("n"))
-    scores = class_scores(counts, keys)
+    matrix = complete_matrix(label_counts(df, keys, truth, pred), keys, labels)
+    scores = class_scores(matrix, keys)
     averaged = average_scores(scores, keys).filter(F.col("avg_mode") == avg_mode).drop("support")
     # labels x labels cells per run
-    cells = confusion_matrix(df, keys, labels, truth, pred).groupBy(*keys).agg(
+    cells = matrix.groupBy(*keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "n")))).alias("conf_matrix")
     )
     lines = classification_report(scores, keys).groupBy(*keys).agg(

@@ -166,7 +166,12 @@ def ridge_cv(
     keys, d = list(keys), len(xs)
     models = ridge_fit(df, xs, [y], tuple(keys), alphas, with_inverse=True)
     rows = df.dropna(subset=[*xs, y]).select(*keys, y, *xs)
-    joined = join_stats(rows, models, keys, "inner")
+    if keys:
+        joined = rows.join(models, keys)
+    else:
+        # one small constant per alpha
+        fitted = [F.struct(*[F.lit(m[f.name]).cast(f.dataType).alias(f.name) for f in models.schema]) for m in models.collect()]
+        joined = rows.withColumn("_m", F.explode(F.array(*fitted))).select(*rows.columns, "_m.*")
     c = [F.col(x) - F.col("means")[i] for i, x in enumerate(xs)]
     leverage = sum((F.col("inverse")[i * d + j] * c[i] * c[j] for i in range(d) for j in range(d)), 1 / F.col("n"))
     left_out = (F.col(y) - linear_value(xs)) / (1 - leverage)

@@ -38,9 +38,10 @@ def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> list[fl
 def with_bucket(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
     """Add the index of the bucket that ``value`` falls in (binary search in the JVM)."""
     if not cuts:
-        return df.withColumn(BUCKET, F.lit(0.0))
+        return df.withColumn(BUCKET, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=BUCKET).transform(df)
+    cut = Bucketizer(splits=splits, inputCol=value, outputCol=BUCKET).transform(df)
+    return cut.withColumn(BUCKET, F.col(BUCKET).cast("int"))
 
 
 def running_total(

@@ -1,11 +1,13 @@
 """End-to-end jobs built from the operators."""
 
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cyclic import with_doy_trig, with_periodic
+from ..functions.scalars import hash32
 from ..functions.timeparts import at_hour
 from ..operators.aggregate import AVERAGED, SUMMED, WEATHER_TYPES, period_features
 from ..operators.features import minmax_apply, minmax_fit
@@ -24,6 +26,13 @@ from ..operators.weather import (
 from ..session import settle
 
 OBSERVED = ["radiation_global", "sunshine_duration"]
+# Fixed value: first day of the weather history that jobs ask for.
+HISTORY_START = date(2012, 1, 1)
+
+
+def history_window(run_date: date) -> tuple[date, date]:
+    """First and last day of the weather archive as seen on a run date: up to the day before."""
+    return HISTORY_START, run_date - timedelta(days=1)
 
 
 @dataclass
@@ -58,19 +67,21 @@ def train_solar_model(
     seed: int = 42,
     categories: list[str] | None = None,
     keys: tuple[str, ...] = ("installation",),
+    position: Column | None = None,
 ) -> SolarModel:
     """Scale, fit ridge on the train part and score the test part, for all installations at once.
 
-    Features are days or hours, far fewer than readings; they are settled because scaler, fit and
-    scores each read them.
+    The test part is the last ``holdout - 1`` rows of a series, or a random ``test_share`` (by a hash
+    of the row key, or by ``position``, any expression in [0, 2^32)). Features are days or hours, far
+    fewer than readings; they are settled because scaler, fit and scores each read them.
     """
     features = settle(features, "features")
     order = ("date",) if horizon == "daily" else ("date", "hour")
     if test_share is None:
         parted = chronological_holdout(features, holdout, order, keys)
     else:
-        row_key = F.concat_ws("|", *keys, *order)
-        parted = random_split(features.withColumn("_key", row_key), "_key", test_share, seed).drop("_key")
+        row_hash = position if position is not None else hash32(*keys, *order, F.lit(seed))
+        parted = random_split(features, row_hash, test_share)
     numeric = [c for c in features.columns if c not in (*keys, *order, target)]
     train = parted.filter("part = 'train'")
     scaler = minmax_fit(train, numeric, keys)
@@ -105,11 +116,14 @@ def retrain(
     seed: int = 387,
     categories: list[str] = WEATHER_TYPES,
     validate: bool = True,
+    position: Column | None = None,
 ) -> SolarModel:
     """Power and hourly weather to a fitted and scored model."""
     enriched = enrich_weather(power, weather, validate=validate)
     table = period_features(enriched, horizon, categories=categories)
-    return train_solar_model(table, horizon, test_share=test_share, seed=seed, categories=categories)
+    return train_solar_model(
+        table, horizon, test_share=test_share, seed=seed, categories=categories, position=position
+    )
 
 
 def observed_weather(
@@ -122,7 +136,8 @@ def observed_weather(
     """Station observations to a gapless 15-minute table per installation."""
     combined = prefer_historical(historical, recent)
     chosen = station_priority(in_reading_range(combined, readings, listed))
-    table = pivot_parameters(chosen, parameters)
+    # the grid needs bounds and rows of this table, and the fill reads both again
+    table = settle(pivot_parameters(chosen, parameters), "observed")
     filled = climatology_fill(regular_grid(table), parameters)
     return regrid_10_to_15(filled, parameters)
 

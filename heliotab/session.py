@@ -71,8 +71,10 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
 
 
 def join_stats(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join statistics of one row per key; without keys they are a single row, safe to broadcast."""
+    """Join statistics of one row per key; without keys that one row becomes constants."""
     if keys:
         return df.join(stats, list(keys), how)
-    one = F.broadcast(stats.withColumn("_one", F.lit(1)))
-    return df.withColumn("_one", F.lit(1)).join(one, "_one", how).drop("_one")
+    row = stats.first()
+    return df.withColumns(
+        {f.name: F.lit(row[f.name] if row else None).cast(f.dataType) for f in stats.schema}
+    )

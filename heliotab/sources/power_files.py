@@ -57,23 +57,30 @@ def read_power_files(spark: SparkSession, root: str) -> DataFrame:
     ).first()
     names, width = shape["names"] or [], shape["width"] or 1
 
+    extra = sorted(set(names) - set(POWER_COLUMN_NAMES))
+    wanted = [n for n in [*POWER_COLUMN_NAMES, *extra] if n in names]
+    # where each column stands is looked up once per file, not once per row
+    places = headers.select(
+        "_file", *[(F.array_position("_header", F.lit(n)) - 1).cast("int").alias(f"_at_{i}") for i, n in enumerate(wanted)]
+    )
     positional = ", ".join(f"c{i} string" for i in range(width))
-    row = F.from_csv("value", positional, {"sep": ";"})
-    data = lines.filter(~is_header & (F.trim("value") != "")).join(headers, "_file")
-    values = data.withColumn("_row", row).withColumn("_cells", F.array(*[F.col(f"_row.c{i}") for i in range(width)]))
+    parsed = lines.filter(~is_header & (F.trim("value") != "")).withColumn(
+        "_row", F.from_csv("value", positional, {"sep": ";"})
+    )
+    cells = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
+    values = parsed.withColumn("_cells", cells).join(places, "_file")
 
     def cell(name: str):
-        return F.get("_cells", F.array_position("_header", F.lit(name)).cast("int") - 1)
+        if name not in wanted:
+            return F.lit(None).cast("string")
+        place = F.col(f"_at_{wanted.index(name)}")
+        return F.nullif(F.when(place >= 0, F.get("_cells", place)), F.lit(""))
 
     known = [n for n in POWER_COLUMN_NAMES if n != "installation"]
-    extra = sorted(set(names) - set(POWER_COLUMN_NAMES))
     return values.select(
         "installation",
-        *[
-            (F.nullif(cell(n), F.lit("")) if n in names else F.lit(None).cast("string")).alias(POWER_COLUMN_NAMES[n])
-            for n in known
-        ],
-        *[F.nullif(cell(n), F.lit("")).alias(n) for n in extra],
+        *[cell(n).alias(POWER_COLUMN_NAMES[n]) for n in known],
+        *[cell(n).alias(n) for n in extra],
         "_file",
         "_block",
         "_line",
@@ -82,6 +89,7 @@ def read_power_files(spark: SparkSession, root: str) -> DataFrame:
 
 def ingest_power(spark: SparkSession, root: str, sites: DataFrame) -> DataFrame:
     """Raw exports to the power table: renamed, numeric, scaled by peak power, UTC."""
+    sites = settle(sites, "sites")
     raw = read_power_files(spark, root)
     extra = [c for c in raw.columns if c not in CANONICAL_COLUMNS and not c.startswith("_")]
     numbers = raw.transform(coerce_numeric, ["soc", *POWER_COLUMNS])
@@ -93,3 +101,9 @@ def ingest_power(spark: SparkSession, root: str, sites: DataFrame) -> DataFrame:
         local, "timestamp", "timezone", group=("installation", "_file"), order=("_block", "_line"), zones=named
     )
     return utc.select(*CANONICAL_COLUMNS, *extra)
+
+
+def read_series(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """A stored power or weather table; only the asked columns are read."""
+    stored = spark.read.parquet(path)
+    return stored.select(*columns) if columns else stored

@@ -66,6 +66,12 @@ def flatten_responses(responses: DataFrame, codes: DataFrame | None = None, keys
     return describe_codes(hourly, codes) if codes is not None else hourly
 
 
+def site_weather(responses: DataFrame, sites: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Hourly weather of all known installations in one pass, keyed by installation."""
+    known = responses.join(sites.select("installation").distinct(), "installation", "left_semi")
+    return flatten_responses(known, codes)
+
+
 def route_by_date(archive: DataFrame, forecast: DataFrame, run_date: str | Column, ts: str = "timestamp") -> DataFrame:
     """Archive rows before the run date, forecast rows from the run date on."""
     cut = (F.lit(run_date) if isinstance(run_date, str) else run_date).cast("timestamp")
