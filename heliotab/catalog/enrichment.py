@@ -32,6 +32,7 @@ from .stand_ins import (
     READINGS,
     SITES,
     TEN_MINUTE,
+    WEATHER_LONG,
     hourly_weather,
     listed_stations,
     observations,
@@ -41,6 +42,7 @@ from .stand_ins import (
     stations,
     table,
     ten_minute,
+    weather_long,
     yearly_readings,
 )
 
@@ -149,18 +151,17 @@ def enrich(spark, sf_dir):
 
 @query(
     "weather_coverage",
-    f"""WITH {HOURLY_WEATHER}, {QUARTER_HOURLY},
+    f"""WITH {READINGS}, {QUARTER_HOURLY}, {WEATHER_LONG},
     p AS (SELECT installation, min("timestamp") AS power_min, max("timestamp") AS power_max FROM quarter_hourly GROUP BY 1),
-    w AS (SELECT installation, min("timestamp") AS weather_min, max("timestamp") AS weather_max FROM hourly_weather
-          WHERE installation <> 'inst_3' GROUP BY 1)
+    w AS (SELECT installation, min("timestamp") AS weather_min, max("timestamp") AS weather_max FROM weather_long GROUP BY 1)
     SELECT installation, power_min, power_max, weather_min, weather_max,
       CASE WHEN weather_min IS NULL THEN 'no weather' WHEN weather_min > power_min THEN 'weather starts late'
            WHEN weather_max < power_max THEN 'weather ends early' END AS problem
     FROM p LEFT JOIN w USING (installation)""",
 )
 def coverage(spark, sf_dir):
-    weather = hourly_weather(spark, sf_dir).filter("installation <> 'inst_3'")
-    return weather_coverage(quarter_hourly(spark, sf_dir), weather)
+    """Two unrelated tables: one installation has no weather at all, the others end too early."""
+    return weather_coverage(quarter_hourly(spark, sf_dir), weather_long(spark, sf_dir))
 
 
 _STATION_ROWS = """station_rows AS (SELECT CAST(s_suppkey % 7 AS VARCHAR) AS station_id, 'solar' AS dataset, '10_minutes' AS resolution,
