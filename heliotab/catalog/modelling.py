@@ -314,19 +314,19 @@ def _rule_sql(value, k):
     )
 
 
-def _hash_run_sql(run):
-    return _key_hash_sql("event_id", f"7919 * ({run} + 2)")
+_HASH_RUN_SQL = _key_hash_sql("event_id", "7919 * (run + 2)")
 
 
 @query(
     "permutation_importance",
     f"""WITH base AS (SELECT event_id, event_type AS truth, value, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events),
-    placed AS (SELECT *, row_number() OVER (ORDER BY {_hash_run_sql('-1')}, event_id) AS pos FROM base),
-    shuffled AS (SELECT run, value AS ov, k AS ok, row_number() OVER (PARTITION BY run ORDER BY {_hash_run_sql('run')}, event_id) AS pos
-      FROM base, (VALUES (0), (1), (2), (3), (4)) AS r(run)),
-    preds AS (SELECT run, 'value' AS feature, truth, {_rule_sql('ov', 'k')} AS pred FROM placed JOIN shuffled USING (pos)
-      UNION ALL SELECT run, 'k', truth, {_rule_sql('value', 'ok')} FROM placed JOIN shuffled USING (pos)
-      UNION ALL SELECT -1, '', truth, {_rule_sql('value', 'k')} FROM placed),
+    hashed AS (SELECT *, {_HASH_RUN_SQL} AS h FROM base, (VALUES (0), (1), (2), (3), (4)) AS r(run)),
+    placed AS (SELECT *, h * (SELECT count(*) // 250000 + 1 FROM base) // 4294967296 AS block FROM hashed),
+    shuffled AS (SELECT *, coalesce(lead(value) OVER w, first_value(value) OVER w) AS ov, coalesce(lead(k) OVER w, first_value(k) OVER w) AS ok
+      FROM placed WINDOW w AS (PARTITION BY run, block ORDER BY h, event_id)),
+    preds AS (SELECT run, 'value' AS feature, truth, {_rule_sql('ov', 'k')} AS pred FROM shuffled
+      UNION ALL SELECT run, 'k', truth, {_rule_sql('value', 'ok')} FROM shuffled
+      UNION ALL SELECT -1, '', truth, {_rule_sql('value', 'k')} FROM base),
     classes AS (SELECT DISTINCT truth AS label FROM base),
     per_class AS (SELECT run, feature, label, count(*) FILTER (truth = label AND pred = label) AS tp, count(*) FILTER (truth = label) AS sup,
       count(*) FILTER (pred = label) AS prd FROM preds, classes GROUP BY 1, 2, 3),

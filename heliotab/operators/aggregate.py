@@ -40,13 +40,13 @@ def one_hot(df: DataFrame, col: str = "weather_description", categories: list[st
 
 def _period_features(df, by, weather_column, categories, exclude):
     names = category_names(df, weather_column, categories)
-    flags = {n: F.coalesce((normalized_name(weather_column) == n).cast("double"), F.lit(0.0)) for n in names}
+    named = df.withColumn("_weather", normalized_name(weather_column)) if names else df
     sums = [c for c in SUMMED if c in df.columns and c not in exclude]
     means = [c for c in AVERAGED if c in df.columns and c not in exclude]
-    return df.groupBy(*by).agg(
+    return named.groupBy(*by).agg(
         *[sum_or_zero(c).alias(c) for c in sums],
         *[F.avg(F.col(c).cast("double")).alias(c) for c in means],
-        *[F.avg(flag).alias(n) for n, flag in flags.items()],
+        *[(F.count_if(F.col("_weather") == n) / F.count("*")).alias(n) for n in names],
     )
 
 

@@ -1,14 +1,13 @@
 """Scores of regressors and classifiers, for many runs at once."""
 
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import EPSILON, as_column, hash32
 from ..session import join_stats, settle
-from .ranks import exact_median, global_index, running_total
+from .ranks import exact_median, running_total
 
 REGRESSION_SCORES = ["MAE", "MSE", "RMSE", "MAPE", "MedAE", "R2", "ExplainedVar"]
 
@@ -270,6 +269,10 @@ def weighted_f1(counts: DataFrame, keys: list[str]) -> DataFrame:
     return average_scores(class_scores(counts, keys), keys).filter("avg_mode = 'weighted'").select(*keys, "f1")
 
 
+# Rows that one task orders for a shuffle; the number of blocks follows from the data alone.
+SHUFFLE_BLOCK = 250_000
+
+
 def permutation_importance(
     df: DataFrame,
     key: str,
@@ -277,47 +280,38 @@ def permutation_importance(
     truth: str,
     predict: Callable[[dict[str, Column]], Column],
     runs: int = 5,
-    order: Callable[[int], Column] | None = None,
+    order: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Drop of the weighted F1 when one feature is shuffled; mean over independent shuffles.
 
-    A shuffle pairs the rows in one hash order with the rows in another one, by position. Both
-    orders are indexed in hash buckets, and all features of a run share one join.
+    ``key`` identifies a row. A shuffle hands every row the features of the row behind it in a
+    hash order that differs by run (the last row gets those of the first). Ordering happens in
+    blocks of random rows, so one shuffle of the rows serves all features of a run, without a join.
     """
-    order = order or (lambda run: hash32(key, F.lit(run)))
+    order = order or (lambda run: hash32(key, run))
     rows = df.select(key, truth, *features)
-    base = global_index(rows, order(-1), [key], "_pos")
-    base_score = weighted_f1(
-        rows.groupBy(F.col(truth).alias("truth"), predict({f: F.col(f) for f in features}).alias("pred")).agg(
-            F.count("*").alias("n")
-        ),
-        [],
-    ).withColumnRenamed("f1", "_base")
-
+    blocks = rows.count() // SHUFFLE_BLOCK + 1
+    spread = rows.withColumn("run", F.explode(F.array(*[F.lit(r) for r in range(runs)])))
+    spread = spread.withColumn("_hash", order(F.col("run")).cast("bigint"))
+    spread = spread.withColumn("_block", F.floor(F.col("_hash") * F.lit(blocks) / F.lit(2**32)))
+    w = Window.partitionBy("run", "_block").orderBy("_hash", key)
+    own = F.struct(*features)
+    shuffled = spread.withColumn("_other", F.coalesce(F.lead(own).over(w), F.first(own).over(w)))
+    plain = {f: F.col(f) for f in features}
     variants = F.array(
         *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                predict({g: F.col(f"_other_{g}") if g == f else F.col(g) for g in features}).alias("pred"),
-            )
+            F.struct(F.lit(f).alias("feature"), predict(plain | {f: F.col(f"_other.{f}")}).alias("pred"))
             for f in features
         ]
     )
-    shuffled = []
-    for run in range(runs):
-        other = global_index(rows, order(run), [key], "_pos").select(
-            "_pos", *[F.col(f).alias(f"_other_{f}") for f in features]
-        )
-        paired = base.join(other, "_pos").select(F.col(truth).alias("truth"), F.explode(variants).alias("v"))
-        shuffled.append(
-            paired.groupBy(F.lit(run).alias("run"), "v.feature", "truth", F.col("v.pred").alias("pred")).agg(
-                F.count("*").alias("n")
-            )
-        )
-    counts = reduce(DataFrame.unionByName, shuffled)
-    drops = join_stats(weighted_f1(counts, ["run", "feature"]), base_score, []).withColumn(
-        "_drop", F.col("_base") - F.col("f1")
+    counts = (
+        shuffled.select("run", F.col(truth).alias("truth"), F.explode(variants).alias("v"))
+        .groupBy("run", "v.feature", "truth", F.col("v.pred").alias("pred"))
+        .agg(F.count("*").alias("n"))
     )
+    unshuffled = label_counts(rows.withColumn("_pred", predict(plain)), [], truth, "_pred")
+    base = weighted_f1(unshuffled, []).withColumnRenamed("f1", "_base")
+    drops = join_stats(weighted_f1(counts, ["run", "feature"]), base, []).withColumn("_drop", F.col("_base") - F.col("f1"))
     return drops.groupBy("feature").agg(
         F.avg("_drop").alias("importance_mean"),
         *[F.max(F.when(F.col("run") == r, F.col("_drop"))).alias(f"imp_{r}") for r in range(runs)],

@@ -209,19 +209,18 @@ def learning_curve(
     rows = df.dropna(subset=[*xs, y]).select(key, *xs, y)
     placed = global_index(rows, order if order is not None else hash32(key), [key], "_i")
     total = rows.count()
-    i = F.col("_i")
-
-    def band(f: int) -> Column:
-        train_rows = total - (total - f + folds - 1) // folds
-        sizes = [int(s * train_rows + 1e-9) for s in shares]
-        place = i - F.floor((i - f + folds - 1) / folds)
-        step = sum(((place >= s).cast("int") for s in sizes), F.lit(0))
-        return F.struct(
-            F.lit(f).alias("fold"), F.when(i % folds == f, F.lit(-1)).otherwise(step).alias("band")
-        )
-
-    spread = placed.withColumn("_b", F.explode(F.array(*[band(f) for f in range(folds)])))
-    sums = gram(spread.select(*xs, y, "_b.fold", "_b.band").filter(F.col("band") < len(shares)), ["fold", "band"], xs, [y])
+    i, f = F.col("_i"), F.col("fold")
+    # rows of the fold before position i, and in all
+    held_before = F.floor((i - f + (folds - 1)) / F.lit(folds))
+    train_rows = F.lit(total) - F.floor((F.lit(total) - f + (folds - 1)) / F.lit(folds))
+    place = F.col("_place")
+    step = sum(((place >= F.floor(F.lit(s) * F.col("_train_rows") + 1e-9)).cast("int") for s in shares), F.lit(0))
+    spread = (
+        placed.withColumn("fold", F.explode(F.array(*[F.lit(k) for k in range(folds)])))
+        .withColumns({"_place": i - held_before, "_train_rows": train_rows})
+        .withColumn("band", F.when(i % folds == f, F.lit(-1)).otherwise(step))
+    )
+    sums = gram(spread.filter(F.col("band") < len(shares)), ["fold", "band"], xs, [y])
 
     def r2(row, w, b):
         n, mx, my, xx, xy, yy = _centred(row, d, 1)

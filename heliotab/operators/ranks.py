@@ -18,6 +18,8 @@ from ..functions.scalars import nan_to_null
 from ..session import settle
 
 BUCKET = "_bucket"
+# Values that one task may hold to answer a quantile directly.
+SMALL = 1_000_000
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -25,14 +27,16 @@ def bucket_count(spark: SparkSession) -> int:
     return max(32, min(10_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """Sketched quantiles of ``value``: at most ``buckets`` numbers reach the driver."""
+def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> tuple[list[float], int]:
+    """Sketched quantiles of ``value`` and the number of values, from one pass.
+
+    At most ``buckets`` numbers reach the driver.
+    """
     n = buckets or bucket_count(df.sparkSession)
-    probs = [i / n for i in range(1, n)]
-    if not probs:
-        return []
-    cuts = df.approxQuantile(value, probs, 1 / (2 * n))
-    return sorted({c for c in cuts if c is not None and math.isfinite(c)})
+    shares = ", ".join(repr(i / n) for i in range(1, n)) or "0.5"
+    sketch = F.expr(f"percentile_approx(`{value}`, array({shares}), {2 * n})")
+    row = df.agg(sketch.alias("cuts"), F.count(value).alias("n")).first()
+    return sorted({c for c in row.cuts or [] if math.isfinite(c)}) if n > 1 else [], row.n
 
 
 def with_bucket(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
@@ -56,7 +60,8 @@ def running_total(
 
     ``df`` must hold one row per (keys, value); ``value`` is a double.
     """
-    rows = with_bucket(df, value, cut_points(df, value, buckets))
+    cuts, n = cut_points(df, value, buckets)
+    rows = with_bucket(df, value, cuts if n > SMALL or buckets else [])
     totals = rows.groupBy(*keys, BUCKET).agg(*[F.sum(w).alias(f"_total_{w}") for w in weights])
     earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -88,8 +93,8 @@ def exact_quantiles(
 
     Only the buckets that hold a wanted rank are ordered: counting the buckets needs a
     scan with map-side combine (settled: a few rows per key), and of the rows themselves just
-    those few buckets move.
-    ``approx`` returns the sketch's own answer in a single pass instead.
+    those few buckets move. Up to a million values the built-in percentile does the same in one
+    aggregate. ``approx`` returns the sketch's own answer in a single pass instead.
     """
     rows = df.select(*keys, nan_to_null(F.col(value).cast("double")).alias(value)).dropna(subset=[value])
     if approx:
@@ -97,7 +102,13 @@ def exact_quantiles(
         flat = rows.groupBy(*keys).agg(picked.alias("_q"))
         return flat.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
 
-    rows = with_bucket(rows, value, cut_points(rows, value, buckets))
+    cuts, n = cut_points(rows, value, buckets)
+    if n <= SMALL and not buckets:
+        exact = F.percentile(value, [float(p) for p in probs.values()]).alias("_q")
+        flat = rows.groupBy(*keys).agg(exact)
+        return flat.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
+
+    rows = with_bucket(rows, value, cuts)
     earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     counts = (

@@ -28,11 +28,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def get_session(app_name: str = "heliotab", master: str | None = None, conf: dict | None = None) -> SparkSession:
+# What one shuffle partition should hold, so that it sorts in executor memory.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Settings for a job over ``input_bytes`` of data; adaptive execution merges what is too many."""
+    partitions = max(200, min(100_000, input_bytes // PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(2 * PARTITION_BYTES),
+    }
+
+
+def get_session(app_name: str = "heliotab", master: str | None = None, conf: dict | None = None, input_bytes: int = 0) -> SparkSession:
+    """A session with the settings above, sized for ``input_bytes`` when given."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    sized = sizing(input_bytes) if input_bytes else {}
+    for key, value in {**RUNTIME_CONF, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 MAX_ROWS_PER_FILE = 5_000_000
 
 
-def write_series(df: DataFrame, path: str, mode: str = "overwrite", ts: str = "timestamp") -> None:
+def write_series(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Power, weather or enriched table as Parquet, one directory per installation.
 
-    Rows are spread by installation and month, so a dominant installation is still written
-    by many tasks while every task opens few files.
+    Rows are rebalanced by installation: adaptive execution splits a dominant installation over
+    many tasks and packs small ones together, so files are neither huge nor tiny.
     """
     (
-        df.withColumn("_month", F.trunc(ts, "month"))
-        .repartition("installation", "_month")
-        .drop("_month")
+        df.hint("rebalance", "installation")
         .write.mode(mode)
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .partitionBy("installation")
