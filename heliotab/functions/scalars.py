@@ -20,8 +20,12 @@ def nan_to_null(c) -> Column:
 
 
 def to_number(c) -> Column:
-    """Text to double, anything malformed becomes null."""
-    return nan_to_null(as_column(c).try_cast("double"))
+    """Text to double, anything malformed becomes null.
+
+    The cast would read ``5d`` and ``5f`` as numbers, as Java literals; here they are malformed.
+    """
+    c = as_column(c)
+    return nan_to_null(F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c).try_cast("double"))
 
 
 def total(*cols) -> Column:

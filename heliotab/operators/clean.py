@@ -55,7 +55,8 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 
 def coerce_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Text to double; malformed values become null."""
-    return df.withColumns({c: to_number(c) for c in cols})
+    text = {f.name for f in df.schema if f.dataType.typeName() == "string"}
+    return df.withColumns({c: to_number(c) if c in text else nan_to_null(F.col(c).cast("double")) for c in cols})
 
 
 def strict_numeric(df: DataFrame, cols: list[str]) -> DataFrame:

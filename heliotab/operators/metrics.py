@@ -45,21 +45,24 @@ def regression_metrics(df: DataFrame, keys: list[str], truth: str = "y", pred: s
 
 
 def regression_metrics_multi(df: DataFrame, keys: list[str], target: str = "target", truth: str = "y", pred: str = "pred") -> DataFrame:
-    """Scores per target, and their uniform mean on values scaled to the range of each truth.
+    """Scores per target (``kind`` single), and per key their uniform mean on scaled values (``scaled``).
 
-    Returns ``single`` rows (one per target) and one ``scaled`` row per key with ``_scaled`` meaning.
+    Scaling to the range of the truth is affine, so all scaled scores but MAPE follow from the
+    single ones and the width of the range.
     """
     by = [*keys, target]
-    df = df.dropna(subset=[truth, pred])
-    limits = settle(df.groupBy(*by).agg(F.min(truth).alias("_lo"), F.max(truth).alias("_hi")))
-    width = F.when(F.col("_hi") == F.col("_lo"), 1.0).otherwise(F.col("_hi") - F.col("_lo"))
-    scaled = (
-        df.join(limits, by)
-        .withColumns({truth: (F.col(truth) - F.col("_lo")) / width, pred: (F.col(pred) - F.col("_lo")) / width})
-        .drop("_lo", "_hi")
+    rows = settle(df.select(*by, truth, pred).dropna(subset=[truth, pred]), "predictions")
+    y, p = F.col(truth), F.col(pred)
+    span = F.max(y) - F.min(y)
+    limits = rows.groupBy(*by).agg(F.min(y).alias("_lo"), F.when(span == 0, 1.0).otherwise(span).alias("_width"))
+    limits = settle(limits, "limits")
+    single = settle(regression_metrics(rows, by, truth, pred), "scores")
+    relative = F.abs(y - p) / F.col("_width") / F.greatest(F.abs((y - F.col("_lo")) / F.col("_width")), F.lit(EPSILON))
+    mape = rows.join(limits, by).groupBy(*by).agg(F.avg(relative).alias("MAPE"))
+    width = F.col("_width")
+    per_target = single.drop("MAPE").join(limits, by).join(mape, by).withColumns(
+        {"MAE": F.col("MAE") / width, "MSE": F.col("MSE") / (width * width), "MedAE": F.col("MedAE") / width}
     )
-    single = regression_metrics(df, by, truth, pred)
-    per_target = regression_metrics(scaled, by, truth, pred)
     averaged = [m for m in REGRESSION_SCORES if m != "RMSE"]
     mean = per_target.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.avg(m).alias(m) for m in averaged])
     overall = mean.withColumn("RMSE", F.sqrt("MSE")).withColumn(target, F.lit(None).cast("string"))

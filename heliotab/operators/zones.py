@@ -1,6 +1,7 @@
 """Local wall-clock text to UTC, with daylight-saving changes resolved by file order."""
 
 from datetime import datetime, timedelta, timezone
+from functools import lru_cache
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,8 +15,10 @@ _TRANSITION_SCHEMA = (
 )
 
 
-def _transitions(zone: str, first_year: int, last_year: int):
-    """Offset changes of one zone as (day, local start, local end, gap?, UTC instant, offset after)."""
+@lru_cache(maxsize=None)
+def _transitions(zone: str, first_year: int, last_year: int) -> list[tuple]:
+    """Offset changes of one zone as (zone, day, local start, local end, gap?, UTC instant, offset after)."""
+    found = []
     tz, step = ZoneInfo(zone), timedelta(days=1)
     at = datetime(first_year, 1, 1, tzinfo=timezone.utc)
     end = datetime(last_year + 1, 1, 1, tzinfo=timezone.utc)
@@ -32,9 +35,10 @@ def _transitions(zone: str, first_year: int, last_year: int):
             start, stop = sorted((wall + offset, wall + new))
             day = start.date()
             while day <= stop.date():
-                yield zone, day, start, stop, new > offset, high, int(new.total_seconds())
+                found.append((zone, day, start, stop, new > offset, high, int(new.total_seconds())))
                 day += timedelta(days=1)
         at, offset = later, new
+    return found
 
 
 def transition_table(spark: SparkSession, zones: list[str], first_year=1970, last_year=2100) -> DataFrame:
@@ -50,6 +54,7 @@ def to_utc(
     group: tuple[str, ...] = ("installation",),
     order: tuple[str, ...] = (),
     zones: list[str] | None = None,
+    flag: str | None = None,
 ) -> DataFrame:
     """Replace the text in ``column`` by a UTC timestamp.
 
@@ -57,7 +62,7 @@ def to_utc(
     zone name), and a missing zone fails the job. Wall-clock times that a zone skips move to
     the instant of the change. Times that occur twice are told apart by their order: within
     ``group`` the first one (by ``order``) is summer time, the second one standard time; a time
-    seen only once stays summer time.
+    seen only once stays summer time, and ``flag`` names a column that marks it.
     """
     spark, z = df.sparkSession, F.trim(F.col(zone))
     text = F.trim(F.col(column).cast("string"))
@@ -93,8 +98,9 @@ def to_utc(
         )
         .otherwise(F.col("_local").cast("timestamp") - F.make_interval(hours=F.col("_shift")))
     )
+    marks = [flag] if flag else []
     if not zones:
-        return rows.withColumn(column, plain).select(*df.columns)
+        return rows.withColumn(column, plain).select(*df.columns, *[F.lit(False).alias(m) for m in marks])
 
     changes = transition_table(spark, zones)
     hit = (F.col("_local") >= F.col("_start")) & (F.col("_local") < F.col("_end"))
@@ -107,7 +113,12 @@ def to_utc(
     repeats = Window.partitionBy(*group, "_local").orderBy(*(order or (column,)))
     repeated = (
         marked.filter(twice)
-        .withColumn("_occurrence", F.row_number().over(repeats))
+        .withColumns(
+            {
+                "_occurrence": F.row_number().over(repeats),
+                "_times": F.count("*").over(Window.partitionBy(*group, "_local")),
+            }
+        )
         .withColumn(
             column,
             F.when(
@@ -117,6 +128,7 @@ def to_utc(
                 F.col("_instant") - (F.col("_end") - F.col("_local"))
             ),
         )
-        .drop("_occurrence")
     )
-    return once.select(*df.columns).unionByName(repeated.select(*df.columns))
+    return once.select(*df.columns, *[F.lit(False).alias(m) for m in marks]).unionByName(
+        repeated.select(*df.columns, *[(F.col("_times") == 1).alias(m) for m in marks])
+    )

@@ -3,7 +3,7 @@
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cyclic import with_doy_trig, with_periodic
@@ -28,6 +28,9 @@ from ..session import settle
 OBSERVED = ["radiation_global", "sunshine_duration"]
 # Fixed value: first day of the weather history that jobs ask for.
 HISTORY_START = date(2012, 1, 1)
+PARAMS_SCHEMA = (
+    "numeric array<string>, features array<string>, horizon string, categories array<string>, keys array<string>"
+)
 
 
 def history_window(run_date: date) -> tuple[date, date]:
@@ -35,6 +38,12 @@ def history_window(run_date: date) -> tuple[date, date]:
     return HISTORY_START, run_date - timedelta(days=1)
 
 
+def scoring_window(run_date: date, horizon: str = "daily") -> tuple[date, date]:
+    """Days that may be scored on a run date: a year back and ten days ahead, hourly three each way."""
+    back, ahead = {"daily": (365, 10), "hourly": (3, 3)}[horizon]
+    return run_date - timedelta(days=back), run_date + timedelta(days=ahead)
+
+
 @dataclass
 class SolarModel:
     """A fitted model: scaler and coefficient tables, one row per installation each."""
@@ -49,6 +58,30 @@ class SolarModel:
     metrics: DataFrame | None = field(default=None)
 
 
+def save_model(model: SolarModel, path: str) -> None:
+    """Scaler and coefficients as Parquet, the column lists as one JSON row."""
+    root = path.rstrip("/")
+    model.scaler.write.mode("overwrite").parquet(f"{root}/scaler")
+    model.coefficients.write.mode("overwrite").parquet(f"{root}/coefficients")
+    lists = (model.numeric, model.features, model.horizon, model.categories, list(model.keys))
+    params = model.scaler.sparkSession.createDataFrame([lists], PARAMS_SCHEMA)
+    params.coalesce(1).write.mode("overwrite").json(f"{root}/params")
+
+
+def load_model(spark: SparkSession, path: str) -> SolarModel:
+    root = path.rstrip("/")
+    p = spark.read.schema(PARAMS_SCHEMA).json(f"{root}/params").first()
+    return SolarModel(
+        spark.read.parquet(f"{root}/scaler"),
+        spark.read.parquet(f"{root}/coefficients"),
+        p.numeric,
+        p.features,
+        p.horizon,
+        p.categories or [],
+        tuple(p.keys or ()),
+    )
+
+
 def cyclic_features(df: DataFrame, horizon: str) -> tuple[DataFrame, list[str]]:
     """Day-of-year sin/cos, and hour sin/cos for hourly models."""
     out, names = with_doy_trig(df, "date"), ["date_doy_sin", "date_doy_cos"]

@@ -55,8 +55,22 @@ def write_model(coefficients: DataFrame, path: str) -> None:
     coefficients.write.mode("overwrite").parquet(path)
 
 
-def write_learning_curve(curve: DataFrame, path: str) -> None:
-    write_csv(curve, path)
+def curve_table(curve: DataFrame, score: str, folds: int = 5) -> DataFrame:
+    """One row per train size with a column ``scores_i`` per fold."""
+    per_fold = [F.max(F.when(F.col("fold") == i, F.col(score))).alias(f"scores_{i}") for i in range(folds)]
+    return curve.groupBy(F.col("share").alias("train_sizes")).agg(*per_fold)
+
+
+def write_learning_curve(curve: DataFrame, path: str, folds: int = 5, scoring: str = "r2", seconds: float | None = None) -> None:
+    """Train and validation scores per fold as CSV, and a one-row summary as JSON."""
+    root = path.rstrip("/")
+    write_csv(curve_table(curve, "train_score", folds), f"{root}/train_scores")
+    write_csv(curve_table(curve, "validation_score", folds), f"{root}/validation_scores")
+    sizes = F.array_sort(F.collect_set("share")).alias("train_sizes")
+    summary = curve.agg(
+        F.lit(folds).alias("cv"), F.lit(scoring).alias("scoring"), sizes, F.lit(seconds).cast("double").alias("training_time_sec")
+    )
+    summary.write.mode("overwrite").json(f"{root}/summary")
 
 
 def write_importance(importance: DataFrame, path: str) -> None:

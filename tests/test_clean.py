@@ -52,6 +52,13 @@ def test_repeated_hour_follows_file_order(spark, frame):
     ]
 
 
+def test_repeated_hour_seen_once_is_marked(spark, frame):
+    z = "Europe/Berlin"
+    rows = [(1, "a", "2024-10-27 02:30", z), (2, "b", "2024-10-27 02:30", z), (3, "b", "2024-10-27 02:30", z), (4, "a", "2024-10-27 05:00", z)]
+    out = to_utc(frame(rows, "n int, installation string, timestamp string, timezone string"), order=("n",), flag="unsure")
+    assert [(r.timestamp.hour, r.unsure) for r in out.orderBy("n").collect()] == [(0, True), (0, False), (1, False), (4, False)]
+
+
 def test_half_hour_change(spark, frame):
     z = "Australia/Lord_Howe"
     rows = [(1, "a", "2024-10-06 02:15", z), (2, "a", "2024-04-07 01:45", z), (3, "a", "2024-04-07 01:45", z)]
@@ -82,8 +89,9 @@ def test_strict_numeric_fails(spark, frame):
         strict_numeric(frame([("abc",)], "x string"), ["x"]).collect()
 
 
-def test_nan_becomes_null(spark):
-    assert spark.range(1).select(to_number(F.lit("NaN")).alias("x")).first().x is None
+@pytest.mark.parametrize("text, number", [("NaN", None), ("5d", None), ("5.f ", None), (" 5 ", 5.0), ("1e3", 1000.0), ("inf", math.inf), ("", None)])
+def test_number_text(spark, text, number):
+    assert spark.range(1).select(to_number(F.lit(text)).alias("x")).first().x == number
 
 
 def test_totals(spark, frame):

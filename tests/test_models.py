@@ -1,5 +1,7 @@
 """Models and scores against hand-worked cases and brute force."""
 
+from datetime import date
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,7 +34,8 @@ from heliotab.operators.models import (
     ridge_predict,
     ridge_predict_multi,
 )
-from heliotab.plans.jobs import score_batch, train_solar_model
+from heliotab.plans.jobs import history_window, load_model, retrain, save_model, score_batch, scoring_window, train_solar_model
+from heliotab.sources.sinks import write_learning_curve
 
 
 def numpy_ridge(x, y, alpha):
@@ -219,7 +222,7 @@ def test_regression_record(spark, frame):
     assert r.model_name == "timestamp_model_class_r205000_model_purpose_special_features" and r.R2 == 0.5
 
 
-def test_train_and_score_agree(spark, frame):
+def test_train_and_score_agree(spark, frame, tmp_path):
     """Training and batch scoring equal the same steps in NumPy."""
     rows = [
         ("a", f"2024-{m:02d}-{d:02d} {h:02d}:00", float((d * h + m) % 17) * 100, ["Rain", "Clear Sky"][d % 2])
@@ -248,5 +251,33 @@ def test_train_and_score_agree(spark, frame):
     error = y[-14:] - expected[-14:]
     assert metrics.MAE == pytest.approx(np.abs(error).mean()) and metrics.MedAE == pytest.approx(np.median(np.abs(error)))
 
-    scored = {r.date: r.pred for r in score_batch(weather, model).collect()}
-    assert [scored[d] for d in days.date] == pytest.approx(expected, abs=1e-9)
+    save_model(model, str(tmp_path / "m"))
+    for kept in (model, load_model(spark, str(tmp_path / "m"))):
+        scored = {r.date: r.pred for r in score_batch(weather, kept).collect()}
+        assert [scored[d] for d in days.date] == pytest.approx(expected, abs=1e-9)
+
+
+def test_hourly_model(spark, frame):
+    rows = [("a", f"2024-01-{d:02d} {h:02d}:00", float(max(0, 6 - abs(h - 12))) * (1 + d % 3), "Rain") for d in range(1, 25) for h in range(24)]
+    weather = frame(rows, "installation string, timestamp timestamp, sunshine_duration double, weather_description string")
+    power = weather.select("installation", "timestamp", (F.col("sunshine_duration") / 10).alias("sol_prod"))
+    model = retrain(power, weather, "hourly", categories=["rain"], validate=True)
+    assert model.features == ["sunshine_duration", "rain", "date_doy_sin", "date_doy_cos", "hour_sin", "hour_cos"]
+    m = model.metrics.first()
+    assert m.R2 > 0.95 and 60 < m.n < 170
+    scored = score_batch(weather, model)
+    # the last hour has a single step, every other one four
+    assert scored.count() == 24 * 24 and {r.time.hour for r in scored.collect()} == set(range(24))
+
+
+def test_windows():
+    assert history_window(date(2025, 3, 1)) == (date(2012, 1, 1), date(2025, 2, 28))
+    assert scoring_window(date(2025, 3, 1), "hourly") == (date(2025, 2, 26), date(2025, 3, 4))
+
+
+def test_curve_files(spark, frame, tmp_path):
+    curve = frame([(f, s, 10, s, -s) for f in (0, 1) for s in (0.5, 1.0)], "fold int, share double, train_size bigint, train_score double, validation_score double")
+    write_learning_curve(curve, str(tmp_path / "c"), folds=2)
+    back = spark.read.csv(str(tmp_path / "c/validation_scores"), sep=";", header=True, inferSchema=True)
+    assert sorted(tuple(r) for r in back.collect()) == [(0.5, -0.5, -0.5), (1.0, -1.0, -1.0)]
+    assert spark.read.json(str(tmp_path / "c/summary")).first().train_sizes == [0.5, 1.0]
