@@ -9,6 +9,7 @@ from ..operators.clean import (
     coerce_numeric,
     describe_codes,
     events_on_series_days,
+    label_of,
     normalize_peak,
     recover_total,
     recoverable_rows,
@@ -252,6 +253,20 @@ def parse_event_dates(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", parse_event_date(text).alias("date"))
 
 
+@query(
+    "composite_labels",
+    f"""WITH {READINGS} SELECT event_id, installation || ' ' || CAST(year("timestamp") AS VARCHAR) AS series,
+        'day ' || CAST(isodow("timestamp") - 1 AS VARCHAR) AS weekday FROM readings""",
+)
+def composite_labels(spark, sf_dir):
+    at = F.col("timestamp")
+    return readings(spark, sf_dir).select(
+        "event_id",
+        label_of("installation", F.year(at)).alias("series"),
+        label_of(F.lit("day"), F.weekday(at)).alias("weekday"),
+    )
+
+
 @query(
     "unknown_installations",
     """SELECT DISTINCT 'cust_' || CAST(o_custkey AS VARCHAR) AS installation FROM orders

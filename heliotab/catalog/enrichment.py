@@ -20,7 +20,7 @@ from ..operators.weather import (
     upsample_ffill,
     weather_coverage,
 )
-from ..plans.jobs import OBSERVED, observed_weather
+from ..plans.jobs import OBSERVED, enrich_observed, observed_weather
 from ..session import scratch_dir
 from ..sources.weather_files import flatten_responses, read_responses, route_by_date
 from .registry import query
@@ -307,6 +307,23 @@ def observed(spark, sf_dir):
     )
 
 
+@query(
+    "enrich_observed",
+    f"""WITH {OBSERVATIONS}, {_COMBINED}, {LISTED_STATIONS}, {_IN_RANGE}, {_CHOSEN}, {_PIVOTED},
+        {_GRID.format(t="pivoted")}, {_FILLED}, {_REGRID.format(t="filled")}
+        SELECT installation, "timestamp", year, round(radiation_global, 4) AS radiation_global,
+        round(sunshine_duration, 4) AS sunshine_duration FROM yearly LEFT JOIN quarters USING (installation, "timestamp")""",
+)
+def readings_with_observed_weather(spark, sf_dir):
+    o = observations(spark, sf_dir)
+    return enrich_observed(
+        yearly_readings(spark, sf_dir),
+        o.filter("period = 'historical'"),
+        o.filter("period = 'recent'"),
+        station_list(listed_stations(spark, sf_dir)),
+    )
+
+
 _NEAR = """near AS (SELECT installation, station_id, 2 * 6371.0 * asin(least(1.0, sqrt(
     pow(sin(radians(t.latitude - s.latitude) / 2), 2) + cos(radians(s.latitude)) * cos(radians(t.latitude))
     * pow(sin(radians(t.longitude - s.longitude) / 2), 2)))) AS distance FROM sites s, stations t),

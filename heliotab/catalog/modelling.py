@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..functions.cyclic import with_doy_trig
-from ..functions.timeparts import utc_date
 from ..operators.aggregate import period_features
 from ..operators.features import minmax_apply, minmax_fit
 from ..operators.metrics import permutation_importance
@@ -25,13 +24,11 @@ from .stand_ins import (
     DAILY_YIELD,
     HOURLY_WEATHER,
     QUARTER_HOURLY,
-    READINGS,
     WEATHER_LONG,
     daily_weather,
     daily_yield,
     hourly_weather,
     quarter_hourly,
-    readings,
     table,
     weather_long,
 )

@@ -1,7 +1,5 @@
 """Profiles, correlations, outliers and distributions."""
 
-from pyspark.sql import functions as F
-
 from ..operators.profile import (
     correlation_matrix,
     describe,

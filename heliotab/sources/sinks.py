@@ -51,10 +51,6 @@ def write_run_records(records: DataFrame, root: str, name: str = "name") -> None
     fs.delete(path(staging), True)
 
 
-def write_model(coefficients: DataFrame, path: str) -> None:
-    coefficients.write.mode("overwrite").parquet(path)
-
-
 def curve_table(curve: DataFrame, score: str, folds: int = 5) -> DataFrame:
     """One row per train size with a column ``scores_i`` per fold."""
     per_fold = [F.max(F.when(F.col("fold") == i, F.col(score))).alias(f"scores_{i}") for i in range(folds)]

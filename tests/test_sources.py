@@ -7,10 +7,20 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from heliotab.sources.power_files import SITE_SCHEMA, ingest_power, read_power_files, read_sites
-from heliotab.sources.run_files import nested_field, scan_runs, select_fields
-from heliotab.sources.sinks import prediction_export, write_csv, write_run_records, write_series
-from heliotab.sources.weather_files import flatten_responses, read_responses, read_seasonal_events, route_by_date
+from heliotab.operators.clean import clear_nan, label_of
+from heliotab.operators.compare import baselines, ranked, run_at
+from heliotab.sources.power_files import SITE_SCHEMA, ingest_power, read_power_files, read_series, read_sites
+from heliotab.sources.run_files import scan_runs, select_fields
+from heliotab.sources.sinks import prediction_export, write_csv, write_importance, write_run_records, write_series
+from heliotab.sources.weather_files import (
+    flatten_responses,
+    read_observations,
+    read_responses,
+    read_seasonal_events,
+    read_weather_codes,
+    route_by_date,
+    site_weather,
+)
 
 
 def write(path, text):
@@ -68,6 +78,9 @@ def test_weather_response(spark, frame, tmp_path):
     write(tmp_path / "r.json", json.dumps(body))
     codes = frame([(0, "Clear Sky")], "code_figure int, code_name string")
     rows = flatten_responses(read_responses(spark, str(tmp_path / "r.json")), codes).orderBy("timestamp").collect()
+    sites = frame([("a",), ("z",)], "installation string")
+    assert site_weather(read_responses(spark, str(tmp_path / "r.json")), sites).count() == 2
+    assert site_weather(read_responses(spark, str(tmp_path / "r.json")), sites.filter("installation = 'z'")).count() == 0
     assert [(r.timestamp.hour, r.cloud_cover, r.snow_depth, r.is_day, r.weather_description) for r in rows] == [
         (0, 0.0, 0.0, None, "Clear Sky"),
         (1, 50.0, 1.0, 1.0, "Unknown"),
@@ -108,6 +121,7 @@ def test_series_sink(spark, frame, tmp_path):
     write_series(df, str(tmp_path / "s"))
     back = spark.read.parquet(str(tmp_path / "s"))
     assert sorted((r.installation, r.sol_prod) for r in back.collect()) == [("a", 1.0), ("b", 2.0)]
+    assert read_series(spark, str(tmp_path / "s"), ["installation", "sol_prod"]).columns == ["installation", "sol_prod"]
     write_csv(df, str(tmp_path / "c"))
     assert spark.read.csv(str(tmp_path / "c"), sep=";", header=True).count() == 2
 
@@ -115,3 +129,27 @@ def test_series_sink(spark, frame, tmp_path):
 def test_prediction_export(spark, frame):
     r = prediction_export(frame([("a", "2024-01-01", 1.23456)], "installation string, date date, pred double")).first()
     assert r.predicted == pytest.approx(1.235)
+
+
+def test_codes_and_observations(spark, frame, tmp_path):
+    write(tmp_path / "codes.csv", 'code_figure;code_name\n0;"Clear Sky"\n1;"Cloudy"\n')
+    assert [(r.code_figure, r.code_name) for r in read_weather_codes(spark, str(tmp_path / "codes.csv")).collect()] == [(0, "Clear Sky"), (1, "Cloudy")]
+    rows = frame(
+        [("r", "d", "01", "p", "2024-01-01", float("nan"), 1.0)],
+        "resolution string, dataset string, station_id string, parameter string, date timestamp, value double, quality double",
+    )
+    rows.write.parquet(str(tmp_path / "obs"))
+    assert read_observations(spark, str(tmp_path / "obs")).first().value is None
+    assert clear_nan(rows).first().value is None
+
+
+def test_run_helpers(spark, frame, tmp_path):
+    runs = frame([("a", "2024", "baseline-x", 0.1), ("b", "2025", "predict", 0.9)], "name string, timestamp string, model_purpose string, R2 double")
+    assert [r.name for r in ranked(runs).collect()] == ["b", "a"] and [r.name for r in ranked(runs, False).collect()] == ["a", "b"]
+    assert [r.name for r in baselines(runs, keep=False).collect()] == ["b"]
+    assert run_at(runs, "2024").first().name == "a"
+    with pytest.raises(ValueError):
+        run_at(runs, "1999")
+    assert runs.select(label_of("name", F.lit(2024)).alias("l")).first().l == "a 2024"
+    write_importance(frame([("f", 0.5)], "feature string, importance_mean double"), str(tmp_path / "i"))
+    assert spark.read.csv(str(tmp_path / "i"), sep=";", header=True).first().feature == "f"
