@@ -369,9 +369,10 @@ def classification_record(
     cells = matrix.groupBy(*keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "n")))).alias("conf_matrix")
     )
+    stored = ["precision", "recall", F.col("f1").alias("f1-score"), "support"]
     lines = classification_report(scores, keys).groupBy(*keys).agg(
         F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct("label", F.struct("precision", "recall", "f1", "support").alias("s"))))
+            F.array_sort(F.collect_list(F.struct("label", F.struct(*stored).alias("s"))))
         ).alias("classification_report")
     )
     joined = averaged.join(balanced_accuracy(scores, keys), keys).join(cells, keys).join(lines, keys)

@@ -113,7 +113,7 @@ def entropy(df: DataFrame, cols: list[str]) -> DataFrame:
 def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column."""
     x = F.col("value")
-    long = long_numbers(df, cols or numeric_columns(df)).filter(x.isNotNull())
+    long = long_numbers(df, cols or numeric_columns(df))
     basic = long.groupBy("variable").agg(
         F.count(x).alias("count"),
         F.avg(x).alias("mean"),
@@ -122,7 +122,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
         F.max(x).alias("max"),
     )
     quartiles = exact_quantiles(long, ["variable"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, approx=approx)
-    return basic.join(quartiles, "variable")
+    return basic.join(quartiles, "variable", "left")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.3) -> DataFrame:

@@ -1,6 +1,6 @@
 """The registry of stored model runs: ``<root>/<run>/<run>.results.json``."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 METADATA = ["model_name", "timestamp", "model_purpose", "model_class", "special_features"]
@@ -41,5 +41,25 @@ def scan_runs(spark: SparkSession, root: str, schema: str = RUN_SCHEMA) -> DataF
     )
 
 
+def stored_reports(runs: DataFrame, keys: tuple[str, ...] = ("name",)) -> DataFrame:
+    """Lines of the stored classification reports: label, precision, recall, f1, support.
+
+    The accuracy entry may be a bare number; it then stands for all three scores and takes the
+    support of the macro average.
+    """
+    entries = F.explode(F.from_json("classification_report", "map<string, string>")).alias("label", "_json")
+    line = F.from_json("_json", "precision double, recall double, `f1-score` double, support double")
+    number = F.col("_json").try_cast("double")
+    lines = runs.select(*keys, entries).withColumns({"_line": line, "_number": number})
+    support = F.max(F.when(F.col("label") == "macro avg", F.col("_line.support"))).over(Window.partitionBy(*keys))
+    scores = {"precision": "precision", "recall": "recall", "f1": "f1-score"}
+    return lines.select(
+        *keys,
+        "label",
+        *[F.coalesce("_number", F.col("_line").getField(field)).alias(name) for name, field in scores.items()],
+        F.coalesce(F.col("_line.support"), support).cast("bigint").alias("support"),
+    )
+
+
 def select_fields(runs: DataFrame, fields: list[str]) -> DataFrame:
     return runs.select("name", *[nested_field(f).alias(f) for f in fields])

@@ -178,6 +178,7 @@ def test_classification_scores(spark, frame):
     record = classification_record(df, ["run"], ["a", "b", "c"], meta)
     r = record.first()
     assert r.model_name == "timestamp_model_class_f105200_model_purpose_special_features"
+    assert r.classification_report["a"]["f1-score"] == 0.5
     assert r.conf_matrix["C_2_0"] == 1 and r.classification_report["macro avg"].recall == 0.5 and r.roc_auc_score == ""
     back = {x.truth: (x.a, x.b, x.c) for x in confusion_pivot(record, ["run"], ["a", "b", "c"]).collect()}
     assert back == {"a": (1, 1, 0), "b": (0, 2, 0), "c": (1, 0, 0)}

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from heliotab.operators.clean import clear_nan, label_of
 from heliotab.operators.compare import baselines, ranked, run_at
 from heliotab.sources.power_files import SITE_SCHEMA, ingest_power, read_power_files, read_series, read_sites
-from heliotab.sources.run_files import scan_runs, select_fields
+from heliotab.operators.metrics import classification_record, format_report
+from heliotab.sources.run_files import scan_runs, select_fields, stored_reports
 from heliotab.sources.sinks import prediction_export, write_csv, write_importance, write_run_records, write_series
 from heliotab.sources.weather_files import (
     flatten_responses,
@@ -153,3 +154,30 @@ def test_run_helpers(spark, frame, tmp_path):
     assert runs.select(label_of("name", F.lit(2024)).alias("l")).first().l == "a 2024"
     write_importance(frame([("f", 0.5)], "feature string, importance_mean double"), str(tmp_path / "i"))
     assert spark.read.csv(str(tmp_path / "i"), sep=";", header=True).first().feature == "f"
+
+
+def test_stored_reports(spark, frame, tmp_path):
+    body = {
+        "classification_report": {
+            "a": {"precision": 0.5, "recall": 1.0, "f1-score": 0.25, "support": 2.0},
+            "accuracy": 0.6,
+            "macro avg": {"precision": 0.1, "recall": 0.2, "f1-score": 0.3, "support": 5.0},
+        },
+        "conf_matrix": {"C_0_0": 1},
+    }
+    write(tmp_path / "r1/r1.results.json", json.dumps(body))
+    runs = scan_runs(spark, str(tmp_path))
+    got = {r.label: (r.precision, r.recall, r.f1, r.support) for r in stored_reports(runs).collect()}
+    assert got == {"a": (0.5, 1.0, 0.25, 2), "accuracy": (0.6, 0.6, 0.6, 5), "macro avg": (0.1, 0.2, 0.3, 5)}
+    assert runs.first().conf_matrix == {"C_0_0": 1}
+
+
+def test_classification_records_round_trip(spark, frame, tmp_path):
+    df = frame([("r", t, p) for t, p in zip("aabbc", "abbba")], "run string, truth string, pred string")
+    meta = {k: F.lit(k) for k in ("timestamp", "model_purpose", "model_class", "special_features")}
+    record = classification_record(df, ["run"], ["a", "b", "c"], meta).withColumn("name", F.col("model_name"))
+    write_run_records(record, str(tmp_path))
+    runs = scan_runs(spark, str(tmp_path))
+    text = {r.label: r for r in format_report(stored_reports(runs), ["name"]).collect()}
+    assert (text["accuracy"].f1, text["accuracy"].support, text["weighted avg"].f1) == ("0.600", "5", "0.520")
+    assert runs.first().bal_accuracy == 0.5
