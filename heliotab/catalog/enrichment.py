@@ -15,6 +15,7 @@ from ..operators.stations import (
 from ..operators.weather import (
     climatology_fill,
     enrich_weather,
+    enriched_features,
     regrid_10_to_15,
     regular_grid,
     upsample_ffill,
@@ -25,6 +26,7 @@ from ..session import scratch_dir
 from ..sources.weather_files import flatten_responses, read_responses, route_by_date
 from .registry import query
 from .stand_ins import (
+    EVENT_TYPES,
     HOURLY_WEATHER,
     LISTED_STATIONS,
     OBSERVATIONS,
@@ -149,6 +151,25 @@ def enrich(spark, sf_dir):
     return enrich_weather(quarter_hourly(spark, sf_dir), hourly_weather(spark, sf_dir), validate=False)
 
 
+@query(
+    "enriched_features",
+    f"""WITH {HOURLY_WEATHER}, {QUARTER_HOURLY}, {_UPSAMPLED}
+    SELECT installation, CAST(date_trunc('day', "timestamp") AS TIMESTAMP) AS date, hour("timestamp") AS hour,
+      round(coalesce(sum(sol_prod), 0), 2) AS sol_prod, round(coalesce(sum(sunshine_duration), 0), 6) AS sunshine_duration,
+      round(coalesce(sum(direct_radiation), 0), 6) AS direct_radiation, round(avg(cloud_cover), 9) AS cloud_cover, """
+    + ", ".join(f"round(avg(CASE WHEN weather_description = '{t}' THEN 1.0 ELSE 0.0 END), 9) AS {t}" for t in EVENT_TYPES)
+    + """ FROM quarter_hourly LEFT JOIN grid USING (installation, "timestamp") GROUP BY 1, 2, 3""",
+    digits=6,
+    sol_prod=2,
+    cloud_cover=9,
+    **{t: 9 for t in EVENT_TYPES},
+)
+def features_of_enriched_readings(spark, sf_dir):
+    return enriched_features(
+        quarter_hourly(spark, sf_dir), hourly_weather(spark, sf_dir), "hourly", categories=EVENT_TYPES, validate=False
+    )
+
+
 @query(
     "weather_coverage",
     f"""WITH {READINGS}, {QUARTER_HOURLY}, {WEATHER_LONG},

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..functions.cyclic import with_doy_trig
-from ..operators.aggregate import period_features
 from ..operators.features import minmax_apply, minmax_fit
 from ..operators.metrics import permutation_importance
 from ..operators.models import (
@@ -16,7 +15,7 @@ from ..operators.models import (
     ridge_predict,
 )
 from ..operators.splits import chronological_holdout, random_split
-from ..operators.weather import enrich_weather
+from ..operators.weather import enriched_features
 from ..plans.jobs import retrain, score_batch, train_solar_model
 from .registry import query
 from .stand_ins import (
@@ -262,8 +261,8 @@ _PRED = f"my + wa * ((s - lo) / wd - ma) + wb * (sin({_ANGLE}) - mb) + wc * (cos
 def score(spark, sf_dir):
     """Train on power and weather, then predict every day of the weather table."""
     weather = _sunshine(spark, sf_dir)
-    enriched = enrich_weather(quarter_hourly(spark, sf_dir), weather, validate=False)
-    model = train_solar_model(period_features(enriched, "daily", categories=[]), holdout=7, categories=[])
+    features = enriched_features(quarter_hourly(spark, sf_dir), weather, "daily", categories=[], validate=False)
+    model = train_solar_model(features, holdout=7, categories=[])
     return score_batch(weather, model)
 
 

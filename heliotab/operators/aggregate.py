@@ -12,6 +12,8 @@ AVERAGED = ["cloud_cover", "snow_depth", "is_day"]
 # Weather types the models use.
 WEATHER_TYPES = ["clear_sky", "cloudy", "drizzle", "rain", "solid_precipitation"]
 
+PERIODS = {"daily": ["date"], "hourly": ["date", "hour"]}
+
 # An open list of weather types becomes columns, so it must stay column-sized.
 MAX_CATEGORIES = 1_000
 
@@ -63,11 +65,10 @@ def period_features(
     Energy, sunshine and radiation add up; cloud cover, snow depth and day flag are averaged;
     a weather type becomes the share of rows that have it.
     """
-    keys = {"daily": ["date"], "hourly": ["date", "hour"]}
-    if horizon not in keys:
+    if horizon not in PERIODS:
         raise ValueError(f"unknown horizon {horizon!r}")
     dated = df.withColumns({"date": utc_date(ts), "hour": F.hour(ts)})
-    return _period_features(dated, ["installation", *keys[horizon]], weather_column, categories, exclude)
+    return _period_features(dated, ["installation", *PERIODS[horizon]], weather_column, categories, exclude)
 
 
 def weather_share(df: DataFrame, by: list[str], col: str = "weather_description", categories: list[str] | None = None) -> DataFrame:

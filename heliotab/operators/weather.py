@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import normalized_name, sum_or_zero
 from ..functions.timeparts import slot_of_year
+from .aggregate import AVERAGED, PERIODS, SUMMED, category_names
 
 STEP_SECONDS = 15 * 60
 
@@ -80,6 +82,24 @@ def require_weather_coverage(power: DataFrame, weather: DataFrame, ts: str = "ti
         )
 
 
+def weather_by_hour(weather: DataFrame, additive: tuple[str, ...], step_seconds: int, source_seconds: int) -> DataFrame:
+    """Weather rows with the first and last step they hold for, once per source interval ("hour") touched.
+
+    ``_start``, ``_end`` are microseconds, ``_hour`` counts source intervals.
+    """
+    spread = _next_in_series(weather, ["installation"], "timestamp", "_until")
+    starts = F.unix_micros("timestamp")
+    ends = F.greatest(F.coalesce(F.unix_micros("_until") - step_seconds * 1_000_000, starts), starts)
+    hour = source_seconds * 1_000_000
+    share = source_seconds / step_seconds
+    return (
+        spread.withColumns({"_start": starts, "_end": ends})
+        .withColumn("_hour", F.explode(F.sequence(F.floor(F.col("_start") / hour), F.floor(F.col("_end") / hour))))
+        .withColumns({c: F.col(c) / share for c in additive if c in weather.columns})
+        .drop("timestamp", "_until")
+    )
+
+
 def enrich_weather(
     power: DataFrame,
     weather: DataFrame,
@@ -96,20 +116,10 @@ def enrich_weather(
     """
     if validate:
         require_weather_coverage(power, weather)
-    spread = _next_in_series(weather, ["installation"], "timestamp", "_until")
-    starts = F.unix_micros("timestamp")
-    ends = F.greatest(F.coalesce(F.unix_micros("_until") - step_seconds * 1_000_000, starts), starts)
-    hour = source_seconds * 1_000_000
-    share = source_seconds / step_seconds
-    weather_by_hour = (
-        spread.withColumns({"_start": starts, "_end": ends})
-        .withColumn("_hour", F.explode(F.sequence(F.floor(F.col("_start") / hour), F.floor(F.col("_end") / hour))))
-        .withColumns({c: F.col(c) / share for c in additive if c in weather.columns})
-        .drop("timestamp", "_until")
-    )
+    hourly = weather_by_hour(weather, additive, step_seconds, source_seconds)
     at = F.unix_micros("timestamp")
-    readings = power.withColumns({"_at": at, "_hour": F.floor(at / hour)})
-    r, w = readings.alias("r"), weather_by_hour.alias("w")
+    readings = power.withColumns({"_at": at, "_hour": F.floor(at / (source_seconds * 1_000_000))})
+    r, w = readings.alias("r"), hourly.alias("w")
     same_step = (
         (F.col("r.installation") == F.col("w.installation"))
         & (F.col("r._hour") == F.col("w._hour"))
@@ -120,6 +130,83 @@ def enrich_weather(
     return r.join(w, same_step, "left").select("r.*", *[f"w.{c}" for c in measures]).drop("_at", "_hour")
 
 
+def enriched_features(
+    power: DataFrame,
+    weather: DataFrame,
+    horizon: str = "daily",
+    weather_column: str = "weather_description",
+    categories: list[str] | None = None,
+    exclude: tuple[str, ...] = (),
+    validate: bool = True,
+    additive: tuple[str, ...] = ("sunshine_duration",),
+    step_seconds: int = STEP_SECONDS,
+    source_seconds: int = 3600,
+) -> DataFrame:
+    """Equal to ``period_features(enrich_weather(power, weather), horizon, ...)`` without joining readings.
+
+    The features need only how many readings each weather row meets. Readings are therefore counted
+    per hour and step before anything is shuffled; weather values are weighted with those counts.
+    """
+    if horizon not in PERIODS:
+        raise ValueError(f"unknown horizon {horizon!r}")
+    if validate:
+        require_weather_coverage(power, weather)
+    step, hour = step_seconds * 1_000_000, source_seconds * 1_000_000
+    names = category_names(weather, weather_column, categories)
+    own = [c for c in SUMMED if c in power.columns and c not in exclude]
+    sums = [c for c in SUMMED if c in weather.columns and c not in (*exclude, *own)]
+    means = [c for c in AVERAGED if c in weather.columns and c not in exclude]
+
+    at, place = F.unix_micros("timestamp"), F.floor((F.col("_at") - F.col("_hour") * hour) / step)
+    slots = range(source_seconds // step_seconds)
+    counted = (
+        power.withColumn("_at", at)
+        .withColumn("_hour", F.floor(F.col("_at") / hour))
+        .withColumns({"_place": place, "_phase": F.pmod(F.col("_at"), F.lit(step))})
+        .groupBy("installation", "_hour", "_phase")
+        .agg(
+            *[F.count_if(F.col("_place") == k).alias(f"_n{k}") for k in slots],
+            *[sum_or_zero(c).alias(c) for c in own],
+        )
+    )
+    meeting = ["installation", "_hour", "_phase"]
+    hourly = weather_by_hour(weather, additive, step_seconds, source_seconds)
+    hourly = hourly.withColumn("_phase", F.pmod(F.col("_start"), F.lit(step)))
+    if names:
+        hourly = hourly.withColumn("_weather", normalized_name(weather_column))
+    # several weather rows may share an hour; only the first one counts its readings themselves
+    hourly = hourly.withColumn("_rank", F.row_number().over(Window.partitionBy(*meeting).orderBy("_start")))
+    # readings of the slots that the weather row holds for
+    slot = {k: F.col("_hour") * hour + k * step + F.col("_phase") for k in slots}
+    met = sum(
+        (F.when(slot[k].between(F.col("_start"), F.col("_end")), F.col(f"_n{k}")).otherwise(F.lit(0)) for k in slots),
+        F.lit(0),
+    )
+    start_of_hour = F.timestamp_micros(F.col("_hour") * hour)
+    joined = counted.join(hourly, meeting, "left").withColumns(
+        {
+            "_met": met,
+            "_first": F.coalesce(F.col("_rank") == 1, F.lit(True)),
+            "date": F.to_date(start_of_hour),
+            "hour": F.hour(start_of_hour),
+        }
+    )
+    readings = F.sum(F.when(F.col("_first"), sum((F.col(f"_n{k}") for k in slots), F.lit(0))))
+
+    def weighted(c):
+        return F.sum(F.col(c).cast("double") * F.col("_met"))
+
+    return joined.groupBy("installation", *PERIODS[horizon]).agg(
+        *[F.sum(F.when(F.col("_first"), F.col(c))).alias(c) for c in own],
+        *[F.coalesce(weighted(c), F.lit(0.0)).alias(c) for c in sums],
+        *[F.try_divide(weighted(c), F.sum(F.when(F.col(c).isNotNull(), F.col("_met")))).alias(c) for c in means],
+        *[
+            (F.coalesce(F.sum(F.when(F.col("_weather") == n, F.col("_met"))), F.lit(0)) / readings).alias(n)
+            for n in names
+        ],
+    )
+
+
 def regular_grid(
     df: DataFrame,
     ts: str = "date",

@@ -17,7 +17,7 @@ from ..operators.splits import chronological_holdout, random_split
 from ..operators.stations import in_reading_range, pivot_parameters, prefer_historical, station_priority
 from ..operators.weather import (
     climatology_fill,
-    enrich_weather,
+    enriched_features,
     join_weather,
     regrid_10_to_15,
     regular_grid,
@@ -152,8 +152,7 @@ def retrain(
     position: Column | None = None,
 ) -> SolarModel:
     """Power and hourly weather to a fitted and scored model."""
-    enriched = enrich_weather(power, weather, validate=validate)
-    table = period_features(enriched, horizon, categories=categories)
+    table = enriched_features(power, weather, horizon, categories=categories, validate=validate)
     return train_solar_model(
         table, horizon, test_share=test_share, seed=seed, categories=categories, position=position
     )

@@ -1,11 +1,13 @@
 """Grids, fills, stations and coverage."""
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from heliotab.operators.aggregate import period_features
 from heliotab.operators.stations import (
     closest_station_ids,
     nearest_stations,
@@ -18,6 +20,7 @@ from heliotab.operators.stations import (
 from heliotab.operators.weather import (
     climatology_fill,
     enrich_weather,
+    enriched_features,
     forward_fill,
     join_weather,
     regrid_10_to_15,
@@ -65,6 +68,39 @@ def test_enrich_equals_upsampled_join(spark, frame):
     assert fast.filter("x is not null").count() > 100
 
 
+@pytest.mark.parametrize("horizon", ["daily", "hourly"])
+def test_enriched_features_equal_the_joined_ones(spark, frame, horizon):
+    rng = random.Random(5)
+    start = datetime(2024, 1, 1)
+    kinds = ["Rain", " rain", "Clear Sky", None]
+
+    def some(v):
+        return None if rng.random() < 0.2 else v
+
+    times = [0, 60, 120, 300, 330, 1200, 1260, 1267, 1320, 3000, 3060]
+    weather = frame(
+        [
+            (i, str(start + timedelta(minutes=m)), some(rng.random()), some(rng.random()), some(1.0), rng.choice(kinds))
+            for i in "ab"
+            for m in times
+        ],
+        "installation string, timestamp timestamp, sunshine_duration double, cloud_cover double, is_day double, weather_description string",
+    )
+    power = frame(
+        [(i, str(start + timedelta(minutes=m)), some(float(m))) for i in "abc" for m in [*range(-60, 3100, 15), *range(0, 1500, 7), 15, 15]],
+        "installation string, timestamp timestamp, sol_prod double",
+    )
+    joined = period_features(enrich_weather(power, weather, validate=False), horizon, categories=["rain", "cloudy"])
+    direct = enriched_features(power, weather, horizon, categories=["rain", "cloudy"], validate=False)
+    assert sorted(direct.columns) == sorted(joined.columns)
+
+    def rows(df):
+        cells = df.select(*sorted(joined.columns)).collect()
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in cells), key=repr)
+
+    assert rows(direct) == rows(joined) and direct.count() >= 9
+
+
 def test_coverage_errors(spark, frame):
     ddl = "installation string, timestamp timestamp"
     power = frame([("a", "2024-01-01 00:00"), ("a", "2024-01-02 00:00"), ("b", "2024-01-01 00:00")], ddl)
