@@ -11,6 +11,7 @@ from ..operators.stations import (
     station_list,
     station_priority,
     station_values,
+    wanted_stations,
 )
 from ..operators.weather import (
     climatology_fill,
@@ -222,7 +223,7 @@ def _combined(spark, sf_dir):
 
 def _in_range(spark, sf_dir):
     listed = station_list(listed_stations(spark, sf_dir))
-    return in_reading_range(_combined(spark, sf_dir), yearly_readings(spark, sf_dir), listed)
+    return in_reading_range(_combined(spark, sf_dir), wanted_stations(yearly_readings(spark, sf_dir), listed))
 
 
 @query(

@@ -14,7 +14,14 @@ from ..operators.features import minmax_apply, minmax_fit
 from ..operators.metrics import regression_metrics
 from ..operators.models import ridge_fit, ridge_predict
 from ..operators.splits import chronological_holdout, random_split
-from ..operators.stations import in_reading_range, pivot_parameters, prefer_historical, station_priority
+from ..operators.stations import (
+    clip_observations,
+    in_reading_range,
+    pivot_parameters,
+    prefer_historical,
+    station_priority,
+    wanted_stations,
+)
 from ..operators.weather import (
     climatology_fill,
     enriched_features,
@@ -166,8 +173,9 @@ def observed_weather(
     parameters: list[str] = OBSERVED,
 ) -> DataFrame:
     """Station observations to a gapless 15-minute table per installation."""
-    combined = prefer_historical(historical, recent)
-    chosen = station_priority(in_reading_range(combined, readings, listed))
+    wanted = wanted_stations(readings, listed)
+    combined = prefer_historical(clip_observations(historical, wanted), clip_observations(recent, wanted))
+    chosen = station_priority(in_reading_range(combined, wanted))
     # the grid needs bounds and rows of this table, and the fill reads both again
     table = settle(pivot_parameters(chosen, parameters), "observed")
     filled = climatology_fill(regular_grid(table), parameters)

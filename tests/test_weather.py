@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from heliotab.operators.aggregate import period_features
 from heliotab.operators.stations import (
     closest_station_ids,
+    in_reading_range,
     nearest_stations,
     pivot_parameters,
     prefer_historical,
     station_list,
     station_priority,
     unknown_installations,
+    wanted_stations,
 )
 from heliotab.operators.weather import (
     climatology_fill,
@@ -201,3 +203,14 @@ def test_regrid_total_is_kept_on_gappy_input(spark, frame):
     rows = [("a", str(datetime(2024, 1, 1) + timedelta(minutes=10 * i)), float(i)) for i in range(300)]
     df = frame(rows, "installation string, date timestamp, x double")
     assert regrid_10_to_15(df, ["x"]).agg(F.sum("x")).first()[0] == sum(range(300))
+
+
+def test_observations_stay_in_the_range_of_each_installation(spark, frame):
+    readings = frame(
+        [("a", "2024-01-02"), ("a", "2024-01-04"), ("b", "2024-01-04"), ("b", "2024-01-06")],
+        "installation string, timestamp timestamp",
+    )
+    listed = station_list(frame([("a", "1|2"), ("b", "2")], "installation string, closest_weather_station_ids string"))
+    obs = frame([("r", "d", s, "p", f"2024-01-0{d}", float(d)) for s in "123" for d in range(1, 8)], OBS)
+    got = {(r.installation, r.station_id, r.date.day) for r in in_reading_range(obs, wanted_stations(readings, listed)).collect()}
+    assert got == {("a", s, d) for s in "12" for d in (2, 3, 4)} | {("b", "2", d) for d in (4, 5, 6)}
