@@ -20,6 +20,9 @@ from ..session import settle
 BUCKET = "_bucket"
 # Values that one task may hold to answer a quantile directly.
 SMALL = 1_000_000
+# Tasks that share the merging of sketches, and the resolution of an approximate quantile.
+SKETCH_GROUPS = 256
+APPROX_GRAIN = 1_000
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -27,16 +30,27 @@ def bucket_count(spark: SparkSession) -> int:
     return max(32, min(10_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def sketch(df: DataFrame, keys: list[str], value: str, grain: int) -> DataFrame:
+    """Per key and group of input partitions: ``grain`` evenly spaced quantiles ``_v``, each standing for ``_n`` values.
+
+    Sketches of many tasks are merged by up to ``SKETCH_GROUPS`` tasks per key, not by one.
+    """
+    shares = ", ".join(repr((i + 0.5) / grain) for i in range(grain))
+    quantiles = F.expr(f"percentile_approx(`{value}`, array({shares}), {2 * grain})")
+    grouped = df.withColumn("_group", F.spark_partition_id() % SKETCH_GROUPS).groupBy(*keys, "_group")
+    return grouped.agg(quantiles.alias("_q"), F.count(value).alias("_n")).select(*keys, F.explode("_q").alias("_v"), "_n")
+
+
 def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> tuple[list[float], int]:
     """Sketched quantiles of ``value`` and the number of values, from one pass.
 
     At most ``buckets`` numbers reach the driver.
     """
     n = buckets or bucket_count(df.sparkSession)
-    shares = ", ".join(repr(i / n) for i in range(1, n)) or "0.5"
-    sketch = F.expr(f"percentile_approx(`{value}`, array({shares}), {2 * n})")
-    row = df.agg(sketch.alias("cuts"), F.count(value).alias("n")).first()
-    return sorted({c for c in row.cuts or [] if math.isfinite(c)}) if n > 1 else [], row.n
+    points = [i / n for i in range(1, n)] or [0.5]
+    merged = sketch(df, [], value, n).agg(F.percentile("_v", points, F.col("_n")).alias("cuts"), F.sum("_n").alias("n"))
+    row = merged.first()
+    return sorted({c for c in row.cuts or [] if math.isfinite(c)}) if n > 1 else [], (row.n or 0) // n
 
 
 def with_bucket(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
@@ -98,8 +112,8 @@ def exact_quantiles(
     """
     rows = df.select(*keys, nan_to_null(F.col(value).cast("double")).alias(value)).dropna(subset=[value])
     if approx:
-        picked = F.percentile_approx(value, [float(p) for p in probs.values()], 10_000)
-        flat = rows.groupBy(*keys).agg(picked.alias("_q"))
+        picked = F.percentile("_v", [float(p) for p in probs.values()], F.col("_n"))
+        flat = sketch(rows, keys, value, APPROX_GRAIN).groupBy(*keys).agg(picked.alias("_q"))
         return flat.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
 
     cuts, n = cut_points(rows, value, buckets)

@@ -64,8 +64,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="heliotab-"))
         base = spark.sparkContext.getCheckpointDir()
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
