@@ -1,4 +1,4 @@
 """Operators for large training corpora, registered beside the other queries."""
 
-from . import decontaminate, simhash  # noqa: F401
+from . import decontaminate, langid, secrets, simhash  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

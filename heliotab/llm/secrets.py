@@ -1,0 +1,165 @@
+"""Secret scan with DataFrame functions only: rules, and character Markov models for the rest.
+
+Rules find assignments, access keys and hexadecimal runs. Two first-order character models, one of
+random strings and one of ordinary identifiers, then score every long token that no rule covers; a
+token whose log-likelihood ratio favours the random model enough is added as kind ``random``.
+
+Both models are counted from labelled samples of at most ``TRAIN_DOCS`` documents (expected, chosen by
+a hash of the id): random strings are the values that rules found there and digests of the ids, ordinary
+ones are the identifiers of the text around them.
+
+Defined results: a null text counts as empty and has no spans; repeated rows each give a row; spans of
+one kind do not overlap, spans of different kinds may; ties of start are ordered by kind as listed; an
+empty table gives no rows; other columns are not read (``redact`` passes them through).
+"""
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .registry import query, table
+
+# The base rules, in the order of their kinds.
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
+VALUE_CHARS = 6
+
+TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+IDENTIFIER = r"[A-Za-z0-9+/_=-]{6,}"
+TRAIN_DOCS = 2_000
+# A token needs both: the log of how much rarer random strings are than ordinary tokens of that length,
+# and a mean per transition, which words of an unseen vocabulary do not reach.
+MARGIN = 12.0
+MEAN_MARGIN = 1.0
+KINDS = ["assign", "access", "hex", "random"]
+SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
+
+
+def spans_of(text: Column, pattern: str, rank: int, group: int = 0, least: int = 0) -> Column:
+    """Leftmost non-overlapping matches with their places in code points.
+
+    The text between matches and the matches themselves are walked in step, so a place is the sum
+    of the lengths before it. ``least`` is the length that ``group`` needs.
+    """
+    walk = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
+
+    def step(state: Column, x: Column) -> Column:
+        start = state["at"] + F.char_length(x["gap"])
+        end = start + F.char_length(F.coalesce(x["hit"], F.lit("")))
+        value = F.regexp_extract(x["hit"], pattern, group) if group else x["hit"]
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), value.alias("value"))
+        found = x["hit"].isNotNull() & (F.char_length(value) >= least)
+        return F.struct(end.alias("at"), F.when(found, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+
+    none = F.expr(f"cast(array() as {SPAN})")
+    found = F.aggregate(walk, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
+    return F.when(text.rlike(pattern), found).otherwise(none)
+
+
+def base_spans(text: Column) -> dict[str, Column]:
+    return {
+        "assign": spans_of(text, ASSIGN, 0, 2, VALUE_CHARS),
+        "access": spans_of(text, ACCESS, 1),
+        "hex": spans_of(text, HEX, 2),
+    }
+
+
+def transitions(strings: DataFrame) -> DataFrame:
+    """How often one character follows another in a column of strings."""
+    at = F.explode(F.sequence(F.lit(1), F.char_length("s") - 1))
+    pairs = strings.filter(F.char_length("s") > 1).select("label", "s", at.alias("i"))
+    return pairs.groupBy("label", F.substring("s", F.col("i"), F.lit(2)).alias("pair")).count()
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> list[float]:
+    """Log-likelihood ratio of each pair of characters, random over ordinary, by their numbers."""
+    total = max(1, docs.count())
+    sample = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(total)) < most).select(
+        F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
+    rules = base_spans(F.col("text"))
+    values = sample.select(F.explode(F.transform(F.concat(*rules.values()), lambda s: s["value"])).alias("s"))
+    digest = F.sha2(F.coalesce(F.col("id"), F.lit("")), 256)
+    made = sample.select(F.explode(F.array(F.base64(F.unhex(digest)), digest, F.upper(F.substring(digest, 1, 40)))).alias("s"))
+    rest = F.col("text")
+    for pattern in (ASSIGN, ACCESS, HEX):
+        rest = F.regexp_replace(rest, pattern, " ")
+    plain = sample.select(F.explode(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0))).alias("s"))
+    labelled = values.union(made).withColumn("label", F.lit(1)).unionByName(plain.withColumn("label", F.lit(0)))
+    # At most two labels times the square of the alphabet, so this is small whatever the corpus.
+    rows = transitions(labelled).filter(F.translate("pair", TOKEN_CHARS, "") == "").collect()
+    seen = {(r.label, r.pair): r["count"] for r in rows}
+    n = len(TOKEN_CHARS)
+    sums = {(k, a): sum(seen.get((k, a + b), 0) for b in TOKEN_CHARS) for k in (0, 1) for a in TOKEN_CHARS}
+    log_p = lambda k, a, b: math.log((seen.get((k, a + b), 0) + 1.0) / (sums[k, a] + n))
+    return [log_p(1, a, b) - log_p(0, a, b) for a in TOKEN_CHARS for b in TOKEN_CHARS]
+
+
+def ratio(token: Column, model: list[float]) -> Column:
+    """Log-likelihood ratio of a token under the two models."""
+    table_ = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
+    number = lambda i: F.instr(F.lit(TOKEN_CHARS), F.substring(token, i, F.lit(1)))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.char_length(token) - 1),
+        F.lit(0.0),
+        lambda total, i: total + F.get(table_, (number(i) - 1) * len(TOKEN_CHARS) + number(i + 1) - 1),
+    )
+
+
+def scan(docs: DataFrame, model: list[float], text_col: str = "text") -> DataFrame:
+    """``docs`` with arrays ``_assign``, ``_access``, ``_hex`` and ``_random`` of spans."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = docs.withColumns({f"_{k}": c for k, c in base_spans(text).items()})
+    base = F.concat("_assign", "_access", "_hex")
+    tokens = spans_of(text, TOKEN, 3)
+    tokens = F.filter(tokens, lambda t: ratio(t["value"], model) > F.greatest(F.lit(MARGIN), MEAN_MARGIN * (F.char_length(t["value"]) - 1)))
+    found = found.withColumn("_base", base).withColumn("_tokens", tokens)
+    alone = F.filter("_tokens", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    return found.withColumn("_random", alone).drop("_tokens")
+
+
+def written(spans: Column) -> Column:
+    """kind:start:end of all spans by start, then kind."""
+    kinds = F.array(*map(F.lit, KINDS))
+    one = lambda s: F.concat_ws(":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(F.array_sort(spans), one), ",")
+
+
+def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", chars_col: str | None = "n_chars", marker: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every span replaced by a marker; texts without one stay as they are."""
+    found = scan(docs, train(docs, id_col, text_col), text_col)
+    text = F.col(text_col)
+    whole = F.array_sort(F.concat("_base", "_random"))
+    cut = F.aggregate(
+        whole,
+        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out")),
+        lambda s, x: F.struct(
+            F.greatest(s["at"], x["end"]).alias("at"),
+            F.when(
+                x["start"] >= s["at"],
+                F.concat(s["out"], F.array(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(marker))),
+            ).otherwise(s["out"]).alias("out"),
+        ),
+        lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.char_length(text))),
+    )
+    hit = F.size("_base") + F.size("_random") > 0
+    found = found.withColumn("_new", F.when(hit, cut).otherwise(text))
+    new = {text_col: F.col("_new")}
+    if chars_col and chars_col in docs.columns:
+        new[chars_col] = F.when(hit, F.char_length("_new").cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
+    return found.select(*[new.get(n, F.col(f"`{n}`")).alias(n) for n in docs.columns])
+
+
+@query("op10_secret_scan")
+def op10(spark, sf_dir):
+    """Spans of secrets in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan(docs, train(docs))
+    count = lambda k: F.size(f"_{k}").cast("long").alias(f"n_{k}")
+    return found.select(
+        "doc_id", *map(count, KINDS), F.sha2(written(F.col("_base")), 256).alias("base_sha256"),
+        written(F.concat("_base", "_random")).alias("spans"),
+    )
