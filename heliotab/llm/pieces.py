@@ -36,8 +36,13 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 UNKNOWN = 10.0
 CHUNK = 1 << 14  # characters; longer texts are scanned in chunks
-MEMO = 200_000  # words remembered by a task at a time
-NONE = -np.inf
+MEMO = 500_000  # words remembered by a task at a time
+LONG_WORD = 64  # longer words are taken one by one
+HASH = np.uint64(0x9E3779B97F4A7C15)
+BUCKET_BITS = 18
+FAR = 1e300
+NONE = float("-inf")
+FIRST = [0.0]  # a path that enters at the first place
 
 
 def load(path: str = MODEL) -> dict:
@@ -52,54 +57,62 @@ def load(path: str = MODEL) -> dict:
     names = [model.id_to_piece(i) for i in range(n)]
     if not all(model.is_byte(i) for i in byte_ids):
         raise ValueError(f"{path}: no byte pieces for characters without a piece")
-    return {"pieces": pieces, "byte_ids": byte_ids, "names": names}
+    made = Lattice(pieces, byte_ids, names)
+    index = made.keys, made.scores, made.numbers, made.bucket, made.probes
+    return {"pieces": pieces, "byte_ids": byte_ids, "names": names, "index": index}
 
 
 class Lattice:
     """Best paths through the pieces of a text."""
 
-    def __init__(self, pieces: dict, byte_ids: list, names: list):
+    def __init__(self, pieces: dict, byte_ids: list, names: list, index: tuple | None = None):
         self.pieces, self.byte_ids, self.names = pieces, byte_ids, names
         self.longest = max(map(len, pieces))
         self.unknown = min(s for _, s in pieces.values()) - UNKNOWN
-        prefixes = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
-        self.prefixes = prefixes
+        # Score of every piece; a string that only begins one leads on without a score of its own.
+        self.score = {p[:k]: NONE for p in pieces for k in range(1, len(p))}
+        self.score |= {p: s for p, (_, s) in pieces.items()}
         # No piece may cross from a character to a blank behind it.
         self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in pieces)
-        self.memo: dict[str, tuple[float, list]] = {}
+        self.memo: dict[str, tuple[float, bytes]] = {}
+        self.after_blank: dict[str, bytes] = {}
+        # What an id adds to a path; a character without a piece counts once, at its first byte.
+        self.worth = np.zeros(len(names))
+        for i, s in pieces.values():
+            self.worth[i] = s
+        for b, i in enumerate(byte_ids):
+            self.worth[i] = 0.0 if 0x80 <= b < 0xC0 else self.unknown
+        if index is None:
+            self.index()
+        else:
+            self.keys, self.scores, self.numbers, self.bucket, self.probes = index
         self.raw = [n.encode() for n in names]
         for b, i in enumerate(byte_ids):
             self.raw[i] = bytes([b])
 
-    def steps(self, text: str, at: int, stop: int):
-        """Ends and scores of the pieces that begin at a place, shortest first, up to ``stop``."""
-        for end in range(at + 1, min(at + self.longest, stop) + 1):
-            piece = text[at:end]
-            found = self.pieces.get(piece)
-            if found is not None:
-                yield end, found[1]
-            elif end == at + 1:
-                yield end, self.unknown
-            if piece not in self.prefixes:
-                return
-
     def forward(self, text: str, start: np.ndarray, size: int):
         """Best score at every place from scores at the first places; ``size`` is where the chunk ends.
 
         ``text`` reaches beyond the chunk as far as a piece can. Returns scores and, per place, where
         the last piece begins (-1: the path enters here).
         """
-        n = len(text)
+        n, reach, score = len(text), self.longest, self.score.get
         best, back = [NONE] * (n + 1), [-1] * (n + 1)
-        for i, s in enumerate(start[: n + 1]):
-            best[i] = s
+        best[: len(start)] = list(start[: n + 1])
         for at in range(min(size, n)):
             here = best[at]
             if here == NONE:
                 continue
-            for end, s in self.steps(text, at, n):
-                if here + s > best[end]:  # the earliest start of equal ones stays: the longest piece
+            for end in range(at + 1, min(at + reach, n) + 1):
+                s = score(text[at:end])
+                if end == at + 1 and (s is None or s == NONE):
+                    lead, s = s, self.unknown
+                else:
+                    lead = s
+                if s is not None and here + s > best[end]:  # of equal ones the earliest start stays: the longest piece
                     best[end], back[end] = here + s, at
+                if lead is None:
+                    break
         return best, back
 
     def ids(self, piece: str) -> list[int]:
@@ -114,12 +127,12 @@ class Lattice:
             end = back[end]
         return [i for p in reversed(parts) for i in self.ids(p)], end
 
-    def word(self, text: str) -> tuple[float, list]:
-        """Best score and ids of a text that begins and ends at boundaries."""
+    def word(self, text: str) -> tuple[float, bytes]:
+        """Best score and ids (as 32-bit values) of a text that begins and ends at boundaries."""
         known = self.memo.get(text)
         if known is None:
-            best, back = self.forward(text, np.zeros(1), len(text))
-            known = best[len(text)], self.path(text, back, len(text))[0]
+            best, back = self.forward(text, FIRST, len(text))
+            known = best[len(text)], np.array(self.path(text, back, len(text))[0], np.int32).tobytes()
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[text] = known
@@ -131,11 +144,124 @@ class Lattice:
         """The text at the places where every path has a boundary."""
         return self.WORDS.findall(text) if self.cuts else [text] if text else []
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for w in self.words(text):
-            out += self.word(w)[1]
-        return out
+    def encode(self, text: str) -> bytes:
+        """Ids of a text that begins and ends at boundaries, as 32-bit values."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Words that were not met before go through the lattice together."""
+        known, split = self.after_blank, []
+        for text in texts:
+            plain = self.cuts and text[:1] == BLANK and text[-1] != BLANK and BLANK * 2 not in text
+            split.append(text[1:].split(BLANK) if plain else None)
+        met = set().union(*[w for w in split if w])
+        if len(known) + len(met) > MEMO:
+            known.clear()
+        self.learn([w for w in met if w not in known])
+        get = known.__getitem__
+        return [
+            b"".join(map(get, words)) if words else b"".join([self.word(w)[1] for w in self.words(text)])
+            for text, words in zip(texts, split)
+        ]
+
+    def learn(self, words: list[str]) -> None:
+        """Best paths of many words after a blank, place by place over all words at once."""
+        for w in words:
+            if len(w) >= LONG_WORD:
+                self.after_blank[w] = self.word(BLANK + w)[1]
+        words = [w for w in words if len(w) < LONG_WORD]
+        if not words:
+            return
+        codes = np.frombuffer((BLANK + BLANK.join(words)).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        begin = np.cumsum(size) - size
+        stop = np.repeat(begin + size, size)
+        # Edges: pieces by their first and last character, the shortest first.
+        at = np.arange(len(codes))
+        key = np.zeros(len(codes), np.uint64)
+        edges = []
+        for length in range(1, self.longest + 1):
+            key = (key ^ codes[at + length - 1]) * HASH
+            score, number = self.find(key)
+            if length == 1:
+                strange = number < 0
+                score, open_ = np.where(strange, self.unknown, score), score > -2 * FAR
+                edges.append((at, at, score, number))
+            else:
+                is_piece, open_ = number >= 0, score > -2 * FAR
+                edges.append((at[is_piece], at[is_piece] + length - 1, score[is_piece], number[is_piece]))
+            at, key = at[open_], key[open_]
+            more = at + length < stop[at]
+            at, key = at[more], key[more]
+            if not len(at):
+                break
+        first, last, score, number = (np.concatenate(x) for x in zip(*edges))
+        place = first - np.repeat(begin, size)[first]
+        order = np.argsort(place, kind="stable")
+        first, last, score, number = first[order], last[order], score[order], number[order]
+        cut = np.searchsorted(place[order], np.arange(size.max() + 1))
+        best, back, which = np.full(len(codes), NONE), np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+        for t, (lo, hi) in enumerate(zip(cut[:-1], cut[1:])):
+            f, to = first[lo:hi], last[lo:hi]
+            total = score[lo:hi] + (best[f - 1] if t else 0.0)
+            better = total > best[to]  # of equal ones the earliest start stays: the longest piece
+            to = to[better]
+            best[to], back[to], which[to] = total[better], f[better], number[lo:hi][better]
+        on_path = np.zeros(len(codes), bool)
+        here, lowest = begin + size - 1, begin
+        while len(here):
+            on_path[here] = True
+            here = back[here] - 1
+            open_ = here >= lowest
+            here, lowest = here[open_], lowest[open_]
+        ends = np.flatnonzero(on_path)
+        ids = which[ends].astype(np.int32)
+        rows = np.searchsorted(ends, np.append(begin, len(codes)))
+        raw, rows = ids.tobytes(), rows.tolist()
+        odd = set(np.searchsorted(rows, np.flatnonzero(ids < 0), "right").tolist())
+        for i, w in enumerate(words):
+            if i + 1 in odd:  # characters without a piece become bytes
+                self.after_blank[w] = b"".join(
+                    np.array([k] if k >= 0 else self.ids(chr(int(codes[e]))), np.int32).tobytes()
+                    for k, e in zip(ids[rows[i] : rows[i + 1]].tolist(), ends[rows[i] : rows[i + 1]].tolist())
+                )
+            else:
+                self.after_blank[w] = raw[4 * rows[i] : 4 * rows[i + 1]]
+
+    def index(self) -> None:
+        """Beginnings of pieces by hash, for ``find``."""
+        strings = list(self.score)
+        keys = np.zeros(len(strings), np.uint64)
+        for k in range(self.longest):
+            codes = np.array([ord(x[k]) if len(x) > k else 0 for x in strings], np.uint64)
+            keys = np.where([len(x) > k for x in strings], (keys ^ codes) * HASH, keys)
+        if len(np.unique(keys)) < len(keys):
+            raise ValueError("two pieces share a hash")
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.uint64(0))
+        self.scores = np.append(np.array([self.score[strings[i]] for i in order]), NONE)
+        self.scores = np.where(self.scores == NONE, -FAR, self.scores)
+        self.numbers = np.append(np.array([self.pieces[strings[i]][0] if strings[i] in self.pieces else -1 for i in order]), -1)
+        buckets = (self.keys[:-1] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        self.bucket = np.searchsorted(buckets, np.arange((1 << BUCKET_BITS) + 1))
+        self.probes = int(np.diff(self.bucket).max())
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and id of each hash: -FAR and -1 where it only begins a piece, -3 FAR and -1 elsewhere."""
+        b = (key >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        lo, hi = self.bucket[b], self.bucket[b + 1]
+        score, number = np.full(len(key), -3 * FAR), np.full(len(key), -1)
+        open_ = np.flatnonzero(lo < hi)
+        for _ in range(self.probes):
+            at = lo[open_]
+            same = self.keys[at] == key[open_]
+            found = open_[same]
+            score[found], number[found] = self.scores[at[same]], self.numbers[at[same]]
+            lo[open_] += 1
+            open_ = open_[~same & (lo[open_] < hi[open_])]
+            if not len(open_):
+                break
+        return score, number
 
     # --- chunks -------------------------------------------------------------------------------
     # State i at a chunk's start: its first boundary is i characters in. State j at its end likewise.
@@ -148,6 +274,10 @@ class Lattice:
         later = [c for c in inside if c >= self.longest]
         return (later[0], inside[-1]) if later else (size, size)
 
+    def warm(self, chunks: list) -> None:
+        """Meet the words of many chunks at once."""
+        self.encode_all([t[a:b] for t, n in chunks for a, b in [self.open_parts(t, n)] if a < b < n])
+
     def matrix(self, text: str, size: int) -> np.ndarray:
         """Best scores from each state at the chunk's start to each state at its end."""
         n = self.longest
@@ -163,8 +293,8 @@ class Lattice:
             for i in range(size, n):
                 out[i, i - size] = 0.0
             return out
-        middle = sum(self.word(w)[0] for w in self.words(text[first:last]))
-        tail, _ = self.forward(text[last:], np.zeros(1), size - last)
+        middle = self.worth[np.frombuffer(self.encode(text[first:last]), np.int32)].sum()
+        tail, _ = self.forward(text[last:], FIRST, size - last)
         tail = tail[size - last : size - last + n]
         for i in range(n):
             start = np.full(i + 1, NONE)
@@ -181,8 +311,8 @@ class Lattice:
         if first < size:
             _, back = self.forward(text[:first], start, first)
             shared, entry = self.path(text[:first], back, first)
-            shared = shared + self.encode(text[first:last])
-            text, size, start = text[last:], size - last, np.zeros(1)
+            shared = shared + np.frombuffer(self.encode(text[first:last]), np.int32).tolist()
+            text, size, start = text[last:], size - last, FIRST
         best, back = self.forward(text, start, size)
         rests, entries = [[] for _ in range(n)], [-1] * n
         for j in range(n):
@@ -239,7 +369,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(**sent.value)
         for batch in batches:
-            ids = pa.array([lattice.encode(s) if s else [] for s in batch.column(2).to_pylist()], pa.list_(pa.int32()))
+            found = [b""] * batch.num_rows
+            texts = [(i, s) for i, s in enumerate(batch.column(2).to_pylist()) if s]
+            for (i, _), ids in zip(texts, lattice.encode_all([s for _, s in texts])):
+                found[i] = ids
+            at = np.cumsum([0, *[len(x) // 4 for x in found]])
+            ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
             yield pa.record_batch([batch.column(0), batch.column(1), ids], names=["doc_id", "th", "ids"])
 
     short = rows.filter(F.coalesce(F.length("s"), F.lit(0)) <= chunk).mapInArrow(whole, f"doc_id {kind}, th long, ids array<int>")
@@ -258,7 +393,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(**sent.value)
         for batch in batches:
-            made = [lattice.matrix(s, n).tobytes() for s, n in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            parts = list(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))
+            lattice.warm(parts)
+            made = [lattice.matrix(s, n).tobytes() for s, n in parts]
             yield pa.record_batch([*batch.columns[:3], pa.array(made, pa.binary())], names=["doc_id", "th", "k", "matrix"])
 
     def prefixes(part: pd.DataFrame) -> pd.DataFrame:
@@ -273,10 +410,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     def traces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(**sent.value)
         for batch in batches:
-            got = [
-                lattice.trace(s, n, np.frombuffer(v))
-                for s, n, v in zip(*[batch.column(i).to_pylist() for i in (3, 4, 5)])
-            ]
+            parts = list(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))
+            lattice.warm(parts)
+            got = [lattice.trace(s, n, np.frombuffer(v)) for (s, n), v in zip(parts, batch.column(5).to_pylist())]
             columns = [
                 pa.array([g["shared"] for g in got], pa.list_(pa.int32())),
                 pa.array([g["rests"] for g in got], pa.list_(pa.list_(pa.int32()))),
@@ -318,7 +454,8 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(**sent.value)
         for batch in batches:
-            texts = pa.array([lattice.decode(ids) if ids else "" for ids in batch.column(at).to_pylist()], pa.string())
+            rows, ids = batch.column(at).offsets.to_numpy(), batch.column(at).values.to_numpy()
+            texts = pa.array([lattice.decode(ids[a:b].tolist()) for a, b in zip(rows[:-1], rows[1:])], pa.string())
             yield pa.record_batch([*batch.columns, texts], names=[*names, "decoded"])
 
     return encoded.mapInArrow(run, encoded.withColumn("decoded", F.lit("")).schema)
