@@ -472,6 +472,14 @@ def with_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL) -> DataFrame:
+    """(doc_id, ids, n_pieces, text_sha256): the token ids, and the digest of what they decode to."""
+    found = decode(encode(docs, id_col, text_col, path), path)
+    return found.select(
+        F.col("doc_id").alias(id_col), "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("text_sha256")
+    )
+
+
 @query("op8_sentencepiece")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document and what they decode to."""
