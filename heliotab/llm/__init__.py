@@ -1,4 +1,4 @@
 """Operators for large training corpora, registered beside the other queries."""
 
-from . import decontaminate, langid, pieces, secrets, simhash, toxicity  # noqa: F401
+from . import decontaminate, langid, pieces, repeats, secrets, simhash, toxicity  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
