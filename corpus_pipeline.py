@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliotab.llm import decontaminate, pieces, secrets, simhash, toxicity
+from heliotab.llm import decontaminate, pieces, secret_scan, simhash, toxicity
 from heliotab.llm.registry import prepare, table
 from heliotab.session import scratch_dir
 
@@ -35,7 +35,7 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in a text give way to a marker; the documents stay."""
     prepare(spark)
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,15 +9,15 @@ from ..session import configure
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Texts cross to Python in batches of this many rows: a partition's Arrow buffer stays small even
-# where documents are long.
-BATCH_ROWS = "512"
+# Rows cross to Python in batches of about this many bytes, so that a batch stays small where texts are
+# long and is not tiny where rows are short.
+BATCH_BYTES = str(4 << 20)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The library's settings, with smaller Arrow batches for whole texts."""
+    """The library's settings, with Arrow batches bounded by bytes."""
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
