@@ -1,4 +1,4 @@
 """Operators for large training corpora, registered beside the other queries."""
 
-from . import decontaminate, langid, nearest, pieces, repeats, secret_scan, simhash, toxicity  # noqa: F401
+from . import chat, decontaminate, langid, nearest, pieces, repeats, secret_scan, simhash, toxicity, warc  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
