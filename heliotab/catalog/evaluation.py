@@ -11,6 +11,7 @@ from ..operators.metrics import (
     confusion_matrix,
     confusion_pivot,
     format_report,
+    label_counts,
     regression_metrics,
     regression_metrics_multi,
     regression_record,
@@ -46,19 +47,33 @@ _ROUNDED = (
 
 @query(
     "regression_metrics",
-    f"WITH {PREDICTIONS}, s AS (SELECT run, {_SCORES_SQL} FROM predictions GROUP BY 1) SELECT run, n, {_ROUNDED} FROM s",
+    f"""WITH {PREDICTIONS}, holes AS (SELECT run, y, CASE WHEN floor(y) % 7 <> 0 THEN pred END AS pred FROM predictions),
+    known AS (SELECT * FROM holes WHERE y IS NOT NULL AND pred IS NOT NULL), s AS (SELECT run, {_SCORES_SQL} FROM known GROUP BY 1),
+    lost AS (SELECT run, count(*) FILTER (y IS NULL OR pred IS NULL) AS n_dropped FROM holes GROUP BY 1)
+    SELECT run, n, n_dropped, {_ROUNDED} FROM s JOIN lost USING (run)""",
     digits=6,
     MSE=3,
 )
 def scores(spark, sf_dir):
-    return regression_metrics(predictions(spark, sf_dir), ["run"])
+    """Scores with holes among the predictions: left out and counted."""
+    found = predictions(spark, sf_dir)
+    holes = found.withColumn("pred", F.when(F.floor("y") % 7 != 0, F.col("pred")))
+    return regression_metrics(holes, ["run"], nulls="count")
 
 
 _PERSISTENCE = """lagged AS (SELECT installation, date, sunshine_duration, cloud_cover, lag(sunshine_duration) OVER w AS sp, lag(cloud_cover) OVER w AS cp,
     row_number() OVER w AS rn FROM daily_weather WINDOW w AS (PARTITION BY installation ORDER BY date)),
   pairs AS (SELECT installation, 'sunshine_duration' AS target, sunshine_duration AS y, sp AS pred FROM lagged WHERE rn > 1
     UNION ALL SELECT installation, 'cloud_cover', cloud_cover, cp FROM lagged WHERE rn > 1),
-  known AS (SELECT * FROM pairs WHERE y IS NOT NULL AND pred IS NOT NULL)"""
+  known AS (SELECT * FROM pairs WHERE y IS NOT NULL AND pred IS NOT NULL),
+  lost AS (SELECT installation, target, count(*) FILTER (y IS NULL OR pred IS NULL) AS n_dropped FROM pairs GROUP BY 1, 2)"""
+# MAPE divides by machine epsilon where the truth is zero: such values are compared by their leading digits
+_MAPE_SQL = '''CASE WHEN "MAPE" > 1000 THEN round("MAPE" / pow(10, floor(log10("MAPE"))), 6) ELSE round("MAPE", 6) END'''
+
+
+def _mape():
+    big = F.round(F.col("MAPE") / F.pow(F.lit(10.0), F.floor(F.log10("MAPE"))), 6)
+    return F.when(F.col("MAPE") > 1000, big).otherwise(F.round("MAPE", 6))
 
 
 @query(
@@ -68,22 +83,22 @@ _PERSISTENCE = """lagged AS (SELECT installation, date, sunshine_duration, cloud
     scaled AS (SELECT installation, target, (y - lo) / (hi - lo) AS y, (pred - lo) / (hi - lo) AS pred FROM known JOIN lims USING (installation, target)),
     per AS (SELECT installation, target, {_SCORES_SQL} FROM scaled GROUP BY 1, 2),
     overall AS (SELECT installation, CAST(NULL AS VARCHAR) AS target, CAST(sum(n) AS BIGINT) AS n, avg("MAE") AS "MAE", avg("MSE") AS "MSE",
-      sqrt(avg("MSE")) AS "RMSE", avg("MedAE") AS "MedAE", avg("R2") AS "R2", avg("ExplainedVar") AS "ExplainedVar" FROM per GROUP BY 1)
-    SELECT installation, target, n, round("MAE", 6) AS "MAE", round("MSE", 5) AS "MSE", round("RMSE", 6) AS "RMSE", round("MedAE", 6) AS "MedAE",
-      round("R2", 6) AS "R2", round("ExplainedVar", 6) AS "ExplainedVar", 'single' AS kind FROM single
+      sqrt(avg("MSE")) AS "RMSE", avg("MAPE") AS "MAPE", avg("MedAE") AS "MedAE", avg("R2") AS "R2", avg("ExplainedVar") AS "ExplainedVar" FROM per GROUP BY 1)
+    SELECT installation, target, n, n_dropped, round("MAE", 6) AS "MAE", round("MSE", 5) AS "MSE", round("RMSE", 6) AS "RMSE", {_MAPE_SQL} AS "MAPE",
+      round("MedAE", 6) AS "MedAE", round("R2", 6) AS "R2", round("ExplainedVar", 6) AS "ExplainedVar", 'single' AS kind FROM single JOIN lost USING (installation, target)
     UNION ALL
-    SELECT installation, target, n, round("MAE", 6), round("MSE", 5), round("RMSE", 6), round("MedAE", 6), round("R2", 6),
-      round("ExplainedVar", 6), 'scaled' FROM overall""",
+    SELECT installation, target, n, (SELECT CAST(sum(n_dropped) AS BIGINT) FROM lost l WHERE l.installation = o.installation), round("MAE", 6), round("MSE", 5), round("RMSE", 6), {_MAPE_SQL}, round("MedAE", 6), round("R2", 6),
+      round("ExplainedVar", 6), 'scaled' FROM overall o""",
     digits=6,
     MSE=5,
 )
 def scores_multi(spark, sf_dir):
-    """Persistence forecast of two weather targets. MAPE divides by values near zero and is left to the tests."""
+    """Persistence forecast of two weather targets."""
     targets = ["sunshine_duration", "cloud_cover"]
     lagged = with_lags(daily_weather(spark, sf_dir), targets, [1])
     cells = [F.struct(F.lit(t).alias("target"), F.col(t).alias("y"), F.col(f"{t}_lag_1").alias("pred")) for t in targets]
     long = lagged.select("installation", F.explode(F.array(*cells)).alias("c")).select("installation", "c.*")
-    return regression_metrics_multi(long, ["installation"]).drop("MAPE")
+    return regression_metrics_multi(long, ["installation"], nulls="count").withColumn("MAPE", _mape())
 
 
 @query(
@@ -124,7 +139,7 @@ def confusion(spark, sf_dir):
 
 
 def _counts(spark, sf_dir):
-    return confusion_matrix(scored(spark, sf_dir), ["run"], LABELS)
+    return label_counts(scored(spark, sf_dir), ["run"])
 
 
 @query(
@@ -136,7 +151,7 @@ def _counts(spark, sf_dir):
 def confusion_table(spark, sf_dir):
     """Matrix to the stored ``C_i_j`` map and back."""
     entries = F.array_sort(F.collect_list(F.struct("cell", "n")))
-    records = _counts(spark, sf_dir).groupBy("run").agg(F.map_from_entries(entries).alias("conf_matrix"))
+    records = confusion_matrix(scored(spark, sf_dir), ["run"], LABELS).groupBy("run").agg(F.map_from_entries(entries).alias("conf_matrix"))
     return confusion_pivot(records, ["run"], LABELS)
 
 
@@ -175,14 +190,42 @@ def report(spark, sf_dir):
 
 @query(
     "classification_report_fmt",
-    f"""WITH {SCORED}, {_REPORT} SELECT run, label, CASE WHEN label = 'accuracy' THEN '' ELSE printf('%.3f', round(precision, 3)) END AS precision,
-        CASE WHEN label = 'accuracy' THEN '' ELSE printf('%.3f', round(recall, 3)) END AS recall, printf('%.3f', round(f1, 3)) AS f1,
+    f"""WITH {SCORED}, {_REPORT} SELECT run, label, CASE WHEN label = 'accuracy' THEN '' ELSE CAST(round(precision, 3) AS VARCHAR) END AS precision,
+        CASE WHEN label = 'accuracy' THEN '' ELSE CAST(round(recall, 3) AS VARCHAR) END AS recall, CAST(round(f1, 3) AS VARCHAR) AS f1,
         CAST(support AS VARCHAR) AS support FROM report""",
 )
 def report_text(spark, sf_dir):
     return format_report(classification_report(class_scores(_counts(spark, sf_dir), ["run"]), ["run"]), ["run"])
 
 
+# one listed label never occurs, and one that occurs is not listed
+LISTED = ["error", "purchase", "refund", "signup", "view"]
+_LISTED_SQL = f"""tally AS (SELECT run, truth, pred, count(*) AS n FROM scored GROUP BY 1, 2, 3),
+  listed AS (SELECT unnest({LISTED}) AS label),
+  totals AS (SELECT run, label, CAST(coalesce(sum(n) FILTER (truth = label AND pred = label), 0) AS DOUBLE) AS tp,
+    CAST(coalesce(sum(n) FILTER (truth = label), 0) AS BIGINT) AS support, CAST(coalesce(sum(n) FILTER (pred = label), 0) AS BIGINT) AS predicted
+    FROM tally, listed GROUP BY 1, 2),
+  lines AS (SELECT *, CASE WHEN predicted = 0 THEN 0 ELSE tp / predicted END AS precision, CASE WHEN support = 0 THEN 0 ELSE tp / support END AS recall,
+    CASE WHEN predicted + support = 0 THEN 0 ELSE 2 * tp / (predicted + support) END AS f1 FROM totals),
+  listed_report AS (SELECT run, label, precision, recall, f1, support FROM lines
+    UNION ALL SELECT run, 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM lines GROUP BY 1
+    UNION ALL SELECT run, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+      sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM lines GROUP BY 1
+    UNION ALL SELECT run, 'micro avg', sum(tp) / sum(predicted), sum(tp) / sum(support), 2 * sum(tp) / (sum(support) + sum(predicted)),
+      CAST(sum(support) AS BIGINT) FROM lines GROUP BY 1)"""
+
+
+@query(
+    "classification_report_listed",
+    f"""WITH {SCORED}, {_LISTED_SQL} SELECT run, label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support
+        FROM listed_report""",
+    digits=6,
+)
+def report_listed(spark, sf_dir):
+    """Lines for given labels, where the micro average is no accuracy."""
+    return classification_report(class_scores(_counts(spark, sf_dir), ["run"]), ["run"], LISTED)
+
+
 def _labelled(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("n_chars").cast("double").alias("score"))
@@ -249,17 +292,34 @@ def evaluation_record(spark, sf_dir):
 
 @query(
     "evaluation_record_classes",
-    f"""WITH {SCORED}, {_CLASSES}, {_AVERAGES}, {_REPORT.split(_AVERAGES + ", ")[1]}
+    f"""WITH {SCORED}, {_CLASSES}, {_AVERAGES}, {_LISTED_SQL}, pairs AS ({_PAIRS}),
+    ranked AS (SELECT *, rank() OVER (PARTITION BY run, a, b ORDER BY score) + (count(*) OVER (PARTITION BY run, a, b, score) - 1) / 2.0 AS rk FROM pairs),
+    auc AS (SELECT run, a, b, sum(CASE WHEN pos THEN rk END) AS rs, CAST(count(*) FILTER (pos) AS DOUBLE) AS p,
+      CAST(count(*) FILTER (NOT pos) AS DOUBLE) AS q FROM ranked GROUP BY 1, 2, 3),
+    places AS (SELECT unnest({LISTED}) AS label, unnest(range({len(LISTED)})) AS i),
+    matrix AS (SELECT r.run, 'C_' || t.i || '_' || p.i AS cell, coalesce((SELECT n FROM tally c WHERE c.run = r.run AND c.truth = t.label AND c.pred = p.label), 0) AS n
+      FROM (SELECT DISTINCT run FROM scored) r, places t, places p)
     SELECT a.run, '20240131120000_RidgeClassifier_f1' || lpad(CAST(CAST(trunc(a.f1 * 10000) AS BIGINT) AS VARCHAR), 5, '0') || '_classify_' || a.run AS model_name,
       a.mode AS avg_mode, round(a.f1, 6) AS f1, round(a.recall, 6) AS recall, round(a.precision, 6) AS precision,
       (SELECT round(avg(p.recall), 6) FROM per_class p WHERE p.run = a.run AND p.support > 0) AS bal_accuracy,
-      (SELECT count(*) FROM cells c WHERE c.run = a.run) AS n_cells, (SELECT count(*) FROM report r WHERE r.run = a.run) AS n_lines,
-      (SELECT n FROM cells c WHERE c.run = a.run AND ti = 0 AND pi = 1) AS c_0_1
-    FROM averages a WHERE mode = 'weighted'""",
+      (SELECT round(avg((rs - p * (p + 1) / 2) / (p * q)), 6) FROM auc u WHERE u.run = a.run) AS roc_auc,
+      (SELECT string_agg(cell || '=' || n, ' ' ORDER BY cell) FROM matrix m WHERE m.run = a.run) AS conf_matrix,
+      (SELECT string_agg(label || printf(':%.9f:%.9f:%.9f:', precision, recall, f1) || support, ' ' ORDER BY label) FROM listed_report l WHERE l.run = a.run) AS report
+    FROM averages a WHERE mode = 'macro'""",
     digits=6,
 )
 def evaluation_record_classes(spark, sf_dir):
-    records = classification_record(scored(spark, sf_dir), ["run"], LABELS, _metadata("classify", "RidgeClassifier"))
+    """The stored record, every value of its maps written out."""
+    rows = scored(spark, sf_dir)
+    auc = roc_auc_ovo(rows, ["run"], LABELS, "truth", {t: f"p_{t}" for t in LABELS})
+    records = classification_record(rows, ["run"], LISTED, _metadata("classify", "RidgeClassifier"), auc=auc, avg_mode="macro")
+
+    def spelled(column, text):
+        return F.array_join(F.transform(F.array_sort(F.map_entries(column)), lambda e: text(e["key"], e["value"])), " ")
+
+    def line(label, v):
+        return F.concat(label, F.format_string(":%.9f:%.9f:%.9f:%d", v["precision"], v["recall"], v["f1-score"], v["support"]))
+
     return records.select(
         "run",
         "model_name",
@@ -268,7 +328,7 @@ def evaluation_record_classes(spark, sf_dir):
         "recall",
         "precision",
         "bal_accuracy",
-        F.size("conf_matrix").cast("bigint").alias("n_cells"),
-        F.size("classification_report").cast("bigint").alias("n_lines"),
-        F.element_at("conf_matrix", "C_0_1").alias("c_0_1"),
+        F.col("roc_auc_score").cast("double").alias("roc_auc"),
+        spelled("conf_matrix", lambda cell, n: F.concat(cell, F.lit("="), n.cast("string"))).alias("conf_matrix"),
+        spelled("classification_report", line).alias("report"),
     )

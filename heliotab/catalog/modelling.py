@@ -217,7 +217,7 @@ _WEATHER_ROWS = f"""weather_rows AS (SELECT installation, t.target, CASE t.targe
 )
 def ridge_multi(spark, sf_dir):
     rows = with_doy_trig(daily_weather(spark, sf_dir), "date").withColumn("sunshine", F.col("sunshine_duration") / 1000)
-    model = ridge_fit(rows, _X, ["cloud_cover", "sunshine"])
+    model = ridge_fit(rows, _X, ["cloud_cover", "sunshine"], nulls="drop")
     return model.select(
         "installation",
         "target",
@@ -276,7 +276,7 @@ def _sunshine(spark, sf_dir):
     placed AS (SELECT *, {_key_hash_sql("(date_diff('day', DATE '1970-01-01', date) * 10 + CAST(substr(installation, 6) AS BIGINT))")} < 858993459 AS test FROM days),
     train AS (SELECT * FROM placed WHERE NOT test), {_SOLVED},
     scored AS (SELECT installation, y, {_PRED} AS pred FROM (SELECT * FROM placed WHERE test) t JOIN scaler USING (installation) JOIN w USING (installation))
-    SELECT installation, count(*) AS n, round(avg(abs(y - pred)), 4) AS "MAE", round(avg(pow(y - pred, 2)), 3) AS "MSE",
+    SELECT installation, count(*) AS n, CAST(0 AS BIGINT) AS n_dropped, round(avg(abs(y - pred)), 4) AS "MAE", round(avg(pow(y - pred, 2)), 3) AS "MSE",
       round(sqrt(avg(pow(y - pred, 2))), 4) AS "RMSE", round(avg(abs(y - pred) / greatest(abs(y), 2.220446049250313e-16)), 4) AS "MAPE",
       round(median(abs(y - pred)), 4) AS "MedAE", round(1 - avg(pow(y - pred, 2)) / var_pop(y), 4) AS "R2",
       round(1 - var_pop(y - pred) / var_pop(y), 4) AS "ExplainedVar" FROM scored GROUP BY 1""",
@@ -317,9 +317,8 @@ _HASH_RUN_SQL = _key_hash_sql("event_id", "7919 * (run + 2)")
     "permutation_importance",
     f"""WITH base AS (SELECT event_id, event_type AS truth, value, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events),
     hashed AS (SELECT *, {_HASH_RUN_SQL} AS h FROM base, (VALUES (0), (1), (2), (3), (4)) AS r(run)),
-    placed AS (SELECT *, h * (SELECT count(*) // 250000 + 1 FROM base) // 4294967296 AS block FROM hashed),
     shuffled AS (SELECT *, coalesce(lead(value) OVER w, first_value(value) OVER w) AS ov, coalesce(lead(k) OVER w, first_value(k) OVER w) AS ok
-      FROM placed WINDOW w AS (PARTITION BY run, block ORDER BY h, event_id)),
+      FROM hashed WINDOW w AS (PARTITION BY run ORDER BY h, event_id)),
     preds AS (SELECT run, 'value' AS feature, truth, {_rule_sql('ov', 'k')} AS pred FROM shuffled
       UNION ALL SELECT run, 'k', truth, {_rule_sql('value', 'ok')} FROM shuffled
       UNION ALL SELECT -1, '', truth, {_rule_sql('value', 'k')} FROM base),

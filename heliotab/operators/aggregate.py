@@ -7,24 +7,18 @@ from ..functions.scalars import normalize_text, normalized_name, sum_or_zero
 from ..functions.timeparts import utc_date
 
 # Which measures add up over a period and which are averaged.
-SUMMED = ["sol_prod", "sunshine_duration", "direct_radiation"]
+SUMMED = ["sol_prod", "sunshine_duration", "direct_radiation", "radiation_global"]
 AVERAGED = ["cloud_cover", "snow_depth", "is_day"]
 # Weather types the models use.
 WEATHER_TYPES = ["clear_sky", "cloudy", "drizzle", "rain", "solid_precipitation"]
 
 PERIODS = {"daily": ["date"], "hourly": ["date", "hour"]}
 
-# An open list of weather types becomes columns, so it must stay column-sized.
-MAX_CATEGORIES = 1_000
-
 
 def discover_categories(df: DataFrame, col: str = "weather_description") -> list[str]:
-    """Sorted normalised values of a code-like column; fails on anything that is no code."""
-    found = df.select(normalized_name(col).alias("v")).filter("v is not null").distinct().limit(MAX_CATEGORIES + 1)
-    names = sorted(r.v for r in found.collect())
-    if len(names) > MAX_CATEGORIES:
-        raise ValueError(f"{col} has more than {MAX_CATEGORIES} distinct values")
-    return names
+    """Sorted normalised values of a code-like column; each becomes a column, so the list is not cut."""
+    found = df.select(normalized_name(col).alias("v")).filter("v is not null").distinct()
+    return sorted(r.v for r in found.collect())
 
 
 def category_names(df: DataFrame, col: str, categories: list[str] | None) -> list[str]:

@@ -64,24 +64,20 @@ def strict_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
 
-def normalize_peak(df: DataFrame, sites: DataFrame, peak: str = "Wp") -> DataFrame:
+def normalize_peak(df: DataFrame, sites: DataFrame, peak: str = "Wp", keep: tuple[str, ...] = ()) -> DataFrame:
     """Power columns divided by the installation's peak power, ``soc`` from percent to share.
 
     The site table is settled and joined without a hint, so it is broadcast only while its size
-    allows. An installation without metadata fails the job.
+    allows. An installation without metadata fails the job, whatever columns are read afterwards.
+    ``keep`` names site columns to add.
     """
-    peaks = settle(sites.select("installation", F.col(peak).cast("double").alias("_peak")), "peaks")
+    peaks = settle(sites.select("installation", F.col(peak).cast("double").alias("_peak"), *keep), "peaks")
     present = [c for c in POWER_COLUMNS if c in df.columns]
-    scaled = {c: F.try_divide(F.col(c), F.col("_checked")) for c in present}
+    scaled = {c: F.try_divide(F.col(c), F.col("_peak")) for c in present}
     if "soc" in df.columns:
         scaled["soc"] = F.col("soc") / 100
-    missing = F.raise_error(F.concat(F.lit("no metadata for installation "), F.col("installation")))
-    return (
-        df.join(peaks, "installation", "left")
-        .withColumn("_checked", F.coalesce("_peak", missing.cast("double")))
-        .withColumns(scaled)
-        .drop("_peak", "_checked")
-    )
+    known = F.assert_true(F.col("_peak").isNotNull(), F.concat(F.lit("no metadata for installation "), F.col("installation")))
+    return df.join(peaks, "installation", "left").filter(known.isNull()).withColumns(scaled).drop("_peak")
 
 
 def recover_total(df: DataFrame, target: str = "sol_prod", parts=("sol_prod_1", "sol_prod_2")) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import EPSILON, as_column, hash32
 from ..session import join_stats, settle
-from .ranks import exact_median, running_total
+from .ranks import bucket_count, exact_median, running_total
 
 REGRESSION_SCORES = ["MAE", "MSE", "RMSE", "MAPE", "MedAE", "R2", "ExplainedVar"]
 
@@ -17,13 +17,32 @@ def _explained(error: Column, spread: Column) -> Column:
     return F.when(spread > 0, 1 - error / F.when(spread > 0, spread)).when(error == 0, 1.0).otherwise(0.0)
 
 
-def regression_metrics(df: DataFrame, keys: list[str], truth: str = "y", pred: str = "pred") -> DataFrame:
-    """MAE, MSE, RMSE, MAPE, MedAE, R2 and explained variance per key."""
-    y, p = F.col(truth).cast("double"), F.col(pred).cast("double")
-    rows = df.filter(y.isNotNull() & p.isNotNull()).select(*keys, y.alias("_y"), (y - p).alias("_e"))
+def _whole(truth: str, pred: str) -> Column:
+    return F.col(truth).isNotNull() & F.col(pred).isNotNull()
+
+
+def _checked(df: DataFrame, truth: str, pred: str, nulls: str) -> DataFrame:
+    """``nulls="raise"`` fails on a row without truth or prediction, ``"count"`` leaves it to ``n_dropped``."""
+    if nulls not in ("raise", "count"):
+        raise ValueError(f"unknown nulls {nulls!r}")
+    if nulls == "count":
+        return df
+    return df.filter(F.assert_true(_whole(truth, pred), f"{truth} or {pred} is missing").isNull())
+
+
+def regression_metrics(df: DataFrame, keys: list[str], truth: str = "y", pred: str = "pred", nulls: str = "raise") -> DataFrame:
+    """MAE, MSE, RMSE, MAPE, MedAE, R2 and explained variance per key.
+
+    A row without truth or prediction fails the job; with ``nulls="count"`` it is left out of the
+    scores and counted in ``n_dropped``.
+    """
+    whole = _whole(truth, pred)
+    y, p = F.when(whole, F.col(truth).cast("double")), F.col(pred).cast("double")
+    rows = _checked(df, truth, pred, nulls).select(*keys, whole.alias("_whole"), y.alias("_y"), (y - p).alias("_e"))
     rows = rows.withColumn("_abs", F.abs("_e"))
     sums = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
+        F.count_if("_whole").alias("n"),
+        F.count_if(~F.col("_whole")).alias("n_dropped"),
         F.avg("_abs").alias("MAE"),
         F.avg(F.col("_e") * F.col("_e")).alias("MSE"),
         F.avg(F.col("_abs") / F.greatest(F.abs("_y"), F.lit(EPSILON))).alias("MAPE"),
@@ -33,6 +52,7 @@ def regression_metrics(df: DataFrame, keys: list[str], truth: str = "y", pred: s
     scored = sums.select(
         *keys,
         "n",
+        "n_dropped",
         "MAE",
         "MSE",
         F.sqrt("MSE").alias("RMSE"),
@@ -41,22 +61,24 @@ def regression_metrics(df: DataFrame, keys: list[str], truth: str = "y", pred: s
         _explained(F.col("_ve"), F.col("_vy")).alias("ExplainedVar"),
     )
     medians = exact_median(rows, keys, "_abs", "MedAE")
-    return join_stats(scored, medians, keys).select(*keys, "n", *REGRESSION_SCORES)
+    return join_stats(scored, medians, keys).select(*keys, "n", "n_dropped", *REGRESSION_SCORES)
 
 
-def regression_metrics_multi(df: DataFrame, keys: list[str], target: str = "target", truth: str = "y", pred: str = "pred") -> DataFrame:
+def regression_metrics_multi(
+    df: DataFrame, keys: list[str], target: str = "target", truth: str = "y", pred: str = "pred", nulls: str = "raise"
+) -> DataFrame:
     """Scores per target (``kind`` single), and per key their uniform mean on scaled values (``scaled``).
 
     Scaling to the range of the truth is affine, so all scaled scores but MAPE follow from the
-    single ones and the width of the range.
+    single ones and the width of the range; only the small tables of ranges and scores are settled.
     """
     by = [*keys, target]
-    rows = settle(df.select(*by, truth, pred).dropna(subset=[truth, pred]), "predictions")
-    y, p = F.col(truth), F.col(pred)
+    rows = df.select(*by, truth, pred)
+    y, p = F.when(_whole(truth, pred), F.col(truth)), F.col(pred)
     span = F.max(y) - F.min(y)
     limits = rows.groupBy(*by).agg(F.min(y).alias("_lo"), F.when(span == 0, 1.0).otherwise(span).alias("_width"))
     limits = settle(limits, "limits")
-    single = settle(regression_metrics(rows, by, truth, pred), "scores")
+    single = settle(regression_metrics(rows, by, truth, pred, nulls), "scores")
     relative = F.abs(y - p) / F.col("_width") / F.greatest(F.abs((y - F.col("_lo")) / F.col("_width")), F.lit(EPSILON))
     mape = rows.join(limits, by).groupBy(*by).agg(F.avg(relative).alias("MAPE"))
     width = F.col("_width")
@@ -64,7 +86,8 @@ def regression_metrics_multi(df: DataFrame, keys: list[str], target: str = "targ
         {"MAE": F.col("MAE") / width, "MSE": F.col("MSE") / (width * width), "MedAE": F.col("MedAE") / width}
     )
     averaged = [m for m in REGRESSION_SCORES if m != "RMSE"]
-    mean = per_target.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.avg(m).alias(m) for m in averaged])
+    counts = [F.sum(c).alias(c) for c in ("n", "n_dropped")]
+    mean = per_target.groupBy(*keys).agg(*counts, *[F.avg(m).alias(m) for m in averaged])
     overall = mean.withColumn("RMSE", F.sqrt("MSE")).withColumn(target, F.lit(None).cast("string"))
     return single.withColumn("kind", F.lit("single")).unionByName(overall.withColumn("kind", F.lit("scaled")))
 
@@ -189,12 +212,27 @@ def balanced_accuracy(scores: DataFrame, keys: list[str]) -> DataFrame:
     return scores.filter("support > 0").groupBy(*keys).agg(F.avg("recall").alias("bal_accuracy"))
 
 
-def classification_report(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-class rows followed by accuracy, macro and weighted averages."""
+def classification_report(scores: DataFrame, keys: list[str], labels: list | None = None) -> DataFrame:
+    """Per-class rows followed by accuracy, macro and weighted averages.
+
+    ``labels`` are the lines wanted: a listed label that never occurs has zeros, an occurring one that
+    is not listed has no line and no part in the averages. Where that leaves out a label of the truth or
+    the predictions, the micro average is no accuracy and is called ``micro avg``.
+    """
     fields = [*keys, "label", "precision", "recall", "f1", "support"]
-    per_class = scores.withColumn("label", F.col("label").cast("string")).select(*fields)
-    averages = average_scores(scores, keys)
-    accuracy = F.col("avg_mode") == "micro"
+    if labels is None:
+        shown, covered = scores, None
+    else:
+        listed = F.explode(F.array(*[F.lit(v) for v in labels])).alias("label")
+        base = scores.select(*keys).distinct() if keys else scores.sparkSession.range(1).drop("id")
+        zero = {c: F.coalesce(c, F.lit(0).cast(scores.schema[c].dataType)) for c in scores.columns if c not in (*keys, "label")}
+        shown = base.select(*keys, listed).join(scores, [*keys, "label"], "left").withColumns(zero)
+        # one row per key: whether every label that occurs is listed
+        covered = scores.groupBy(*keys).agg(F.bool_and(F.col("label").isin(list(labels))).alias("_covered"))
+    per_class = shown.withColumn("label", F.col("label").cast("string")).select(*fields)
+    averages = average_scores(shown, keys)
+    averages = averages.withColumn("_covered", F.lit(True)) if covered is None else join_stats(averages, covered, keys)
+    accuracy = (F.col("avg_mode") == "micro") & F.col("_covered")
     rows = averages.select(
         *keys,
         F.when(accuracy, "accuracy").otherwise(F.concat(F.col("avg_mode"), F.lit(" avg"))).alias("label"),
@@ -207,11 +245,12 @@ def classification_report(scores: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def format_report(report: DataFrame, keys: list[str], decimals: int = 3) -> DataFrame:
-    """Scores as text with fixed rounding; the accuracy row shows f1 and support only."""
+    """Rounded scores as plain text (``0.5``, ``1.0``); the accuracy row shows f1 and support only."""
     accuracy = F.col("label") == "accuracy"
 
     def text(c):
-        return F.format_string(f"%.{decimals}f", F.round(F.col(c), decimals))
+        fixed = F.format_string(f"%.{decimals}f", F.round(F.col(c), decimals))
+        return F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1")
 
     return report.select(
         *keys,
@@ -219,7 +258,7 @@ def format_report(report: DataFrame, keys: list[str], decimals: int = 3) -> Data
         F.when(accuracy, "").otherwise(text("precision")).alias("precision"),
         F.when(accuracy, "").otherwise(text("recall")).alias("recall"),
         text("f1").alias("f1"),
-        F.col("support").cast("int").cast("string").alias("support"),
+        F.col("support").cast("bigint").cast("string").alias("support"),
     )
 
 
@@ -272,10 +311,6 @@ def weighted_f1(counts: DataFrame, keys: list[str]) -> DataFrame:
     return average_scores(class_scores(counts, keys), keys).filter("avg_mode = 'weighted'").select(*keys, "f1")
 
 
-# Rows that one task orders for a shuffle; the number of blocks follows from the data alone.
-SHUFFLE_BLOCK = 250_000
-
-
 def permutation_importance(
     df: DataFrame,
     key: str,
@@ -288,18 +323,24 @@ def permutation_importance(
     """Drop of the weighted F1 when one feature is shuffled; mean over independent shuffles.
 
     ``key`` identifies a row. A shuffle hands every row the features of the row behind it in a
-    hash order that differs by run (the last row gets those of the first). Ordering happens in
-    blocks of random rows, so one shuffle of the rows serves all features of a run, without a join.
+    hash order that differs by run (the last row gets those of the first). Ranges of the hash are
+    ordered apart, and the last row of a range takes the first row of the next one from a table of at
+    most one row per range and run; so the order is global, and the ranges change nothing.
     """
     order = order or (lambda run: hash32(key, run))
     rows = df.select(key, truth, *features)
-    blocks = rows.count() // SHUFFLE_BLOCK + 1
+    ranges = bucket_count(df.sparkSession)
     spread = rows.withColumn("run", F.explode(F.array(*[F.lit(r) for r in range(runs)])))
     spread = spread.withColumn("_hash", order(F.col("run")).cast("bigint"))
-    spread = spread.withColumn("_block", F.floor(F.col("_hash") * F.lit(blocks) / F.lit(2**32)))
-    w = Window.partitionBy("run", "_block").orderBy("_hash", key)
+    spread = spread.withColumn("_range", F.floor(F.col("_hash") * F.lit(ranges) / F.lit(2**32)))
     own = F.struct(*features)
-    shuffled = spread.withColumn("_other", F.coalesce(F.lead(own).over(w), F.first(own).over(w)))
+    firsts = spread.groupBy("run", "_range").agg(F.min_by(own, F.struct("_hash", key)).alias("_own"))
+    across = Window.partitionBy("run").orderBy("_range")
+    after = F.coalesce(F.lead("_own").over(across), F.first("_own").over(across.rowsBetween(Window.unboundedPreceding, 0)))
+    nexts = firsts.select("run", "_range", after.alias("_next"))
+    w = Window.partitionBy("run", "_range").orderBy("_hash", key)
+    shuffled = spread.withColumn("_lead", F.lead(F.struct(own.alias("v"))).over(w)).join(F.broadcast(nexts), ["run", "_range"])
+    shuffled = shuffled.withColumn("_other", F.when(F.col("_lead").isNull(), F.col("_next")).otherwise(F.col("_lead.v")))
     plain = {f: F.col(f) for f in features}
     variants = F.array(
         *[
@@ -361,16 +402,20 @@ def classification_record(
     auc: DataFrame | None = None,
     avg_mode: str = "weighted",
 ) -> DataFrame:
-    """One registry row per run with scores, confusion map and per-class report."""
-    matrix = complete_matrix(label_counts(df, keys, truth, pred), keys, labels)
-    scores = class_scores(matrix, keys)
+    """One registry row per run with scores, confusion map and per-class report.
+
+    Scores are taken over the classes that occur; the map and the report have the listed ``labels``.
+    """
+    counts = label_counts(df, keys, truth, pred)
+    matrix = complete_matrix(counts, keys, labels)
+    scores = class_scores(counts, keys)
     averaged = average_scores(scores, keys).filter(F.col("avg_mode") == avg_mode).drop("support")
     # labels x labels cells per run
     cells = matrix.groupBy(*keys).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("cell", "n")))).alias("conf_matrix")
     )
     stored = ["precision", "recall", F.col("f1").alias("f1-score"), "support"]
-    lines = classification_report(scores, keys).groupBy(*keys).agg(
+    lines = classification_report(scores, keys, labels).groupBy(*keys).agg(
         F.map_from_entries(
             F.array_sort(F.collect_list(F.struct("label", F.struct(*stored).alias("s"))))
         ).alias("classification_report")

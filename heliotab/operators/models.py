@@ -6,6 +6,8 @@ one place where NumPy runs, inside tasks, one small row per model.
 """
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -56,30 +58,49 @@ def climatology_predict(df: DataFrame, model: DataFrame, position: Column, name:
 # --------------------------------------------------------------------------- ridge
 
 
-def gram(df: DataFrame, keys: list[str], xs: list[str], ys: list[str]) -> DataFrame:
-    """Per key: n, sums, and cross products of features and targets, over complete rows."""
+def gram(df: DataFrame, keys: list[str], xs: list[str], ys: list[str], nulls: str = "raise") -> DataFrame:
+    """Per key: n, means, and centred cross products of features and targets.
+
+    The products are covariances times n, which Spark merges without cancellation, so a large offset
+    costs no digits. A row with a missing value fails the job; ``nulls="drop"`` leaves such rows out.
+    """
     complete = df.dropna(subset=[*xs, *ys])
+    if nulls != "drop":
+        whole = reduce(and_, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in [*xs, *ys]])
+        complete = df.filter(F.assert_true(whole, "a feature or target is missing").isNull())
     x, y = [F.col(c).cast("double") for c in xs], [F.col(c).cast("double") for c in ys]
-    d = len(xs)
+    d, n = len(xs), F.count("*")
     return complete.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.array(*[F.sum(a) for a in x]).alias("sx"),
-        F.array(*[F.sum(b) for b in y]).alias("sy"),
-        F.array(*[F.sum(x[i] * x[j]) for i in range(d) for j in range(i, d)]).alias("xx"),
-        F.array(*[F.sum(a * b) for a in x for b in y]).alias("xy"),
-        F.array(*[F.sum(b * b) for b in y]).alias("yy"),
+        n.alias("n"),
+        F.array(*[F.avg(a) for a in x]).alias("mx"),
+        F.array(*[F.avg(b) for b in y]).alias("my"),
+        F.array(*[F.covar_pop(x[i], x[j]) * n for i in range(d) for j in range(i, d)]).alias("xx"),
+        F.array(*[F.covar_pop(a, b) * n for a in x for b in y]).alias("xy"),
+        F.array(*[F.var_pop(b) * n for b in y]).alias("yy"),
     )
 
 
 def _centred(row, d: int, m: int):
     """Means, centred X'X, X'Y and diag(Y'Y) of one Gram row."""
-    n = float(row["n"])
-    mx, my = np.asarray(row["sx"], float) / n, np.asarray(row["sy"], float) / n
     xx = np.zeros((d, d))
     xx[np.triu_indices(d)] = np.asarray(row["xx"], float)
-    xx = xx + np.triu(xx, 1).T - n * np.outer(mx, mx)
-    xy = np.asarray(row["xy"], float).reshape(d, m) - n * np.outer(mx, my)
-    return n, mx, my, xx, xy, np.asarray(row["yy"], float) - n * my * my
+    xx = xx + np.triu(xx, 1).T
+    arrays = [np.asarray(row[k], float) for k in ("mx", "my", "xy", "yy")]
+    return float(row["n"]), arrays[0], arrays[1], xx, arrays[2].reshape(d, m), arrays[3]
+
+
+def _merged(a: dict, b: dict, d: int) -> dict:
+    """Gram rows of two disjoint sets of rows as one (single target)."""
+    n = a["n"] + b["n"]
+    dx, dy, w = b["mx"] - a["mx"], b["my"] - a["my"], a["n"] * b["n"] / n
+    return {
+        "n": n,
+        "mx": a["mx"] + dx * b["n"] / n,
+        "my": a["my"] + dy * b["n"] / n,
+        "xx": a["xx"] + b["xx"] + w * np.outer(dx, dx)[np.triu_indices(d)],
+        "xy": a["xy"] + b["xy"] + w * dx * dy[0],
+        "yy": a["yy"] + b["yy"] + w * dy * dy,
+    }
 
 
 def _key_ddl(grams: DataFrame, keys: list[str]) -> str:
@@ -93,13 +114,14 @@ def ridge_fit(
     keys: tuple[str, ...] = ("installation",),
     alphas: tuple[float, ...] = (1.0,),
     with_inverse: bool = False,
+    nulls: str = "raise",
 ) -> DataFrame:
     """One settled row per key, alpha and target: intercept and coefficients (intercept unpenalised).
 
     ``with_inverse`` adds what leave-one-out errors need: the feature means and the inverse.
     """
     keys, d, m = list(keys), len(xs), len(ys)
-    grams = gram(df, keys, xs, ys)
+    grams = gram(df, keys, xs, ys, nulls)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -133,6 +155,10 @@ def ridge_fit(
     return settle(grams.mapInPandas(solve, ddl), "ridge")
 
 
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda v, w: v * w), F.lit(0.0), lambda s, v: s + v)
+
+
 def linear_value(xs: list[str], coefficients: str = "coefficients", intercept: str = "intercept") -> Column:
     return sum((F.col(coefficients)[i] * F.col(x) for i, x in enumerate(xs)), F.col(intercept))
 
@@ -156,7 +182,7 @@ def ridge_predict_multi(df: DataFrame, model: DataFrame, xs: list[str], ys: list
 
 
 def ridge_cv(
-    df: DataFrame, xs: list[str], y: str, keys: tuple[str, ...] = ("installation",), alphas=(0.1, 1.0, 10.0)
+    df: DataFrame, xs: list[str], y: str, keys: tuple[str, ...] = ("installation",), alphas=(0.1, 1.0, 10.0), nulls: str = "raise"
 ) -> DataFrame:
     """Leave-one-out squared error of every alpha, and whether it is the best of its key.
 
@@ -164,7 +190,7 @@ def ridge_cv(
     centred features, so all alphas need one more pass instead of n fits.
     """
     keys, d = list(keys), len(xs)
-    models = ridge_fit(df, xs, [y], tuple(keys), alphas, with_inverse=True)
+    models = ridge_fit(df, xs, [y], tuple(keys), alphas, with_inverse=True, nulls=nulls)
     rows = df.dropna(subset=[*xs, y]).select(*keys, y, *xs)
     if keys:
         joined = rows.join(models, keys)
@@ -172,8 +198,11 @@ def ridge_cv(
         # one small constant per alpha
         fitted = [F.struct(*[F.lit(m[f.name]).cast(f.dataType).alias(f.name) for f in models.schema]) for m in models.collect()]
         joined = rows.withColumn("_m", F.explode(F.array(*fitted))).select(*rows.columns, "_m.*")
-    c = [F.col(x) - F.col("means")[i] for i, x in enumerate(xs)]
-    leverage = sum((F.col("inverse")[i * d + j] * c[i] * c[j] for i in range(d) for j in range(d)), 1 / F.col("n"))
+    # c' A c as a dot product of the flattened outer product with the stored inverse
+    c = F.zip_with(F.array(*[F.col(x).cast("double") for x in xs]), "means", lambda v, m: v - m)
+    joined = joined.withColumn("_c", c)
+    weighted = F.transform("_c", lambda v, i: v * _dot(F.slice("inverse", i * d + 1, d), F.col("_c")))
+    leverage = 1 / F.col("n") + F.aggregate(weighted, F.lit(0.0), lambda s, v: s + v)
     left_out = (F.col(y) - linear_value(xs)) / (1 - leverage)
     scored = joined.groupBy(*keys, "alpha").agg(
         F.avg(left_out * left_out).alias("loo_mse"),
@@ -206,7 +235,7 @@ def learning_curve(
     and scores all models.
     """
     d = len(xs)
-    rows = df.dropna(subset=[*xs, y]).select(key, *xs, y)
+    rows = df.select(key, *xs, y)
     placed = global_index(rows, order if order is not None else hash32(key), [key], "_i")
     total = rows.count()
     i, f = F.col("_i"), F.col("fold")
@@ -234,8 +263,8 @@ def learning_curve(
         for step, share in enumerate(shares):
             part = parts.get(step)
             if part is not None:
-                grown = {k: np.asarray(part[k], float) for k in ("n", "sx", "sy", "xx", "xy", "yy")}
-                seen = grown if seen is None else {k: seen[k] + grown[k] for k in grown}
+                grown = {k: np.asarray(part[k], float) for k in ("n", "mx", "my", "xx", "xy", "yy")}
+                seen = grown if seen is None else _merged(seen, grown, d)
             if seen is None or held is None:
                 continue
             _, mx, my, xx, xy, _ = _centred(seen, d, 1)

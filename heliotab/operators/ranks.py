@@ -18,39 +18,32 @@ from ..functions.scalars import nan_to_null
 from ..session import settle
 
 BUCKET = "_bucket"
-# Values that one task may hold to answer a quantile directly.
-SMALL = 1_000_000
-# Tasks that share the merging of sketches, and the resolution of an approximate quantile.
-SKETCH_GROUPS = 256
-APPROX_GRAIN = 1_000
 
 
 def bucket_count(spark: SparkSession) -> int:
     """Several buckets per shuffle partition, so a larger cluster cuts finer."""
-    return max(32, min(10_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def sketch(df: DataFrame, keys: list[str], value: str, grain: int) -> DataFrame:
-    """Per key and group of input partitions: ``grain`` evenly spaced quantiles ``_v``, each standing for ``_n`` values.
+    """Per key and group of values: ``grain`` evenly spaced quantiles ``_v``, each standing for ``_n`` values.
 
-    Sketches of many tasks are merged by up to ``SKETCH_GROUPS`` tasks per key, not by one.
+    Values are grouped by hash, so that the sketches of all tasks are merged by many tasks, not by one.
     """
+    groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = ", ".join(repr((i + 0.5) / grain) for i in range(grain))
     quantiles = F.expr(f"percentile_approx(`{value}`, array({shares}), {2 * grain})")
-    grouped = df.withColumn("_group", F.spark_partition_id() % SKETCH_GROUPS).groupBy(*keys, "_group")
+    grouped = df.withColumn("_group", F.pmod(F.xxhash64(value), F.lit(groups))).groupBy(*keys, "_group")
     return grouped.agg(quantiles.alias("_q"), F.count(value).alias("_n")).select(*keys, F.explode("_q").alias("_v"), "_n")
 
 
-def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> tuple[list[float], int]:
-    """Sketched quantiles of ``value`` and the number of values, from one pass.
-
-    At most ``buckets`` numbers reach the driver.
-    """
+def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
+    """Sketched quantiles of ``value``; at most ``buckets`` numbers reach the driver."""
     n = buckets or bucket_count(df.sparkSession)
-    points = [i / n for i in range(1, n)] or [0.5]
-    merged = sketch(df, [], value, n).agg(F.percentile("_v", points, F.col("_n")).alias("cuts"), F.sum("_n").alias("n"))
-    row = merged.first()
-    return sorted({c for c in row.cuts or [] if math.isfinite(c)}) if n > 1 else [], (row.n or 0) // n
+    if n < 2:
+        return []
+    row = sketch(df, [], value, n).agg(F.percentile("_v", [i / n for i in range(1, n)], F.col("_n")).alias("cuts")).first()
+    return sorted({c for c in row.cuts or [] if math.isfinite(c)})
 
 
 def with_bucket(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
@@ -74,8 +67,7 @@ def running_total(
 
     ``df`` must hold one row per (keys, value); ``value`` is a double.
     """
-    cuts, n = cut_points(df, value, buckets)
-    rows = with_bucket(df, value, cuts if n > SMALL or buckets else [])
+    rows = with_bucket(df, value, cut_points(df, value, buckets))
     totals = rows.groupBy(*keys, BUCKET).agg(*[F.sum(w).alias(f"_total_{w}") for w in weights])
     earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -95,6 +87,20 @@ def running_total(
     )
 
 
+# Relative width of the bins of an approximate quantile; all doubles fit in about 72,000 of them.
+APPROX_STEP = 0.02
+
+
+def _binned_quantiles(rows: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    x = F.col(value)
+    place = F.floor(F.ln(F.abs(F.when(x != 0, x))) / math.log1p(APPROX_STEP)) + 40_000
+    bins = rows.groupBy(*keys, F.coalesce(F.signum(x) * place, F.lit(0.0)).alias(BUCKET)).agg(F.count("*").alias("_n"), F.min(x).alias("_v"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0))
+    placed = bins.withColumns({"_to": upto, "_size": F.sum("_n").over(Window.partitionBy(*keys))})
+    rank = {name: F.floor(F.lit(float(p)) * (F.col("_size") - 1)) for name, p in probs.items()}
+    return placed.groupBy(*keys).agg(*[F.min(F.when(F.col("_to") > r, F.struct(BUCKET, "_v"))).getField("_v").alias(n) for n, r in rank.items()])
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -107,21 +113,13 @@ def exact_quantiles(
 
     Only the buckets that hold a wanted rank are ordered: counting the buckets needs a
     scan with map-side combine (settled: a few rows per key), and of the rows themselves just
-    those few buckets move. Up to a million values the built-in percentile does the same in one
-    aggregate. ``approx`` returns the sketch's own answer in a single pass instead.
+    those few buckets move. ``approx`` takes one pass: values are counted in logarithmic bins, and a
+    quantile is the least value of its bin, within ``APPROX_STEP`` of the exact one whatever the partitions.
     """
     rows = df.select(*keys, nan_to_null(F.col(value).cast("double")).alias(value)).dropna(subset=[value])
     if approx:
-        picked = F.percentile("_v", [float(p) for p in probs.values()], F.col("_n"))
-        flat = sketch(rows, keys, value, APPROX_GRAIN).groupBy(*keys).agg(picked.alias("_q"))
-        return flat.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
-
-    cuts, n = cut_points(rows, value, buckets)
-    if n <= SMALL and not buckets:
-        exact = F.percentile(value, [float(p) for p in probs.values()]).alias("_q")
-        flat = rows.groupBy(*keys).agg(exact)
-        return flat.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-
+        return _binned_quantiles(rows, keys, value, probs)
+    cuts = cut_points(rows, value, buckets)
     rows = with_bucket(rows, value, cuts)
     earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)

@@ -41,7 +41,11 @@ def _transitions(zone: str, first_year: int, last_year: int) -> list[tuple]:
     return found
 
 
-def transition_table(spark: SparkSession, zones: list[str], first_year=1970, last_year=2100) -> DataFrame:
+# Years whose clock changes are looked up; text outside them fails in a named zone.
+YEARS = (1900, 2200)
+
+
+def transition_table(spark: SparkSession, zones: list[str], first_year=YEARS[0], last_year=YEARS[1]) -> DataFrame:
     """About two rows per zone and year: bounded by the zone names in use, safe to broadcast."""
     rows = [t for z in sorted(set(zones)) for t in _transitions(z, first_year, last_year)]
     return spark.createDataFrame(rows, _TRANSITION_SCHEMA)
@@ -102,6 +106,8 @@ def to_utc(
     if not zones:
         return rows.withColumn(column, plain).select(*df.columns, *[F.lit(False).alias(m) for m in marks])
 
+    covered = F.col("_zone").isNull() | F.col("_day").isNull() | F.year("_day").between(*YEARS)
+    rows = rows.filter(F.assert_true(covered, F.concat(F.lit("no clock changes known for "), text)).isNull())
     changes = transition_table(spark, zones)
     hit = (F.col("_local") >= F.col("_start")) & (F.col("_local") < F.col("_end"))
     marked = rows.join(F.broadcast(changes), ["_zone", "_day"], "left").withColumn("_hit", F.coalesce(hit, F.lit(False)))

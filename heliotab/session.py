@@ -34,7 +34,7 @@ PARTITION_BYTES = 128 * 1024 * 1024
 
 def sizing(input_bytes: int) -> dict[str, str]:
     """Settings for a job over ``input_bytes`` of data; adaptive execution merges what is too many."""
-    partitions = max(200, min(100_000, input_bytes // PARTITION_BYTES))
+    partitions = max(200, input_bytes // PARTITION_BYTES)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),

@@ -1,6 +1,6 @@
 """Semicolon-separated power exports: one folder per installation, headers differ by file."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,25 +32,50 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep=";", header=True, schema=SITE_SCHEMA)
 
 
-def read_power_files(spark: SparkSession, root: str) -> DataFrame:
-    """All ``root/<installation>/*.csv`` as text columns, matched by each file's own header.
-
-    Lines are read splittably, so one huge file is still many tasks. Headers are one short row
-    per file, settled and joined back on the file path; the column names found are schema-sized.
-    ``_file``, ``_block`` and ``_line`` keep the order of the rows within a file.
-    """
+def power_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of all ``root/<installation>/*.csv`` with file, place and decoded folder name."""
     path = F.col("_metadata.file_path")
-    lines = spark.read.text(f"{root.rstrip('/')}/*/*.csv").select(
+    folder = F.replace(F.element_at(F.split(path, "/"), -2), F.lit("+"), F.lit("%2B"))
+    return spark.read.text(f"{root.rstrip('/')}/*/*.csv").select(
         path.alias("_file"),
-        F.element_at(F.split(path, "/"), -2).alias("installation"),
+        F.url_decode(folder).alias("installation"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
         F.col("value"),
     )
-    # a header line carries the literal column name, a data line never does
-    cells = F.transform(F.split(F.regexp_replace("value", "^\\uFEFF", ""), ";"), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
-    is_header = F.array_contains(cells, "timestamp")
-    headers = settle(lines.filter(is_header).select("_file", cells.alias("_header")), "headers")
+
+
+def _cells() -> Column:
+    plain = F.regexp_replace("value", "^\\uFEFF", "")
+    return F.transform(F.split(plain, ";"), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
+
+
+def _is_header() -> Column:
+    """A header line carries the literal column name, a data line never does."""
+    return F.array_contains(_cells(), "timestamp")
+
+
+def power_headers(lines: DataFrame) -> DataFrame:
+    """One row per file that has lines: its first header, null if there is none."""
+    found = lines.filter(F.trim("value") != "").groupBy("_file", "installation").agg(
+        F.min(F.when(_is_header(), F.struct("_block", "_line", _cells().alias("cells")))).alias("_first")
+    )
+    return settle(found.select("_file", "installation", F.col("_first.cells").alias("_header")), "headers")
+
+
+def read_power_files(spark: SparkSession, root: str, headers: DataFrame | None = None) -> DataFrame:
+    """All ``root/<installation>/*.csv`` as text columns, matched by each file's own header.
+
+    Lines are read splittably, so one huge file is still many tasks. Headers are one short row
+    per file, settled and joined back on the file path; the column names found are schema-sized.
+    A file without a header fails the job, a header repeated within a file adds nothing.
+    ``_file``, ``_block`` and ``_line`` keep the order of the rows within a file.
+    """
+    lines = power_lines(spark, root)
+    headers = power_headers(lines) if headers is None else headers
+    bare = headers.filter("_header is null").select("_file").limit(5).collect()
+    if bare:
+        raise ValueError(f"no header with a timestamp column in {', '.join(r._file for r in bare)}")
     shape = headers.agg(
         F.array_distinct(F.flatten(F.collect_set("_header"))).alias("names"),
         F.max(F.size("_header")).alias("width"),
@@ -64,7 +89,7 @@ def read_power_files(spark: SparkSession, root: str) -> DataFrame:
         "_file", *[(F.array_position("_header", F.lit(n)) - 1).cast("int").alias(f"_at_{i}") for i, n in enumerate(wanted)]
     )
     positional = ", ".join(f"c{i} string" for i in range(width))
-    parsed = lines.filter(~is_header & (F.trim("value") != "")).withColumn(
+    parsed = lines.filter(~_is_header() & (F.trim("value") != "")).withColumn(
         "_row", F.from_csv("value", positional, {"sep": ";"})
     )
     cells = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
@@ -87,16 +112,31 @@ def read_power_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def check_sites(sites: DataFrame, installations: DataFrame) -> None:
+    """Fail on an installation without metadata, or with two rows of it."""
+    twice = [r.installation for r in sites.groupBy("installation").count().filter("count > 1").limit(5).collect()]
+    if twice:
+        raise ValueError(f"several rows of metadata for installation {', '.join(map(str, twice))}")
+    unknown = installations.select("installation").distinct().join(sites, "installation", "left_anti").limit(5).collect()
+    if unknown:
+        raise ValueError(f"no metadata for installation {', '.join(r.installation for r in unknown)}")
+
+
 def ingest_power(spark: SparkSession, root: str, sites: DataFrame) -> DataFrame:
-    """Raw exports to the power table: renamed, numeric, scaled by peak power, UTC."""
+    """Raw exports to the power table: renamed, numeric, scaled by peak power, UTC.
+
+    Folder names are checked against the metadata from the small table of headers, so no reading
+    of an unknown installation is dropped without notice.
+    """
     sites = settle(sites, "sites")
-    raw = read_power_files(spark, root)
+    headers = power_headers(power_lines(spark, root))
+    check_sites(sites, headers)
+    raw = read_power_files(spark, root, headers)
     extra = [c for c in raw.columns if c not in CANONICAL_COLUMNS and not c.startswith("_")]
     numbers = raw.transform(coerce_numeric, ["soc", *POWER_COLUMNS])
-    scaled = numbers.transform(normalize_peak, sites)
+    local = numbers.transform(normalize_peak, sites, keep=("timezone",))
     zones = [r.timezone for r in sites.select("timezone").distinct().collect()]
     named = [z for z in zones if z and not z.lower().startswith("utc")]
-    local = scaled.join(sites.select("installation", "timezone"), "installation")
     utc = to_utc(
         local, "timestamp", "timezone", group=("installation", "_file"), order=("_block", "_line"), zones=named
     )

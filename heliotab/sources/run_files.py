@@ -1,4 +1,4 @@
-"""The registry of stored model runs: ``<root>/<run>/<run>.results.json``."""
+"""The registry of stored model runs: ``<root>/<run>/<run>.results.json``, or ``<root>/run=<run>`` as written here."""
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,14 +29,18 @@ def nested_field(path: str) -> Column:
 def scan_runs(spark: SparkSession, root: str, schema: str = RUN_SCHEMA) -> DataFrame:
     """All runs below ``root``; ``name`` is the folder, hidden folders are skipped."""
     path = F.split(F.col("_metadata.file_path"), "/")
-    name = F.element_at(path, -2)
+    folder = F.element_at(path, -2)
+    written = folder.startswith("run=")
+    plain = F.when(written, F.substring(folder, F.lit(5), F.length(folder))).otherwise(folder)
+    stored = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(root)
+    own = F.element_at(path, -1) == F.concat(folder, F.lit(".results.json"))
     return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .json(f"{root.rstrip('/')}/*/*.results.json")
-        .withColumn("name", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
-        .filter(~F.col("name").startswith("."))
-        .filter(F.element_at(path, -1) == F.concat(name, F.lit(".results.json")))
+        stored
+        # Partition folders escape twice: once by the writer, once in the path
+        .withColumn("_once", F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B"))))
+        .withColumn("name", F.when(written, F.url_decode(F.replace("_once", F.lit("+"), F.lit("%2B")))).otherwise(F.col("_once")))
+        .filter(~F.col("name").startswith(".") & (written | own))
+        .drop("_once")
         .withColumns({m: F.nanvl(m, F.lit(None).cast("double")) for m in METRICS})
     )
 

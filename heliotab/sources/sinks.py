@@ -1,8 +1,5 @@
 """Writers. Nothing here gathers rows; files are bounded by row count, not by installation."""
 
-import uuid
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,26 +26,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_run_records(records: DataFrame, root: str, name: str = "name") -> None:
-    """Evaluation records as ``<root>/<run>/<run>.results.json``, the layout the registry scan reads.
+    """Evaluation records as JSON, one folder ``<root>/run=<run>`` each, which the registry scan reads.
 
-    Spark writes one file per run into a staging folder; the driver then only renames, once per
-    run of this job.
+    Spark's committer replaces the folders of the runs written and leaves all others alone, so a run
+    that is written again has its last record only. Two records of one name fail before anything is
+    written.
     """
-    spark = records.sparkSession
-    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex[:12]}"
-    records.withColumn("_run", F.col(name)).drop("name").repartition("_run").write.partitionBy("_run").json(staging)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in fs.listStatus(path(staging)):
-        label = folder.getPath().getName()
-        if not label.startswith("_run="):
-            continue
-        run = unquote(label[len("_run=") :])
-        fs.mkdirs(path(f"{root}/{run}"))
-        for part in fs.listStatus(folder.getPath()):
-            if part.getPath().getName().endswith(".json"):
-                fs.rename(part.getPath(), path(f"{root}/{run}/{run}.results.json"))
-    fs.delete(path(staging), True)
+    runs = records.withColumn("run", F.col(name)).drop("name")
+    twice = runs.groupBy("run").count().filter("count > 1 or run is null").select("run").limit(5).collect()
+    if twice:
+        raise ValueError(f"several records, or none, for a name: {', '.join(str(r.run) for r in twice)}")
+    writer = runs.repartition("run").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run").json(root)
 
 
 def curve_table(curve: DataFrame, score: str, folds: int = 5) -> DataFrame:

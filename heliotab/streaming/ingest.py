@@ -7,7 +7,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.clean import coerce_numeric, normalize_peak, rename_power_columns
 from ..operators.zones import to_utc
 
-LATE_BY = "2 days"
 
 
 def read_power_stream(spark: SparkSession, path: str, columns: list[str], files_per_trigger: int = 1000) -> DataFrame:
@@ -20,26 +19,28 @@ def read_power_stream(spark: SparkSession, path: str, columns: list[str], files_
     )
 
 
-def clean_power_stream(raw: DataFrame, sites: DataFrame, late_by: str = LATE_BY) -> DataFrame:
-    """Rename, cast, scale, UTC, then drop repeats of (installation, timestamp) within the watermark.
+def clean_power_stream(raw: DataFrame, sites: DataFrame, late_by: str | None = None) -> DataFrame:
+    """Rename, cast, scale, UTC, then drop repeats of (installation, timestamp).
 
-    Zones with summer time need the order of the rows in a file and stay in the batch job; here
-    text must carry an offset or the zone must be fixed.
+    Files may arrive in any order, so nothing is late: the keys seen are kept in the state store. With
+    ``late_by`` readings older than that behind the newest one are given up, and the state stays as small.
+    Zones with summer time need the order of the rows in a file and stay in the batch job: a named zone
+    fails here.
     """
+    zone = F.lower(F.trim("timezone"))
+    named = sites.filter(~(zone.rlike("^utc([+-].*)?$") | (zone == ""))).select("timezone").distinct().limit(5).collect()
+    if named:
+        raise ValueError(f"named time zones need the batch job: {', '.join(r.timezone for r in named)}")
     renamed = rename_power_columns(raw)
     measures = [c for c in renamed.columns if c not in ("installation", "timestamp")]
-    scaled = normalize_peak(coerce_numeric(renamed, measures), sites)
-    local = scaled.join(sites.select("installation", "timezone"), "installation")
-    return (
-        to_utc(local, zones=[])
-        .drop("timezone")
-        .withWatermark("timestamp", late_by)
-        .dropDuplicatesWithinWatermark(["installation", "timestamp"])
-    )
+    local = normalize_peak(coerce_numeric(renamed, measures), sites, keep=("timezone",))
+    utc = to_utc(local, zones=[]).drop("timezone")
+    keys = ["installation", "timestamp"]
+    return utc.withWatermark("timestamp", late_by).dropDuplicatesWithinWatermark(keys) if late_by else utc.dropDuplicates(keys)
 
 
-def stream_aggregate(df: DataFrame, width: str, sums: list[str], means: list[str] = (), late_by: str | None = LATE_BY) -> DataFrame:
-    """Sums and means per installation and tumbling window; rows beyond the watermark are late."""
+def stream_aggregate(df: DataFrame, width: str, sums: list[str], means: list[str] = (), late_by: str | None = None) -> DataFrame:
+    """Sums and means per installation and tumbling window; with ``late_by`` rows beyond the watermark are late."""
     marked = df.withWatermark("timestamp", late_by) if late_by else df
     return (
         marked.groupBy("installation", F.window("timestamp", width).alias("_w"))
@@ -61,3 +62,25 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def write_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write the rows that each batch changed; ``read_latest`` gives the table.
+
+    No window waits for a watermark to close it. A batch owns a folder and overwrites it, so a batch
+    that is run again after a failure leaves the same files.
+    """
+
+    def keep(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+
+    return df.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_latest(spark: SparkSession, path: str, schema, keys: tuple[str, ...] = ("installation", "timestamp")) -> DataFrame:
+    """The last state of every key that ``write_updates`` wrote."""
+    stored = spark.read.schema(schema).option("basePath", path).parquet(path).withColumn("_path", F.col("_metadata.file_path"))
+    batch = F.regexp_extract("_path", "/batch=([0-9]+)/", 1).cast("bigint")
+    rest = [c for c in stored.columns if c not in (*keys, "_path", "batch")]
+    last = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), batch).alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])

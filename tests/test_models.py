@@ -15,6 +15,7 @@ from heliotab.operators.metrics import (
     confusion_matrix,
     confusion_pivot,
     format_report,
+    label_counts,
     permutation_importance,
     regression_metrics,
     regression_metrics_multi,
@@ -150,7 +151,7 @@ def test_multi_target_scores(spark, frame):
     scaled = next(r for r in out if r.kind == "scaled")
     assert (single["a"].MAE, single["b"].MAE) == (1.0, 20.0)
     assert scaled.MAE == pytest.approx((0.25 + 0.5) / 2) and scaled.RMSE == pytest.approx(np.sqrt((0.0625 + 0.25) / 2))
-    record = with_single_scores(frame([("r",)], "run string"), spark.createDataFrame([r for r in out if r.kind == "single"], "run string, target string, n bigint, MAE double, MSE double, RMSE double, MAPE double, MedAE double, R2 double, ExplainedVar double, kind string"), ["run"]).first()
+    record = with_single_scores(frame([("r",)], "run string"), spark.createDataFrame([r for r in out if r.kind == "single"], "run string, target string, n bigint, n_dropped bigint, MAE double, MSE double, RMSE double, MAPE double, MedAE double, R2 double, ExplainedVar double, kind string"), ["run"]).first()
     assert record.single_dim_scores["b"]["MAE"] == 20.0
 
 
@@ -172,8 +173,8 @@ def test_classification_scores(spark, frame):
     assert avg["macro"] == pytest.approx((0.388889, 0.5, 0.433333), abs=1e-6)
     assert balanced_accuracy(scores, ["run"]).first().bal_accuracy == 0.5
     text = {r.label: r for r in format_report(classification_report(scores, ["run"]), ["run"]).collect()}
-    assert (text["accuracy"].precision, text["accuracy"].f1, text["accuracy"].support) == ("", "0.600", "5")
-    assert text["a"].precision == "0.500"
+    assert (text["accuracy"].precision, text["accuracy"].f1, text["accuracy"].support) == ("", "0.6", "5")
+    assert text["a"].precision == "0.5"
     meta = {k: F.lit(k) for k in ("timestamp", "model_purpose", "model_class", "special_features")}
     record = classification_record(df, ["run"], ["a", "b", "c"], meta)
     r = record.first()
@@ -282,3 +283,47 @@ def test_curve_files(spark, frame, tmp_path):
     back = spark.read.csv(str(tmp_path / "c/validation_scores"), sep=";", header=True, inferSchema=True)
     assert sorted(tuple(r) for r in back.collect()) == [(0.5, -0.5, -0.5), (1.0, -1.0, -1.0)]
     assert spark.read.json(str(tmp_path / "c/summary")).first().train_sizes == [0.5, 1.0]
+
+
+def test_large_offsets_cost_no_digits(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 1))
+    y = 3 * x[:, 0] + 1
+    rows = [("a", float(v + 1e8), float(t)) for v, t in zip(x[:, 0], y)]
+    df = spark.createDataFrame(rows, "installation string, x double, y double").repartition(7)
+    fit = ridge_fit(df, ["x"], ["y"], alphas=(1e-6,)).first()
+    assert fit.coefficients[0] == pytest.approx(3.0, abs=1e-6)
+    curve = learning_curve(df.withColumn("id", F.monotonically_increasing_id()), ["x"], "y", "id", alpha=1e-6).collect()
+    assert len(curve) == 50 and all(r.train_score > 0.999 and r.validation_score > 0.999 for r in curve if r.train_size > 50)
+
+
+def test_missing_values_are_not_dropped_without_notice(spark, frame):
+    df = frame([("a", 1.0, 1.0), ("a", 2.0, None), ("a", 3.0, 3.5)], "run string, y double, pred double")
+    with pytest.raises(Exception, match="is missing"):
+        regression_metrics(df, ["run"]).collect()
+    counted = regression_metrics(df, ["run"], nulls="count").first()
+    assert (counted.n, counted.n_dropped, counted.MAE) == (2, 1, 0.25)
+    with pytest.raises(Exception, match="is missing"):
+        ridge_fit(df, ["y"], ["pred"], ("run",)).collect()
+    assert ridge_fit(df, ["y"], ["pred"], ("run",), nulls="drop").first().n == 2
+
+
+def test_report_of_listed_labels(frame):
+    df = frame([("r", t, p) for t, p in zip("aabbc", "abbba")], "run string, truth string, pred string")
+    scores = class_scores(label_counts(df, ["run"]), ["run"])
+    rows = {r.label: (round(r.f1, 6), r.support) for r in classification_report(scores, ["run"], ["a", "b", "z"]).collect()}
+    assert rows["z"] == (0.0, 0) and "c" not in rows and "accuracy" not in rows
+    assert rows["micro avg"] == (pytest.approx(2 * 3 / (4 + 5)), 4)
+    # averages over the classes that occur, whatever is listed
+    macro = {r.avg_mode: r for r in average_scores(scores, ["run"]).collect()}["macro"]
+    assert macro.f1 == pytest.approx((0.5 + 0.8 + 0.0) / 3)
+
+
+def test_importance_does_not_depend_on_partitions(spark):
+    df = spark.range(300).selectExpr("id", "if(id % 2 = 0, 'x', 'y') truth", "cast(id % 2 as double) a", "cast(id % 7 as double) b")
+    predict = lambda c: F.when(c["a"] == 0, "x").otherwise("y")
+    runs = [
+        {r.feature: r.importance_mean for r in permutation_importance(df.repartition(n), "id", ["a", "b"], "truth", predict).collect()}
+        for n in (1, 9)
+    ]
+    assert runs[0] == pytest.approx(runs[1]) and runs[0]["b"] == 0.0 and runs[0]["a"] > 0.2

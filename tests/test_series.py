@@ -51,6 +51,9 @@ def test_approximate_quantiles(spark):
     df, groups = skewed(spark)
     got = {r.k: r.m for r in exact_quantiles(df, ["k"], "x", {"m": 0.5}, approx=True).collect()}
     assert got["one"] == -3.5 and got["hot"] == pytest.approx(np.median(groups["hot"]), rel=0.05)
+    for parts in (1, 7, 40):
+        again = exact_quantiles(df.repartition(parts), ["k"], "x", {"m": 0.5}, approx=True).collect()
+        assert {r.k: r.m for r in again} == got
 
 
 @pytest.mark.parametrize("buckets", [1, 5, 64])

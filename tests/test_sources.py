@@ -1,7 +1,6 @@
 """Files: power exports, weather responses, runs, sinks."""
 
 import json
-import os
 from datetime import datetime
 
 import pytest
@@ -45,6 +44,22 @@ def test_headers_differ_by_file(spark, tmp_path):
     }
 
 
+def test_ingest_loses_nothing(spark, tmp_path):
+    write(tmp_path / "p/Haus 1/a.csv", "timestamp;Solarproduktion\n2024-01-01 00:00;2\ntimestamp;Solarproduktion\n2024-01-01 00:15;4\n")
+    write(tmp_path / "p/a+b/a.csv", "timestamp;Solarproduktion\n2024-01-01 00:00;6\n")
+    sites = spark.createDataFrame([("Haus 1", 2, "", "", "utc", 1.0, 2.0), ("a+b", 2, "", "", "utc", 1.0, 2.0)], SITE_SCHEMA)
+    root = str(tmp_path / "p")
+    rows = ingest_power(spark, root, sites).collect()
+    assert sorted((r.installation, r.sol_prod) for r in rows) == [("Haus 1", 1.0), ("Haus 1", 2.0), ("a+b", 3.0)]
+    with pytest.raises(ValueError, match="a\\+b"):
+        ingest_power(spark, root, sites.filter("installation <> 'a+b'"))
+    with pytest.raises(ValueError, match="several rows"):
+        ingest_power(spark, root, sites.union(sites))
+    write(tmp_path / "p/a+b/bare.csv", "2024-01-01 00:30;6\n")
+    with pytest.raises(ValueError, match="no header"):
+        ingest_power(spark, root, sites)
+
+
 def test_ingest_with_repeated_hour(spark, tmp_path):
     hours = ["01:45", "02:00", "02:15", "02:30", "02:45", "02:00", "02:15", "02:30", "02:45", "03:00"]
     lines = "".join(f"2024-10-27 {h};{i};abc\n" for i, h in enumerate(hours))
@@ -114,7 +129,15 @@ def test_run_records_round_trip(spark, frame, tmp_path):
     write_run_records(records, str(tmp_path / "runs"))
     rows = scan_runs(spark, str(tmp_path / "runs")).select("name", "R2").collect()
     assert sorted(tuple(r) for r in rows) == [("r2", 0.25), ("r=1, a+b", 0.5)]
-    assert os.path.exists(tmp_path / "runs/r2/r2.results.json")
+    # a run written again is replaced, others stay; one name twice is refused
+    write_run_records(frame([("r2", 0.75)], "name string, R2 double"), str(tmp_path / "runs"))
+    rows = scan_runs(spark, str(tmp_path / "runs")).select("name", "R2").collect()
+    assert sorted(tuple(r) for r in rows) == [("r2", 0.75), ("r=1, a+b", 0.5)]
+    with pytest.raises(ValueError, match="several records"):
+        write_run_records(frame([("x", 0.5), ("x", 0.25)], "name string, R2 double"), str(tmp_path / "runs"))
+    # runs stored by hand stand beside them
+    write(tmp_path / "runs/old/old.results.json", '{"R2": 0.1}')
+    assert {r.name for r in scan_runs(spark, str(tmp_path / "runs")).collect()} == {"r2", "r=1, a+b", "old"}
 
 
 def test_series_sink(spark, frame, tmp_path):
@@ -179,5 +202,5 @@ def test_classification_records_round_trip(spark, frame, tmp_path):
     write_run_records(record, str(tmp_path))
     runs = scan_runs(spark, str(tmp_path))
     text = {r.label: r for r in format_report(stored_reports(runs), ["name"]).collect()}
-    assert (text["accuracy"].f1, text["accuracy"].support, text["weighted avg"].f1) == ("0.600", "5", "0.520")
+    assert (text["accuracy"].f1, text["accuracy"].support, text["weighted avg"].f1) == ("0.6", "5", "0.52")
     assert runs.first().bal_accuracy == 0.5

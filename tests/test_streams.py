@@ -1,10 +1,11 @@
 """Streams equal the batch result on the same files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from heliotab.session import scratch_dir
 from heliotab.sources.power_files import SITE_SCHEMA
-from heliotab.streaming.ingest import clean_power_stream, read_power_stream, stream_aggregate, write_stream
+from heliotab.streaming.ingest import clean_power_stream, read_latest, read_power_stream, stream_aggregate, write_stream, write_updates
 
 
 def test_stream_equals_batch(spark):
@@ -23,10 +24,24 @@ def test_stream_equals_batch(spark):
     assert got.filter("installation = 'a'").agg(F.min("timestamp")).first()[0].isoformat() == "2023-11-14T21:13:20"
 
     hourly_out = scratch_dir(spark, "hourly")
-    hourly = stream_aggregate(clean_power_stream(read_power_stream(spark, path, raw.columns), sites), "1 hour", ["sol_prod"], late_by=None)
-    write_stream(hourly, hourly_out, scratch_dir(spark, "state")).awaitTermination()
-    streamed = {(r.installation, r.timestamp): round(r.sol_prod, 9) for r in spark.read.parquet(hourly_out).collect()}
-    batch = {(r.installation, r.timestamp): round(r.sol_prod, 9) for r in stream_aggregate(got, "1 hour", ["sol_prod"], late_by=None).collect()}
-    assert streamed and all(batch[k] == v for k, v in streamed.items())
-    closed = got.agg(F.max("timestamp") - F.expr("INTERVAL 2 DAYS 1 HOUR")).first()[0]
-    assert {k for k in batch if k[1] <= closed} == set(streamed)
+    hourly = stream_aggregate(spark.readStream.schema(got.schema).option("maxFilesPerTrigger", 1).parquet(out), "1 hour", ["sol_prod"])
+    write_updates(hourly, hourly_out, scratch_dir(spark, "state")).awaitTermination()
+    streamed = {(r.installation, r.timestamp): round(r.sol_prod, 9) for r in read_latest(spark, hourly_out, hourly.schema).collect()}
+    batch = {(r.installation, r.timestamp): round(r.sol_prod, 9) for r in stream_aggregate(got, "1 hour", ["sol_prod"]).collect()}
+    assert streamed == batch
+
+
+def test_files_out_of_time_order_one_by_one(spark, tmp_path):
+    sites = spark.createDataFrame([("a", 10, "", "", "utc", 0.0, 0.0)], SITE_SCHEMA)
+    for i, day in enumerate((10, 1, 20, 2, 1)):
+        (tmp_path / f"{i}.csv").write_text(f"installation;timestamp;Solarproduktion\na;2024-01-{day:02} 00:00:00;{day}\n")
+    raw = read_power_stream(spark, str(tmp_path), ["installation", "timestamp", "Solarproduktion"], files_per_trigger=1)
+    out = scratch_dir(spark, "out")
+    write_stream(clean_power_stream(raw, sites), out, scratch_dir(spark, "state")).awaitTermination()
+    assert sorted(r.sol_prod for r in spark.read.parquet(out).collect()) == [0.1, 0.2, 1.0, 2.0]
+
+
+def test_named_zones_are_refused(spark, tmp_path):
+    sites = spark.createDataFrame([("a", 10, "", "", "Europe/Berlin", 0.0, 0.0)], SITE_SCHEMA)
+    with pytest.raises(ValueError, match="Europe/Berlin"):
+        clean_power_stream(read_power_stream(spark, str(tmp_path), ["installation", "timestamp"]), sites)
