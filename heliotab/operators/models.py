@@ -68,6 +68,8 @@ def gram(df: DataFrame, keys: list[str], xs: list[str], ys: list[str], nulls: st
     if nulls != "drop":
         whole = reduce(and_, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in [*xs, *ys]])
         complete = df.filter(F.assert_true(whole, "a feature or target is missing").isNull())
+    if len(xs) > WIDE:
+        return _wide_gram(complete, keys, xs, ys)
     x, y = [F.col(c).cast("double") for c in xs], [F.col(c).cast("double") for c in ys]
     d, n = len(xs), F.count("*")
     return complete.groupBy(*keys).agg(
@@ -80,6 +82,49 @@ def gram(df: DataFrame, keys: list[str], xs: list[str], ys: list[str], nulls: st
     )
 
 
+# Columns beyond which d * d aggregate expressions are more than Spark compiles well.
+WIDE = 16
+
+
+def _wide_gram(complete: DataFrame, keys: list[str], xs: list[str], ys: list[str]) -> DataFrame:
+    """``gram`` of many features: a matrix product per Arrow batch and key, merged per key.
+
+    A key meets one row of sums for each batch it occurs in, not its rows.
+    """
+    d = len(xs)
+    doubles = [F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate([*xs, *ys])]
+    names = [*keys, "n", "mx", "my", "xx", "xy", "yy"]
+    ddl = _key_ddl(complete, keys) + "n bigint, " + ", ".join(f"{c} array<double>" for c in names[-5:])
+
+    def parts(pdf: pd.DataFrame):
+        if not keys:
+            return [((), pdf)] if len(pdf) else []
+        return [(k, p) for k, p in pdf.groupby(keys, dropna=False, sort=False)]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for key, part in parts(pdf):
+                values = part.iloc[:, len(keys) :].to_numpy(float)
+                mean = values.mean(axis=0)
+                c = values - mean
+                x, y = c[:, :d], c[:, d:]
+                xx = (x.T @ x)[np.triu_indices(d)]
+                out.append((*key, len(c), mean[:d], mean[d:], xx, (x.T @ y).ravel(), (y * y).sum(axis=0)))
+            yield pd.DataFrame(out, columns=names)
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = None
+        for row in pdf.to_dict("records"):
+            part = {"n": float(row["n"])} | {k: np.asarray(row[k], float) for k in names[-5:]}
+            total = part if total is None else _merged(total, part, d)
+        out = pdf[keys].head(1).reset_index(drop=True)
+        return out.assign(n=int(total["n"]), **{k: [np.asarray(total[k]).ravel()] for k in names[-5:]})
+
+    partial = complete.select(*keys, *doubles).mapInPandas(sums, ddl)
+    return partial.groupBy(*keys).applyInPandas(merge, ddl)
+
+
 def _centred(row, d: int, m: int):
     """Means, centred X'X, X'Y and diag(Y'Y) of one Gram row."""
     xx = np.zeros((d, d))
@@ -90,7 +135,7 @@ def _centred(row, d: int, m: int):
 
 
 def _merged(a: dict, b: dict, d: int) -> dict:
-    """Gram rows of two disjoint sets of rows as one (single target)."""
+    """Gram rows of two disjoint sets of rows as one."""
     n = a["n"] + b["n"]
     dx, dy, w = b["mx"] - a["mx"], b["my"] - a["my"], a["n"] * b["n"] / n
     return {
@@ -98,7 +143,7 @@ def _merged(a: dict, b: dict, d: int) -> dict:
         "mx": a["mx"] + dx * b["n"] / n,
         "my": a["my"] + dy * b["n"] / n,
         "xx": a["xx"] + b["xx"] + w * np.outer(dx, dx)[np.triu_indices(d)],
-        "xy": a["xy"] + b["xy"] + w * dx * dy[0],
+        "xy": a["xy"] + b["xy"] + w * np.outer(dx, dy).ravel(),
         "yy": a["yy"] + b["yy"] + w * dy * dy,
     }
 
@@ -160,7 +205,10 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def linear_value(xs: list[str], coefficients: str = "coefficients", intercept: str = "intercept") -> Column:
-    return sum((F.col(coefficients)[i] * F.col(x) for i, x in enumerate(xs)), F.col(intercept))
+    if len(xs) <= WIDE:
+        return sum((F.col(coefficients)[i] * F.col(x) for i, x in enumerate(xs)), F.col(intercept))
+    values = F.array(*[F.col(x).cast("double") for x in xs])
+    return F.col(intercept) + _dot(values, F.col(coefficients))
 
 
 def ridge_predict(df: DataFrame, model: DataFrame, xs: list[str], keys: tuple[str, ...] = ("installation",), out: str = "pred") -> DataFrame:

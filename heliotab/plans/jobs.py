@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions.cyclic import with_doy_trig, with_periodic
 from ..functions.scalars import hash32
-from ..functions.timeparts import at_hour
+from ..functions.timeparts import at_hour, hour_of_year
 from ..operators.aggregate import AVERAGED, SUMMED, WEATHER_TYPES, period_features
+from ..operators.clean import with_residuals
 from ..operators.features import minmax_apply, minmax_fit
-from ..operators.metrics import regression_metrics
-from ..operators.models import ridge_fit, ridge_predict
+from ..operators.metrics import regression_metrics, regression_metrics_multi, regression_record
+from ..operators.models import climatology_hourly_fit, climatology_predict, ridge_fit, ridge_predict, ridge_predict_multi
+from ..operators.series import with_lags
 from ..operators.splits import chronological_holdout, random_split
 from ..operators.stations import (
     clip_observations,
@@ -31,6 +33,8 @@ from ..operators.weather import (
     upsample_ffill,
 )
 from ..session import settle
+from ..sources.power_files import ingest_power
+from ..sources.sinks import write_run_records
 
 OBSERVED = ["radiation_global", "sunshine_duration"]
 # Fixed value: first day of the weather history that jobs ask for.
@@ -165,6 +169,99 @@ def retrain(
     )
 
 
+def run_records(model: SolarModel, metadata: dict[str, Column]) -> DataFrame:
+    """Registry rows of a fitted and scored model, one per key; ``name`` is the run's name."""
+    records = regression_record(model.metrics, list(model.keys), metadata)
+    return records.drop(*model.keys).withColumn("name", F.col("model_name"))
+
+
+def retrain_from_exports(
+    spark: SparkSession,
+    exports: str,
+    sites: DataFrame,
+    weather: DataFrame,
+    model_dir: str,
+    runs_dir: str,
+    run_time: str,
+    horizon: str = "daily",
+    categories: list[str] = WEATHER_TYPES,
+    validate: bool = True,
+    position: Column | None = None,
+) -> SolarModel:
+    """Uploaded exports to a stored model and its run records.
+
+    Ingest, join with hourly weather, features, random 80/20 split, fit, scores; then scaler and
+    coefficients go to ``model_dir`` and one record per installation to ``runs_dir``.
+    """
+    power = settle(ingest_power(spark, exports, sites).select("installation", "timestamp", "sol_prod"), "power")
+    model = retrain(power, weather, horizon, categories=categories, validate=validate, position=position)
+    save_model(model, model_dir)
+    metadata = {
+        "timestamp": F.lit(run_time),
+        "model_purpose": F.lit("retrain"),
+        "model_class": F.lit("Ridge"),
+        "special_features": F.col("installation"),
+    }
+    write_run_records(run_records(model, metadata), runs_dir)
+    return model
+
+
+def train_observed_model(
+    readings: DataFrame, historical: DataFrame, recent: DataFrame, listed: DataFrame, horizon: str = "daily", **options
+) -> SolarModel:
+    """The model on station observations: sums of sunshine and global radiation, day-of-year features."""
+    enriched = enrich_observed(readings, historical, recent, listed)
+    features = period_features(enriched, horizon, categories=[])
+    return train_solar_model(features, horizon, categories=[], **options)
+
+
+@dataclass
+class Forecast:
+    """Predicted weather of the test days, the fitted coefficients, and the scores per target and overall."""
+
+    predictions: DataFrame
+    coefficients: DataFrame
+    metrics: DataFrame
+    features: list[str]
+
+
+def forecast_weather(
+    daily: DataFrame, targets: list[str], lags: int = 30, holdout: int = 365, alpha: float = 1.0, keys: tuple[str, ...] = ("installation",)
+) -> Forecast:
+    """Each target's next day from ``lags`` days of all targets and the day of year, in one multi-target ridge.
+
+    The test part is the last ``holdout - 1`` days with ``lags`` days left out before it; days without
+    complete lags are in neither part. Targets and features are scaled on the train part.
+    """
+    parted = settle(chronological_holdout(daily, holdout, keys=keys, lag=lags), "parted")
+    lagged = with_lags(parted, targets, list(range(1, lags + 1)), keys=keys)
+    inputs = [f"{t}_lag_{k}" for k in range(1, lags + 1) for t in targets]
+    used = lagged.filter("part in ('train', 'test')")
+    scaler = minmax_fit(used.filter("part = 'train'"), [*inputs, *targets], keys)
+    scaled, cyclic = cyclic_features(minmax_apply(used, scaler, [*inputs, *targets], keys), "daily")
+    scaled = settle(scaled, "lagged")
+    xs = [*inputs, *cyclic]
+    model = ridge_fit(scaled.filter("part = 'train'"), xs, targets, keys, (alpha,))
+    predicted = settle(
+        ridge_predict_multi(scaled.filter("part = 'test'"), model, xs, targets, keys).select(*keys, "date", "target", "y", "pred"),
+        "forecast",
+    )
+    return Forecast(predicted, model, regression_metrics_multi(predicted, list(keys)), xs)
+
+
+def hourly_baseline(hourly: DataFrame, value: str = "sol_prod", holdout: int = 8_760, keys: tuple[str, ...] = ("installation",)) -> tuple[DataFrame, DataFrame]:
+    """Hourly climatology fitted before the last ``holdout - 1`` hours: predictions with residuals there, and scores.
+
+    Hours that the train part never saw have no prediction; the scores count them as dropped.
+    """
+    parted = settle(chronological_holdout(hourly, holdout, ("date", "hour"), keys), "hours")
+    stamped = parted.withColumn("timestamp", at_hour("date", F.col("hour")))
+    model = climatology_hourly_fit(stamped.filter("part = 'train'"), value, keys=keys)
+    test = stamped.filter("part = 'test'").select(*keys, "timestamp", F.col(value).alias("y"))
+    predicted = with_residuals(climatology_predict(test, model, hour_of_year("timestamp"), "hoy", keys))
+    return predicted, regression_metrics(predicted, list(keys), nulls="count")
+
+
 def observed_weather(
     historical: DataFrame,
     recent: DataFrame,
