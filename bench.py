@@ -7,6 +7,7 @@ and ``BENCH_ONLY`` (comma-separated names) choose data, cores and queries.
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,7 +23,7 @@ def main() -> None:
     spark = get_session(
         "bench",
         f"local[{cpus}]",
-        {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.log.level": "ERROR"},
+        {"spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='bench-')}", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "spark.log.level": "ERROR"},
     )
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()  # start-up
     seconds = {}

@@ -126,7 +126,8 @@ def enrich_weather(
         & F.col("r._at").between(F.col("w._start"), F.col("w._end"))
         & ((F.col("r._at") - F.col("w._start")) % (step_seconds * 1_000_000) == 0)
     )
-    measures = [c for c in weather.columns if c not in ("installation", "timestamp")]
+    # a measure that the readings hold themselves stays theirs
+    measures = [c for c in weather.columns if c not in power.columns]
     return r.join(w, same_step, "left").select("r.*", *[f"w.{c}" for c in measures]).drop("_at", "_hour")
 
 
@@ -154,6 +155,10 @@ def enriched_features(
     step, hour = step_seconds * 1_000_000, source_seconds * 1_000_000
     names = category_names(weather, weather_column, categories)
     own = [c for c in SUMMED if c in power.columns and c not in exclude]
+    both = [c for c in weather.columns if c in power.columns and c not in ("installation", "timestamp", *own)]
+    if both:
+        raise ValueError(f"readings and weather both hold {', '.join(both)}: drop one of them")
+    weather = weather.drop(*own)
     sums = [c for c in SUMMED if c in weather.columns and c not in (*exclude, *own)]
     means = [c for c in AVERAGED if c in weather.columns and c not in exclude]
 

@@ -132,7 +132,7 @@ def train_solar_model(
     scaled, cyclic = cyclic_features(minmax_apply(parted, scaler, numeric, keys), horizon)
     xs = [*numeric, *cyclic]
     model = ridge_fit(scaled.filter("part = 'train'"), xs, [target], keys, (alpha,))
-    scored = ridge_predict(scaled.filter("part = 'test'"), model, xs, keys)
+    scored = settle(ridge_predict(scaled.filter("part = 'test'"), model, xs, keys).select(*keys, target, "pred"), "scored")
     metrics = regression_metrics(scored, list(keys), target, "pred")
     names = [c for c in numeric if c not in (*SUMMED, *AVERAGED)] if categories is None else categories
     return SolarModel(scaler, model, numeric, xs, horizon, names, keys, metrics)

@@ -52,7 +52,7 @@ def _cells() -> Column:
 
 def _is_header() -> Column:
     """A header line carries the literal column name, a data line never does."""
-    return F.array_contains(_cells(), "timestamp")
+    return F.col("value").contains("timestamp") & F.array_contains(_cells(), "timestamp")
 
 
 def power_headers(lines: DataFrame) -> DataFrame:

@@ -9,8 +9,9 @@ from heliotab.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = get_session("tests", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g"})
+def spark(tmp_path_factory):
+    shared = f"file://{tmp_path_factory.mktemp('shared')}"
+    session = get_session("tests", "local[8]", {"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

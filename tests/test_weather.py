@@ -214,3 +214,18 @@ def test_observations_stay_in_the_range_of_each_installation(spark, frame):
     obs = frame([("r", "d", s, "p", f"2024-01-0{d}", float(d)) for s in "123" for d in range(1, 8)], OBS)
     got = {(r.installation, r.station_id, r.date.day) for r in in_reading_range(obs, wanted_stations(readings, listed)).collect()}
     assert got == {("a", s, d) for s in "12" for d in (2, 3, 4)} | {("b", "2", d) for d in (4, 5, 6)}
+
+
+def test_a_measure_on_both_sides_stays_the_readings_own(frame):
+    power = frame([("a", "2024-01-01 00:15", 1.0, 7.0)], "installation string, timestamp timestamp, sol_prod double, sunshine_duration double")
+    weather = frame(
+        [("a", "2024-01-01 00:00", 400.0, 0.5), ("a", "2024-01-01 01:00", 800.0, 0.5)],
+        "installation string, timestamp timestamp, sunshine_duration double, cloud_cover double",
+    )
+    joined = enrich_weather(power, weather, validate=False)
+    assert joined.columns == ["installation", "timestamp", "sol_prod", "sunshine_duration", "cloud_cover"]
+    assert (joined.first().sunshine_duration, joined.first().cloud_cover) == (7.0, 0.5)
+    features = enriched_features(power, weather, categories=[], validate=False).first()
+    assert (features.sunshine_duration, features.cloud_cover) == (7.0, 0.5)
+    with pytest.raises(ValueError, match="cloud_cover"):
+        enriched_features(power.withColumn("cloud_cover", F.lit(1.0)), weather, categories=[], validate=False)
