@@ -35,9 +35,11 @@ from .registry import query, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 UNKNOWN = 10.0
-CHUNK = 1 << 14  # characters; longer texts are scanned in chunks
-MEMO = 500_000  # words remembered by a task at a time
+CHUNK = 1 << 16  # characters; longer texts are giant and scanned in chunks
+MEMO = 160_000  # words remembered by a task at a time
+TOGETHER = 1 << 18  # characters encoded together
 LONG_WORD = 64  # longer words are taken one by one
+LEARNT = 8_192  # words in the lattice together, so that its arrays stay in the cache
 HASH = np.uint64(0x9E3779B97F4A7C15)
 BUCKET_BITS = 18
 FAR = 1e300
@@ -75,7 +77,13 @@ class Lattice:
         # No piece may cross from a character to a blank behind it.
         self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in pieces)
         self.memo: dict[str, tuple[float, bytes]] = {}
-        self.after_blank: dict[str, bytes] = {}
+        self.after_blank: dict[str, bytes] = {}  # words met of late, and those before them
+        self.older: dict[str, bytes] = {}
+        self.one_score, self.one_number = np.full(0x110000, -3 * FAR), np.full(0x110000, -1, np.int32)
+        for x, s in self.score.items():
+            if len(x) == 1:
+                self.one_score[ord(x)] = -FAR if s == NONE else s
+                self.one_number[ord(x)] = pieces[x][0] if x in pieces else -1
         # What an id adds to a path; a character without a piece counts once, at its first byte.
         self.worth = np.zeros(len(names))
         for i, s in pieces.values():
@@ -86,9 +94,6 @@ class Lattice:
             self.index()
         else:
             self.keys, self.scores, self.numbers, self.bucket, self.probes = index
-        self.raw = [n.encode() for n in names]
-        for b, i in enumerate(byte_ids):
-            self.raw[i] = bytes([b])
 
     def forward(self, text: str, start: np.ndarray, size: int):
         """Best score at every place from scores at the first places; ``size`` is where the chunk ends.
@@ -133,7 +138,7 @@ class Lattice:
         if known is None:
             best, back = self.forward(text, FIRST, len(text))
             known = best[len(text)], np.array(self.path(text, back, len(text))[0], np.int32).tobytes()
-            if len(self.memo) >= MEMO:
+            if len(self.memo) >= MEMO // 8:
                 self.memo.clear()
             self.memo[text] = known
         return known
@@ -150,19 +155,36 @@ class Lattice:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Words that were not met before go through the lattice together."""
-        known, split = self.after_blank, []
+        out: list[bytes] = []
+        lo = 0
+        while lo < len(texts):  # as many texts at a time as make up about TOGETHER characters
+            hi, size = lo + 1, len(texts[lo])
+            while hi < len(texts) and size + len(texts[hi]) <= TOGETHER:
+                size += len(texts[hi])
+                hi += 1
+            out += self._encode(texts[lo:hi])
+            lo = hi
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.after_blank) > MEMO // 2:
+            self.older, self.after_blank = self.after_blank, {}
+        known, older, split = self.after_blank, self.older, []
         for text in texts:
             plain = self.cuts and text[:1] == BLANK and text[-1] != BLANK and BLANK * 2 not in text
             split.append(text[1:].split(BLANK) if plain else None)
-        met = set().union(*[w for w in split if w])
-        if len(known) + len(met) > MEMO:
-            known.clear()
-        self.learn([w for w in met if w not in known])
-        get = known.__getitem__
-        return [
-            b"".join(map(get, words)) if words else b"".join([self.word(w)[1] for w in self.words(text)])
-            for text, words in zip(texts, split)
-        ]
+        found = [words and list(map(known.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found) if ids and None in ids for w, x in zip(words, ids) if x is None}
+        known.update({w: older[w] for w in new if w in older})
+        self.learn([w for w in new if w not in older])
+        out = []
+        for text, words, ids in zip(texts, split, found):
+            if words is None:
+                ids = [self.word(w)[1] for w in self.words(text)]
+            elif None in ids:
+                ids = map(known.__getitem__, words)
+            out.append(b"".join(ids))
+        return out
 
     def learn(self, words: list[str]) -> None:
         """Best paths of many words after a blank, place by place over all words at once."""
@@ -170,9 +192,11 @@ class Lattice:
             if len(w) >= LONG_WORD:
                 self.after_blank[w] = self.word(BLANK + w)[1]
         words = [w for w in words if len(w) < LONG_WORD]
-        if not words:
-            return
-        codes = np.frombuffer((BLANK + BLANK.join(words)).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        for i in range(0, len(words), LEARNT):
+            self._learn(words[i : i + LEARNT])
+
+    def _learn(self, words: list[str]) -> None:
+        codes = np.frombuffer((BLANK + BLANK.join(words)).encode("utf-32-le", "surrogatepass"), np.uint32)
         size = np.fromiter(map(len, words), np.int64, len(words)) + 1
         begin = np.cumsum(size) - size
         stop = np.repeat(begin + size, size)
@@ -182,12 +206,13 @@ class Lattice:
         edges = []
         for length in range(1, self.longest + 1):
             key = (key ^ codes[at + length - 1]) * HASH
-            score, number = self.find(key)
             if length == 1:
+                score, number = self.one_score[codes], self.one_number[codes]
                 strange = number < 0
                 score, open_ = np.where(strange, self.unknown, score), score > -2 * FAR
                 edges.append((at, at, score, number))
             else:
+                score, number = self.find(key)
                 is_piece, open_ = number >= 0, score > -2 * FAR
                 edges.append((at[is_piece], at[is_piece] + length - 1, score[is_piece], number[is_piece]))
             at, key = at[open_], key[open_]
@@ -270,60 +295,58 @@ class Lattice:
         """Where the first and the last certain boundary within a chunk lie (size, size if there is none)."""
         if not self.cuts:
             return size, size
-        inside = [m.start() for m in re.finditer(f"(?<=[^{BLANK}]){BLANK}", text[:size])]
-        later = [c for c in inside if c >= self.longest]
-        return (later[0], inside[-1]) if later else (size, size)
-
-    def warm(self, chunks: list) -> None:
-        """Meet the words of many chunks at once."""
-        self.encode_all([t[a:b] for t, n in chunks for a, b in [self.open_parts(t, n)] if a < b < n])
-
-    def matrix(self, text: str, size: int) -> np.ndarray:
-        """Best scores from each state at the chunk's start to each state at its end."""
+        first = text.find(BLANK, self.longest, size)
+        while first > 0 and text[first - 1] == BLANK:
+            first = text.find(BLANK, first + 1, size)
+        if first < 0:
+            return size, size
+        last = text.rfind(BLANK, first, size)
+        while last > first and text[last - 1] == BLANK:
+            last = text.rfind(BLANK, first, last)
+        return first, last
+
+    def leads(self, chunks: list) -> list[dict]:
+        """``lead`` of many chunks, whose words are looked up together."""
+        parts = [self.open_parts(text, size) for text, size in chunks]
+        middles = self.encode_all([text[a:b] for (text, _), (a, b) in zip(chunks, parts) if a < b])
+        rest = iter(middles)
+        return [self.lead(text, size, *ends, next(rest) if ends[0] < ends[1] else b"") for (text, size), ends in zip(chunks, parts)]
+
+    def lead(self, text: str, size: int, first: int, last: int, middle: bytes) -> dict:
+        """What is certain about a chunk before its start is known; ``middle`` are the ids between the certain boundaries.
+
+        Its matrix; the text ``lead`` whose path depends on the start; the ids of the words between the
+        first and the last certain boundary; and the rest for each end state. Without a certain
+        boundary the lead is the whole chunk.
+        """
         n = self.longest
-        out = np.full((n, n), NONE)
-        first, last = self.open_parts(text, size)
+        matrix = np.full((n, n), NONE)
         if first >= size:
-            for i in range(min(n, size)):
-                start = np.full(i + 1, NONE)
-                start[i] = 0.0
-                best, _ = self.forward(text, start, size)
-                out[i, : len(best[size : size + n])] = best[size : size + n]
-            # A state beyond a chunk shorter than a piece passes through it.
-            for i in range(size, n):
-                out[i, i - size] = 0.0
-            return out
-        middle = self.worth[np.frombuffer(self.encode(text[first:last]), np.int32)].sum()
-        tail, _ = self.forward(text[last:], FIRST, size - last)
-        tail = tail[size - last : size - last + n]
+            for i in range(n):
+                if i >= size:  # a state beyond a chunk shorter than a piece passes through it
+                    matrix[i, i - size] = 0.0
+                    continue
+                best, _ = self.forward(text, [NONE] * i + FIRST, size)
+                matrix[i, : len(best[size : size + n])] = best[size : size + n]
+            return {"matrix": matrix.tobytes(), "lead": text, "upto": size, "cut": False, "middle": [], "rests": []}
+        middle = np.frombuffer(middle, np.int32)
+        tail, back = self.forward(text[last:], FIRST, size - last)
+        ends = np.array(tail[size - last : size - last + n])
         for i in range(n):
-            start = np.full(i + 1, NONE)
-            start[i] = 0.0
-            head, _ = self.forward(text[:first], start, first)
-            out[i, : len(tail)] = head[first] + middle + np.array(tail)
-        return out
-
-    def trace(self, text: str, size: int, start: np.ndarray) -> dict:
-        """Paths of a chunk for given best scores at its start: what all share, and a rest for each end state."""
-        n = self.longest
-        first, last = self.open_parts(text, size)
-        shared, entry = [], -1
-        if first < size:
-            _, back = self.forward(text[:first], start, first)
-            shared, entry = self.path(text[:first], back, first)
-            shared = shared + np.frombuffer(self.encode(text[first:last]), np.int32).tolist()
-            text, size, start = text[last:], size - last, FIRST
-        best, back = self.forward(text, start, size)
-        rests, entries = [[] for _ in range(n)], [-1] * n
-        for j in range(n):
-            if size + j < len(best) and best[size + j] > NONE:
-                rests[j], came = self.path(text, back, size + j)
-                entries[j] = entry if entry >= 0 else came
-        return {"shared": shared, "rests": rests, "entries": entries}
-
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
-        return text.replace(BLANK, " ")[1:]
+            head, _ = self.forward(text[:first], [NONE] * i + FIRST, first)
+            matrix[i, : len(ends)] = head[first] + self.worth[middle].sum() + ends
+        rests = [self.path(text[last:], back, size - last + j)[0] if s > NONE else [] for j, s in enumerate(ends.tolist())]
+        return {"matrix": matrix.tobytes(), "lead": text[:first], "upto": first, "cut": True, "middle": middle, "rests": rests}
+
+    def trace(self, text: str, upto: int, cut: bool, start: np.ndarray) -> dict:
+        """The path of a chunk's lead from the best scores at its start, for each state at the lead's end."""
+        best, back = self.forward(text, start.tolist(), upto)
+        paths, entries = [], []
+        for j in range(1 if cut else self.longest):
+            ids, entry = self.path(text, back, upto + j) if upto + j < len(best) and best[upto + j] > NONE else ([], -1)
+            paths.append(ids)
+            entries.append(entry)
+        return {"paths": paths, "entries": entries * self.longest if cut else entries}
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -347,15 +370,15 @@ def scan(matrices: np.ndarray) -> np.ndarray:
     return starts
 
 
-def normalized(text_col: str) -> Column:
-    """The text as the vocabulary has it: a blank before it, blanks as U+2581; null for no text."""
-    text = F.col(text_col)
-    return F.when(F.length(text) > 0, F.concat(F.lit(BLANK), F.translate(text, " ", BLANK)))
+LEAD = {
+    "matrix": pa.binary(), "lead": pa.string(), "upto": pa.int32(), "cut": pa.bool_(), "middle": pa.list_(pa.int32()),
+    "rests": pa.list_(pa.list_(pa.int32())),
+}
 
 
 def plain_hash(text_col: str) -> Column:
     """Hash of the text that a text decodes to; tells rows of equal id apart."""
-    return F.xxhash64(F.translate(F.coalesce(F.col(text_col), F.lit("")), BLANK, " "))
+    return F.xxhash64(F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(BLANK), F.lit(" ")))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = MODEL, chunk: int = CHUNK) -> DataFrame:
@@ -364,98 +387,135 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     sent = spark.sparkContext.broadcast(load(path))
     reach = max(map(len, sent.value["pieces"]))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), plain_hash(text_col).alias("th"), normalized(text_col).alias("s"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), plain_hash(text_col).alias("th"), text.alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(**sent.value)
         for batch in batches:
             found = [b""] * batch.num_rows
-            texts = [(i, s) for i, s in enumerate(batch.column(2).to_pylist()) if s]
+            texts = [(i, BLANK + s.replace(" ", BLANK)) for i, s in enumerate(batch.column(2).to_pylist()) if s]
             for (i, _), ids in zip(texts, lattice.encode_all([s for _, s in texts])):
                 found[i] = ids
             at = np.cumsum([0, *[len(x) // 4 for x in found]])
             ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
             yield pa.record_batch([batch.column(0), batch.column(1), ids], names=["doc_id", "th", "ids"])
 
-    short = rows.filter(F.coalesce(F.length("s"), F.lit(0)) <= chunk).mapInArrow(whole, f"doc_id {kind}, th long, ids array<int>")
+    keys = f"doc_id {kind}, th long, k int"
+    named = ["doc_id", "th", "k"]
+    short = rows.filter(F.char_length("text") < chunk).mapInArrow(whole, f"doc_id {kind}, th long, ids array<int>")
 
     # Giant texts: chunks, each with the characters that a piece can reach beyond it. They are written
     # as they are read, so that the chunks of one text are then shared out among tasks.
-    giant = rows.filter(F.length("s") > chunk).withColumn("c", F.regexp_extract_all("s", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0)))
-    ahead = lambda x, i: F.struct(x.alias("own"), F.substring(F.coalesce(F.get("c", i + 1), F.lit("")), 1, reach).alias("ahead"))
-    chunks = settle(
-        giant.select("doc_id", "th", F.posexplode(F.transform("c", ahead)).alias("k", "x")).select(
-            "doc_id", "th", "k", F.concat("x.own", "x.ahead").alias("part"), F.char_length("x.own").alias("size")
-        ),
-        "chunks",
-    )
-
-    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, s in enumerate(batch.column(2).to_pylist()):
+                s = BLANK + s.replace(" ", BLANK)
+                for lo in range(0, len(s), 64 * chunk):
+                    at = range(lo, min(lo + 64 * chunk, len(s)), chunk)
+                    one = batch.slice(row, 1).take(pa.array([0] * len(at)))
+                    columns = [
+                        pa.array([a // chunk for a in at], pa.int32()), pa.array([s[a : a + chunk + reach] for a in at]),
+                        pa.array([min(chunk, len(s) - a) for a in at], pa.int32()),
+                    ]
+                    yield pa.record_batch([one.column(0), one.column(1), *columns], names=[*named, "part", "size"])
+
+    chunks = settle(rows.filter(F.char_length("text") >= chunk).mapInArrow(split, f"{keys}, part string, size int"), "chunks")
+
+    def leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(**sent.value)
         for batch in batches:
             parts = list(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))
-            lattice.warm(parts)
-            made = [lattice.matrix(s, n).tobytes() for s, n in parts]
-            yield pa.record_batch([*batch.columns[:3], pa.array(made, pa.binary())], names=["doc_id", "th", "k", "matrix"])
+            got = lattice.leads(parts)
+            columns = [pa.array([g[x] for g in got], t) for x, t in LEAD.items()]
+            yield pa.record_batch([*batch.columns[:3], *columns], names=[*named, *LEAD])
+
+    found = settle(
+        chunks.mapInArrow(leads, f"{keys}, matrix binary, lead string, upto int, cut boolean, middle array<int>, rests array<array<int>>"),
+        "leads",
+    )
 
     def prefixes(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("k").sort_values("k")  # equal rows have equal chunks
         starts = scan(np.stack([np.frombuffer(m).reshape(reach, reach) for m in part["matrix"]]))
-        return part[["doc_id", "th", "k"]].assign(start=[s.tobytes() for s in starts])
+        return part[named].assign(start=[s.tobytes() for s in starts])
 
-    keys = f"doc_id {kind}, th long, k int"
-    found = chunks.select("doc_id", "th", "k", "part", "size").mapInArrow(matrices, f"{keys}, matrix binary")
-    starts = found.groupBy("doc_id", "th").applyInPandas(prefixes, f"{keys}, start binary")
+    def same(a: str, b: str, *more: str) -> Column:
+        out = F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
+        for m in more:
+            out = out & (F.col(f"{a}.{m}") == F.col(f"{b}.{m}"))
+        return out
+
+    starts = found.select(*named, "matrix").groupBy("doc_id", "th").applyInPandas(prefixes, f"{keys}, start binary")
 
     def traces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(**sent.value)
         for batch in batches:
-            parts = list(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()))
-            lattice.warm(parts)
-            got = [lattice.trace(s, n, np.frombuffer(v)) for (s, n), v in zip(parts, batch.column(5).to_pylist())]
+            rows_ = zip(*[batch.column(i).to_pylist() for i in (3, 4, 5, 6)])
+            got = [lattice.trace(s, n, cut, np.frombuffer(v)) for s, n, cut, v in rows_]
             columns = [
-                pa.array([g["shared"] for g in got], pa.list_(pa.int32())),
-                pa.array([g["rests"] for g in got], pa.list_(pa.list_(pa.int32()))),
+                pa.array([g["paths"] for g in got], pa.list_(pa.list_(pa.int32()))),
                 pa.array([g["entries"] for g in got], pa.list_(pa.int32())),
             ]
-            yield pa.record_batch([*batch.columns[:3], *columns], names=["doc_id", "th", "k", "shared", "rests", "entries"])
+            yield pa.record_batch([*batch.columns[:3], *columns], names=[*named, "paths", "entries"])
 
-    here = F.col("c.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("c.th") == F.col("v.th")) & (F.col("c.k") == F.col("v.k"))
-    ready = chunks.alias("c").join(starts.alias("v"), here).select("c.doc_id", "c.th", "c.k", "c.part", "c.size", "v.start")
-    traced = settle(ready.mapInArrow(traces, f"{keys}, shared array<int>, rests array<array<int>>, entries array<int>"), "traces")
+    # Chunks of equal rows are alike; one of each is traced.
+    ready = found.select(*named, "lead", "upto", "cut").dropDuplicates(named).alias("c").join(starts.alias("v"), same("c", "v", "k"))
+    ready = ready.select("c.*", "v.start")
+    traced = ready.mapInArrow(traces, f"{keys}, paths array<array<int>>, entries array<int>")
 
     def exits(part: pd.DataFrame) -> pd.DataFrame:
+        """Each chunk's end state is the state at which the next one was entered."""
+        part = part.sort_values("k")
         state, states = 0, []
-        for entries in reversed(part.drop_duplicates("k").sort_values("k")["entries"].tolist()):
+        for entries in reversed(part["entries"].tolist()):
             states.append(state)
             state = entries[state]
-        return part[["doc_id", "th"]].head(1).assign(states=[states[::-1]])
-
-    states = traced.select("doc_id", "th", "k", "entries").groupBy("doc_id", "th").applyInPandas(exits, f"doc_id {kind}, th long, states array<int>")
-    here = F.col("t.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("t.th") == F.col("v.th"))
-    parts = traced.alias("t").join(states.alias("v"), here).select(
-        "t.doc_id", "t.th", "t.k", F.concat("t.shared", F.get("t.rests", F.get("v.states", F.col("t.k")))).alias("ids")
-    )
-    joined = parts.groupBy("doc_id", "th").agg(
-        F.array_sort(F.collect_set(F.struct("k", "ids"))).alias("parts"), F.count("*").alias("n")
-    )
-    long = joined.withColumn("_copy", F.explode(F.expr("sequence(1, cast(n / size(parts) as int))"))).select(
-        "doc_id", "th", F.flatten(F.transform("parts", lambda x: x["ids"])).alias("ids")
+        chosen = [p[0 if len(p) == 1 else s] for p, s in zip(part["paths"], reversed(states))]
+        return part[["doc_id", "th"]].head(1).assign(states=[states[::-1]], heads=[chosen])
+
+    states = traced.groupBy("doc_id", "th").applyInPandas(exits, f"doc_id {kind}, th long, states array<int>, heads array<array<int>>")
+    # The ids move once, by text; the states of a text are few.
+    chunk_ids = F.struct("k", "cut", "middle", "rests")
+    # A struct is an equal key for null ids too, so the join keeps the partitioning of the groups.
+    key = F.struct("doc_id", "th").alias("key")
+    texts = found.groupBy(key).agg(F.array_sort(F.collect_set(chunk_ids)).alias("parts"), F.count("*").alias("n"))
+
+    def path(part: Column, k: Column) -> Column:
+        head = F.get("heads", k)
+        return F.when(part["cut"], F.concat(head, part["middle"], F.get(part["rests"], F.get("states", k)))).otherwise(head)
+
+    joined = texts.join(states.select(key, "states", "heads"), "key").select(
+        "key.doc_id", "key.th", F.flatten(F.transform("parts", path)).alias("ids"),
+        F.explode(F.expr("sequence(1, cast(n / size(parts) as int))")).alias("_copy"),
     )
+    long = joined.select("doc_id", "th", "ids")
     return short.union(long)
 
 
+def piece_bytes(model: dict) -> list[bytes]:
+    """The UTF-8 bytes that each id stands for."""
+    raw = [n.encode() for n in model["names"]]
+    for b, i in enumerate(model["byte_ids"]):
+        raw[i] = bytes([b])
+    return raw
+
+
+def text_of(ids: list[int], raw: list[bytes]) -> str:
+    return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").replace(BLANK, " ")[1:]
+
+
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
     """``encoded`` with the decoded text."""
-    sent = encoded.sparkSession.sparkContext.broadcast(load(path))
+    sent = encoded.sparkSession.sparkContext.broadcast(piece_bytes(load(path)))
     names = encoded.columns
     at = names.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(**sent.value)
+        raw = sent.value
         for batch in batches:
             rows, ids = batch.column(at).offsets.to_numpy(), batch.column(at).values.to_numpy()
-            texts = pa.array([lattice.decode(ids[a:b].tolist()) for a, b in zip(rows[:-1], rows[1:])], pa.string())
+            texts = pa.array([text_of(ids[a:b].tolist(), raw) for a, b in zip(rows[:-1], rows[1:])], pa.string())
             yield pa.record_batch([*batch.columns, texts], names=[*names, "decoded"])
 
     return encoded.mapInArrow(run, encoded.withColumn("decoded", F.lit("")).schema)
