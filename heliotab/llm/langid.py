@@ -32,6 +32,7 @@ SLOT_BITS = 21
 PER_LANGUAGE = 2_000
 SHARE = 0.25
 LEAST_DOCS = 2
+TOGETHER = 1 << 18  # bytes of text whose n-grams are looked up together
 LETTERS = byte_table([*range(0x61, 0x7B), *range(0x80, 0x100)])
 SPACE = 0x20
 
@@ -168,7 +169,7 @@ def identify(docs: DataFrame, filters: Filters | None, text_col: str = "text") -
         model = Filters(**sent.value)
         names = np.array(model.languages, object)
         for batch in batches:
-            for part in slices(batch, 0, 1 << 20):
+            for part in slices(batch, 0, TOGETHER):
                 best, score = model.predict(part.column(0))
                 lettered = part.column(1).to_numpy(zero_copy_only=False)
                 columns = [pa.array(np.where(lettered, names[best], "und"), pa.string()), pa.array(np.where(lettered, score, 0.0))]

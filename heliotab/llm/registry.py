@@ -11,7 +11,7 @@ ORACLES: dict[str, str] = {}
 
 # Rows cross to Python in batches of about this many bytes, so that a batch stays small where texts are
 # long and is not tiny where rows are short.
-BATCH_BYTES = str(4 << 20)
+BATCH_BYTES = str(1 << 20)
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -36,7 +36,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 20):
     """The batch in runs of rows whose text has at most ``most`` bytes (a longer row stands alone)."""
     _, at = text_bytes(batch.column(column))
     row, n = 0, batch.num_rows
