@@ -1,12 +1,13 @@
 """Secret scan with DataFrame functions only: rules, and character Markov models for the rest.
 
 Rules find assignments, access keys and hexadecimal runs. Two first-order character models, one of
-random strings and one of ordinary identifiers, then score every long token that no rule covers; a
-token whose log-likelihood ratio favours the random model enough is added as kind ``random``.
+random strings and one of ordinary identifiers, then score every long token with a letter and a digit that no rule covers;
+a token whose log-likelihood ratio favours the random model enough is added as kind ``random``.
 
-Both models are counted from labelled samples of at most ``TRAIN_DOCS`` documents (expected, chosen by
-a hash of the id): random strings are the values that rules found there and digests of the ids, ordinary
-ones are the identifiers of the text around them.
+Both models are counted from labelled samples: random strings are the values that rules find in about
+``TRAIN_DOCS`` documents (chosen by a hash of the id) and ``DIGESTS`` digests, ordinary ones are the
+identifiers of the text around those values. A pair that a sample lacks falls back on the frequency of
+its second character.
 
 Defined results: a null text counts as empty and has no spans; repeated rows each give a row; spans of
 one kind do not overlap, spans of different kinds may; ties of start are ordered by kind as listed; an
@@ -30,6 +31,8 @@ TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{6,}"
 TRAIN_DOCS = 2_000
+DIGESTS = 2_000
+FALLBACK = 50.0  # weight of the character frequencies in a transition
 # A token needs both: the log of how much rarer random strings are than ordinary tokens of that length,
 # and a mean per transition, which words of an unseen vocabulary do not reach.
 MARGIN = 12.0
@@ -67,23 +70,26 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def pairs_of(string: Column) -> Column:
+    """Each character with the next one, in a number of steps that is linear in the string."""
+    chars = F.filter(F.split(string, ""), lambda c: c != "")
+    return F.zip_with(F.slice(chars, F.lit(1), F.size(chars) - 1), F.slice(chars, F.lit(2), F.size(chars) - 1), lambda a, b: F.concat(a, b))
+
+
 def transitions(strings: DataFrame) -> DataFrame:
     """How often one character follows another in a column of strings."""
-    at = F.explode(F.sequence(F.lit(1), F.char_length("s") - 1))
-    pairs = strings.filter(F.char_length("s") > 1).select("label", "s", at.alias("i"))
-    return pairs.groupBy("label", F.substring("s", F.col("i"), F.lit(2)).alias("pair")).count()
+    pairs = strings.filter(F.char_length("s") > 1).select("label", F.explode(pairs_of(F.col("s"))).alias("pair"))
+    return pairs.groupBy("label", "pair").count()
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> list[float]:
     """Log-likelihood ratio of each pair of characters, random over ordinary, by their numbers."""
     total = max(1, docs.count())
-    sample = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(total)) < most).select(
-        F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
+    sample = docs.filter(F.pmod(F.xxhash64(id_col), F.lit(total)) < most).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rules = base_spans(F.col("text"))
     values = sample.select(F.explode(F.transform(F.concat(*rules.values()), lambda s: s["value"])).alias("s"))
-    digest = F.sha2(F.coalesce(F.col("id"), F.lit("")), 256)
-    made = sample.select(F.explode(F.array(F.base64(F.unhex(digest)), digest, F.upper(F.substring(digest, 1, 40)))).alias("s"))
+    digest = F.sha2(F.col("id").cast("string"), 256)
+    made = docs.sparkSession.range(DIGESTS).select(F.explode(F.array(F.base64(F.unhex(digest)), digest, F.upper(F.substring(digest, 1, 40)))).alias("s"))
     rest = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         rest = F.regexp_replace(rest, pattern, " ")
@@ -93,19 +99,25 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
     rows = transitions(labelled).filter(F.translate("pair", TOKEN_CHARS, "") == "").collect()
     seen = {(r.label, r.pair): r["count"] for r in rows}
     n = len(TOKEN_CHARS)
-    sums = {(k, a): sum(seen.get((k, a + b), 0) for b in TOKEN_CHARS) for k in (0, 1) for a in TOKEN_CHARS}
-    log_p = lambda k, a, b: math.log((seen.get((k, a + b), 0) + 1.0) / (sums[k, a] + n))
+    after = {(k, a): sum(seen.get((k, a + b), 0) for b in TOKEN_CHARS) for k in (0, 1) for a in TOKEN_CHARS}
+    into = {(k, b): sum(seen.get((k, a + b), 0) for a in TOKEN_CHARS) for k in (0, 1) for b in TOKEN_CHARS}
+    all_ = {k: sum(after[k, a] for a in TOKEN_CHARS) for k in (0, 1)}
+
+    def log_p(k: int, a: str, b: str) -> float:
+        alone = (into[k, b] + 1.0) / (all_[k] + n)
+        return math.log((seen.get((k, a + b), 0) + FALLBACK * alone) / (after[k, a] + FALLBACK))
+
     return [log_p(1, a, b) - log_p(0, a, b) for a in TOKEN_CHARS for b in TOKEN_CHARS]
 
 
 def ratio(token: Column, model: list[float]) -> Column:
     """Log-likelihood ratio of a token under the two models."""
     table_ = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
-    number = lambda i: F.instr(F.lit(TOKEN_CHARS), F.substring(token, i, F.lit(1)))
+    number = lambda c: F.instr(F.lit(TOKEN_CHARS), c) - 1
     return F.aggregate(
-        F.sequence(F.lit(1), F.char_length(token) - 1),
+        pairs_of(token),
         F.lit(0.0),
-        lambda total, i: total + F.get(table_, (number(i) - 1) * len(TOKEN_CHARS) + number(i + 1) - 1),
+        lambda total, p: total + F.get(table_, number(F.substring(p, 1, 1)) * len(TOKEN_CHARS) + number(F.substring(p, 2, 1))),
     )
 
 
@@ -115,7 +127,8 @@ def scan(docs: DataFrame, model: list[float], text_col: str = "text") -> DataFra
     found = docs.withColumns({f"_{k}": c for k, c in base_spans(text).items()})
     base = F.concat("_assign", "_access", "_hex")
     tokens = spans_of(text, TOKEN, 3)
-    tokens = F.filter(tokens, lambda t: ratio(t["value"], model) > F.greatest(F.lit(MARGIN), MEAN_MARGIN * (F.char_length(t["value"]) - 1)))
+    mixed = lambda t: t["value"].rlike("[0-9]") & t["value"].rlike("[A-Za-z]")
+    tokens = F.filter(tokens, lambda t: mixed(t) & (ratio(t["value"], model) > F.greatest(F.lit(MARGIN), MEAN_MARGIN * (F.char_length(t["value"]) - 1))))
     found = found.withColumn("_base", base).withColumn("_tokens", tokens)
     alone = F.filter("_tokens", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
     return found.withColumn("_random", alone).drop("_tokens")
