@@ -166,9 +166,9 @@ def hourly_baseline_job(spark, sf_dir):
     model AS (SELECT * FROM means UNION ALL SELECT installation, hoy + 24, pred FROM means m WHERE hoy BETWEEN 8736 AND 8759
       AND NOT EXISTS (SELECT 1 FROM means o WHERE o.installation = m.installation AND o.hoy = m.hoy + 24)),
     p AS (SELECT parted.installation, y, pred FROM parted LEFT JOIN model m ON m.installation = parted.installation AND m.hoy = hour + 24 * (dayofyear(date) - 1) WHERE test)
-    SELECT installation, count(pred) AS n, count(*) - count(pred) AS n_dropped, round(avg(abs(y - pred)), 3) AS "MAE", round(median(abs(y - pred)), 3) AS "MedAE"
+    SELECT installation, count(pred) AS n, count(*) - count(pred) AS n_dropped, round(avg(abs(y - pred)), 1) AS "MAE", round(median(abs(y - pred)), 1) AS "MedAE"
     FROM p GROUP BY 1""",
-    digits=3,
+    digits=1,
 )
 def hourly_baseline_scores(spark, sf_dir):
     _, metrics = hourly_baseline(hourly_sum(daily_long(spark, sf_dir)), holdout=365)
