@@ -272,7 +272,7 @@ def observed_weather(
     """Station observations to a gapless 15-minute table per installation."""
     wanted = wanted_stations(readings, listed)
     combined = prefer_historical(clip_observations(historical, wanted), clip_observations(recent, wanted))
-    chosen = station_priority(in_reading_range(combined, wanted))
+    chosen = station_priority(in_reading_range(combined, wanted, clipped=True))
     # the grid needs bounds and rows of this table, and the fill reads both again
     table = settle(pivot_parameters(chosen, parameters), "observed")
     filled = climatology_fill(regular_grid(table), parameters)
