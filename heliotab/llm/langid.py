@@ -112,7 +112,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     if not per:
         return None
     number = {r.lang: i for i, r in enumerate(per)}
-    sample = rows.join(F.broadcast(sizes), "lang").filter(F.pmod(F.xxhash64("id"), "count") < per_language).select("lang", "text")
+    # The table of languages is written, so Spark sees its size and broadcasts it while it is small.
+    sample = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id"), "count") < per_language).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
