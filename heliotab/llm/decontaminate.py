@@ -11,7 +11,6 @@ words but is not listed; repeated documents each give a row; an empty benchmark
 columns, whatever their names, are not read (``remove_contaminated`` passes them through).
 """
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 

@@ -122,16 +122,16 @@ def ratio(token: Column, model: list[float]) -> Column:
 
 
 def scan(docs: DataFrame, model: list[float], text_col: str = "text") -> DataFrame:
-    """``docs`` with arrays ``_assign``, ``_access``, ``_hex`` and ``_random`` of spans."""
+    """``docs`` with arrays ``__assign``, ``__access``, ``__hex`` and ``__random`` of spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.withColumns({f"_{k}": c for k, c in base_spans(text).items()})
-    base = F.concat("_assign", "_access", "_hex")
+    found = docs.withColumns({f"__{k}": c for k, c in base_spans(text).items()})
+    base = F.concat("__assign", "__access", "__hex")
     tokens = spans_of(text, TOKEN, 3)
     mixed = lambda t: t["value"].rlike("[0-9]") & t["value"].rlike("[A-Za-z]")
     tokens = F.filter(tokens, lambda t: mixed(t) & (ratio(t["value"], model) > F.greatest(F.lit(MARGIN), MEAN_MARGIN * (F.char_length(t["value"]) - 1))))
-    found = found.withColumn("_base", base).withColumn("_tokens", tokens)
-    alone = F.filter("_tokens", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
-    return found.withColumn("_random", alone).drop("_tokens")
+    found = found.withColumn("__base", base).withColumn("__tokens", tokens)
+    alone = F.filter("__tokens", lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    return found.withColumn("__random", alone).drop("__tokens")
 
 
 def written(spans: Column) -> Column:
@@ -145,7 +145,7 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", char
     """``docs`` with every span replaced by a marker; texts without one stay as they are."""
     found = scan(docs, train(docs, id_col, text_col), text_col)
     text = F.col(text_col)
-    whole = F.array_sort(F.concat("_base", "_random"))
+    whole = F.array_sort(F.concat("__base", "__random"))
     cut = F.aggregate(
         whole,
         F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out")),
@@ -158,11 +158,11 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", char
         ),
         lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.char_length(text))),
     )
-    hit = F.size("_base") + F.size("_random") > 0
-    found = found.withColumn("_new", F.when(hit, cut).otherwise(text))
-    new = {text_col: F.col("_new")}
+    hit = F.size("__base") + F.size("__random") > 0
+    found = found.withColumn("__new", F.when(hit, cut).otherwise(text))
+    new = {text_col: F.col("__new")}
     if chars_col and chars_col in docs.columns:
-        new[chars_col] = F.when(hit, F.char_length("_new").cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
+        new[chars_col] = F.when(hit, F.char_length("__new").cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
     return found.select(*[new.get(n, F.col(f"`{n}`")).alias(n) for n in docs.columns])
 
 
@@ -171,8 +171,8 @@ def op10(spark, sf_dir):
     """Spans of secrets in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan(docs, train(docs))
-    count = lambda k: F.size(f"_{k}").cast("long").alias(f"n_{k}")
+    count = lambda k: F.size(f"__{k}").cast("long").alias(f"n_{k}")
     return found.select(
-        "doc_id", *map(count, KINDS), F.sha2(written(F.col("_base")), 256).alias("base_sha256"),
-        written(F.concat("_base", "_random")).alias("spans"),
+        "doc_id", *map(count, KINDS), F.sha2(written(F.col("__base")), 256).alias("base_sha256"),
+        written(F.concat("__base", "__random")).alias("spans"),
     )

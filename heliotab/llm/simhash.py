@@ -15,9 +15,8 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..session import settle
 from .components import components
@@ -199,7 +198,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, th, fp, component_id): the least doc_id reachable over links, for every row."""
     rows = settle(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     points = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-
     labels = components(links(points, radius))
     linked = points.join(labels, points.fp == labels.vertex)
     least = linked.groupBy("label").agg(F.min("least").alias("component_id"))
@@ -219,13 +217,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     # Least id first, nulls last; ties by text.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "th")
     stays = found.groupBy(F.col("component_id").isNull(), F.when(F.col("component_id").isNull(), F.col("fp")).otherwise(F.lit(0)), "component_id").agg(F.min(order).alias("k"))
-    stays = stays.select(F.col("k.doc_id").alias("_id"), F.col("k.th").alias("_th"))
+    stays = stays.select(F.col("k.doc_id").alias("__kept_id"), F.col("k.th").alias("__kept_th"))
     names = docs.columns
-    marked = docs.withColumn("_h", F.xxhash64(text_col)).join(
-        stays, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th"))
+    marked = docs.withColumn("__kept_h", F.xxhash64(text_col)).join(
+        stays, F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__kept_h") == F.col("__kept_th"))
     )
-    one = Window.partitionBy(id_col, "_h").orderBy("_th")
-    return marked.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*[F.col(f"`{n}`") for n in names])
+    one = Window.partitionBy(id_col, "__kept_h").orderBy("__kept_th")
+    return marked.withColumn("__kept_n", F.row_number().over(one)).filter("__kept_n = 1").select(*[F.col(f"`{n}`") for n in names])
 
 
 @query("op4_simhash_near_dedup")

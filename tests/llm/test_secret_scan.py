@@ -51,9 +51,9 @@ def test_model_tells_random_strings_from_words(docs, spark):
 
 def test_random_tokens_are_added_where_no_rule_covers_them(docs):
     model = secret_scan.train(docs(MORE))
-    found = secret_scan.scan(docs(list(enumerate(TEXTS)) + MORE), model).filter("size(_random) > 0")
+    found = secret_scan.scan(docs(list(enumerate(TEXTS)) + MORE), model).filter("size(__random) > 0")
     # a hexadecimal run too short for its rule, and a token of mixed case
-    got = sorted((r.doc_id, [(s.start, s.end, s.value) for s in r._random]) for r in found.collect())
+    got = sorted((r.doc_id, [(s.start, s.end, s.value) for s in r['__random']]) for r in found.collect())
     assert got == [(10, [(3, 26, HEX[:23])]), (15, [(2, 26, RANDOM)])]
 
 
@@ -61,8 +61,11 @@ def test_only_the_spans_are_redacted(docs, monkeypatch):
     model = secret_scan.train(docs(MORE))
     monkeypatch.setattr(secret_scan, "train", lambda *a, **k: model)
     rows = [(i, t) for i, t in enumerate(TEXTS)] + MORE
-    df = docs(rows).withColumn("_text", F.lit("clash"))
-    out = {r.doc_id: r for r in secret_scan.redact(df.drop("_text")).collect()}
+    df = docs(rows).withColumns({c: F.lit("clash") for c in ("_base", "spans", "value", "start")})
+    redacted = secret_scan.redact(df)
+    assert redacted.columns == df.columns
+    out = {r.doc_id: r for r in redacted.collect()}
+    assert all(r["_base"] == "clash" for r in out.values())
     assert all(out[i].text == t for i, t in MORE)
     assert out[0].text == 'é [SECRET]" x' and out[0].n_chars == len(out[0].text)
     assert out[15].text == "a [SECRET] b" and out[8].text is None and out[3].text == TEXTS[3]

@@ -76,7 +76,7 @@ def test_components_of_a_chain_and_a_star(spark):
 
 def test_components_and_the_row_that_stays(docs):
     rows = [(5, "p q r s t"), (3, "P q r s t"), (3, "P q r s t"), (9, None), (8, ""), (None, "p q r s t"), (None, "alone here now"), (2, "z y x w v")]
-    df = docs(rows).withColumn("fp", F.lit(1)).withColumn("component_id", F.lit("x"))
+    df = docs(rows).withColumns({c: F.lit("x") for c in ("fp", "component_id", "th", "_id", "_n", "label")})
     found = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(df).collect())
     want = [("5", 3), ("3", 3), ("3", 3), ("9", 8), ("8", 8), ("None", 3), ("None", None), ("2", 2)]
     assert found == sorted((i, str(c)) for i, c in want)
