@@ -22,6 +22,7 @@ row; an empty table gives no rows; other columns are not read.
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -47,8 +48,9 @@ NONE = float("-inf")
 FIRST = [0.0]  # a path that enters at the first place
 
 
+@lru_cache(maxsize=1)
 def load(path: str = MODEL) -> dict:
-    """Pieces and scores of a model file, as plain values."""
+    """Pieces and scores of a model file, as plain values; encoder and decoder share them."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
