@@ -28,6 +28,7 @@ SHINGLE = 3
 RADIUS = 2
 BLOCKS = 4
 TILE = 20_000  # fingerprints on a side of a tile pair
+HELD = 1 << 18  # links of a group kept before they are reduced to a forest
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -87,7 +88,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[moved], names[label[moved]]
 
 
-def near(homes: np.ndarray, visitors: np.ndarray, radius: int, rows: int = 512, columns: int = 8192):
+def near(homes: np.ndarray, visitors: np.ndarray, radius: int, rows: int = 256, columns: int = 2048):
     """Index pairs of fingerprints within the radius, from sub-tiles sorted by population count."""
     home_order, visit_order = np.argsort(np.bitwise_count(homes), kind="stable"), np.argsort(np.bitwise_count(visitors), kind="stable")
     hs, vs = homes[home_order], visitors[visit_order]
@@ -164,7 +165,7 @@ def links(points: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: i
                 a.append(homes[i])
                 b.append(visitors[j])
                 held += len(i)
-                if held > 1 << 20:
+                if held > HELD:
                     x, y = forest(np.concatenate(a), np.concatenate(b))
                     a, b, held = [x], [y], len(x)
             if not a:
