@@ -4,11 +4,17 @@ A symbol of the parse is a whole window of ``WINDOW`` consecutive words, so a fa
 passage of n + WINDOW - 1 words and every factor is long enough; a window across the boundary of two
 factors is a symbol itself and is looked up like any other.
 
+A block is indexed by a suffix array of its symbols, whose neighbours give the longest match of a place
+and where it lies. Each part of a document is factored greedily: the longest match from its first open
+symbol, then on behind it. So a factor is one passage that occurs as a whole at another place, its
+source. A part ends where the block changes, hence a passage of several blocks gives several factors.
+
 The corpus is its own reference, cut into blocks such that equal windows meet in one block. The block of
 a window is its anchor, the least hash among its word groups (a minimizer), so a document is parsed
 against every block that can hold one of its windows, and consecutive windows mostly share a block. The
 windows that a sample of documents shows to be very frequent form block 0, which is broadcast (at most
-``KNOWN_MOST`` hashes): they are factored where the document is read and are not shuffled, so no block
+``KNOWN_MOST`` hashes, each with one place in the sample, so its longest match runs along that place;
+the place itself has itself as source): they are factored where the document is read and are not shuffled, so no block
 receives the occurrences of a passage that a third of all documents share. The sample decides only
 where a window is looked up, never whether it counts.
 
@@ -28,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .decontaminate import COMPARED, compare, suffix_array
 from .registry import query, table
 from .textbytes import NOT_SPACE, binary_array, slices, span_hashes, text_bytes, window_hashes, word_blocks, word_spans
 
@@ -39,6 +46,7 @@ KNOWN_MOST = 1 << 20
 SYMBOL = 5  # bytes
 PIECE = 1 << 20  # windows handled at a time
 PLACE = np.uint64((1 << 22) - 1)
+SOURCE = np.dtype([("th", "<i8"), ("begin", "<i4")])  # text hash and first word of the passage that a factor repeats
 
 
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,25 +86,61 @@ def runs(breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(breaks)))
 
 
-def frequent(rows: DataFrame, width: int, group: int) -> np.ndarray:
-    """Hashes of the windows that the sample holds often: real repeats, wherever they occur."""
+def greedy(symbols: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First places, lengths and sources of the factors of runs (``new`` begins one) of symbols that each occur twice."""
+    begin, length = runs(new)
+    where = np.arange(len(symbols)) + np.cumsum(new) - 1  # a 0 after each run
+    text = np.zeros(len(symbols) + len(begin) + int(length.max()) + COMPARED + 64, np.int64)
+    text[where] = symbols + 1
+    order = suffix_array(text, where, int(symbols.max()) + 1, int(length.max()))
+    _, agree = compare(text, order[:-1], text, order[1:], np.full(len(order) - 1, length.max()))
+    before, after = np.concatenate(([0], agree)), np.concatenate((agree, [0]))
+    order = np.searchsorted(where, order)
+    reach, source = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    reach[order] = np.maximum(before, after)
+    source[order] = np.where(before >= after, np.roll(order, 1), np.roll(order, -1))
+    firsts, here, stop = [], begin, begin + length
+    while len(here):
+        firsts.append(here)
+        here = here + reach[here]
+        open_ = here < stop
+        here, stop = here[open_], stop[open_]
+    first = np.concatenate(firsts)
+    return first, reach[first], source[first]
+
+
+def frequent(rows: DataFrame, width: int, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows that the sample holds often: hashes, numbers that count on along a passage, and sources."""
     total = max(1, rows.count())
     sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(total)) < SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 2):
-                for _, _, hashes, _, _ in windows(part.column(2), width, group):
-                    seen, n = np.unique(hashes, return_counts=True)
-                    yield pa.record_batch([pa.array(seen.view(np.int64)), pa.array(n)], names=["w", "n"])
-
-    counts = sample.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
-    got = counts.orderBy(F.desc("n"), "w").limit(KNOWN_MOST).select("w").toArrow()
-    return np.sort(got.column("w").to_numpy().view(np.uint64))
+                th = part.column(1).to_numpy()
+                for word, row, hashes, _, _ in windows(part.column(2), width, group):
+                    seen, at, n = np.unique(hashes, return_index=True, return_counts=True)
+                    columns = [seen.view(np.int64), n, th[row[at]], word[at].astype(np.int32)]
+                    yield pa.record_batch(list(map(pa.array, columns)), names=["w", "n", "th", "begin"])
+
+    counts = sample.mapInArrow(run, "w long, n long, th long, begin int").groupBy("w")
+    counts = counts.agg(F.sum("n").alias("n"), F.min(F.struct("th", "begin")).alias("at")).filter(F.col("n") >= FREQUENT)
+    got = counts.orderBy(F.desc("n"), "w").limit(KNOWN_MOST).select("w", "at.*").toArrow()
+    source = np.empty(got.num_rows, SOURCE)
+    source["th"], source["begin"] = got.column("th").to_numpy(), got.column("begin").to_numpy()
+    hashes = got.column("w").to_numpy().view(np.uint64)
+    order = np.lexsort((source["begin"], source["th"]))
+    th, begin = source["th"][order], source["begin"][order]
+    step = np.full(len(order), 2)
+    step[1:] -= (th[1:] == th[:-1]) & (begin[1:] == begin[:-1] + 1)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(step)
+    by_hash = np.argsort(hashes)
+    return hashes[by_hash], number[by_hash], source[by_hash]
 
 
 def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, group: int = GROUP) -> DataFrame:
-    """(doc_id, th, begin, n): runs of n windows that occur elsewhere too, by their first word."""
+    """(doc_id, th, begin, n, of_th, of_begin): passages of n windows, by their first word, and where each occurs as a whole too."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     known = docs.sparkSession.sparkContext.broadcast(frequent(rows, width, group))
@@ -104,7 +148,7 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     names = ["anchor", "doc_id", "th", "begin", "n", "symbols"]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = known.value
+        block, number, source = known.value
         maybe = np.zeros(1 << 22, bool)
         maybe[block >> np.uint64(42)] = True
         for batch in batches:
@@ -114,29 +158,33 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                     if not len(word):
                         continue
                     hit = maybe[hashes >> np.uint64(42)]
-                    if hit.any():
-                        some = np.flatnonzero(hit)
-                        at = np.minimum(np.searchsorted(block, hashes[some]), len(block) - 1)
+                    some = np.flatnonzero(hit)
+                    at = np.searchsorted(block, hashes[some])
+                    if len(some):
+                        at = np.minimum(at, len(block) - 1)
                         hit[some] = block[at] == hashes[some]
+                        at = at[hit[some]]
                     for mine, factored in ((~hit, False), (hit, True)):
                         w, r = word[mine], row[mine]
                         if not len(w):
                             continue
                         new = np.ones(len(w), bool)
                         new[1:] = (w[1:] != w[:-1] + 1) | (r[1:] != r[:-1])
-                        if not factored:
+                        if factored:
+                            new[1:] |= number[at][1:] != number[at][:-1] + 1
+                        else:
                             new[1:] |= place[mine][1:] != place[mine][:-1]
                         first, n = runs(new)
                         if factored:
-                            key, symbols, size = th[r[first]], np.zeros(0, np.uint8), np.zeros(len(first), np.int64)
+                            key, symbols, size = th[r[first]], source[at][first].view(np.uint8), np.full(len(first), SOURCE.itemsize)
                         else:
-                            key, size = anchor[mine][first].view(np.int64), n
+                            key, size = anchor[mine][first].view(np.int64), n * SYMBOL
                             symbols = (hashes[mine] >> np.uint64(64 - 8 * SYMBOL)).view(np.uint8).reshape(-1, 8)[:, :SYMBOL].ravel()
                         yield pa.record_batch(
                             [
                                 pa.array(key), ids.take(pa.array(r[first])), pa.array(th[r[first]]), pa.array(w[first].astype(np.int32)),
                                 pa.array((n if factored else 0 * n).astype(np.int32)),
-                                binary_array(symbols, SYMBOL * np.concatenate(([0], np.cumsum(size)))),
+                                binary_array(symbols, np.concatenate(([0], np.cumsum(size)))),
                             ],
                             names=names,
                         )
@@ -152,6 +200,9 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             n = rows_.column(4).to_numpy()
             ready, open_ = np.flatnonzero(n > 0), np.flatnonzero(met & (n == 0))
             first_row, first, size = [ready], [np.zeros(len(ready), np.int64)], [n[ready]]
+            th, word = rows_.column(2).to_numpy(), rows_.column(3).to_numpy()
+            known_at = np.frombuffer(b"".join(rows_.column(5).take(pa.array(ready)).to_pylist()), SOURCE)
+            of_th, of_begin = [known_at["th"]], [known_at["begin"]]
             if len(open_):
                 parts = rows_.column(5).take(pa.array(open_))
                 at = np.frombuffer(parts.buffers()[1], np.int32, len(parts) + 1) // SYMBOL
@@ -167,18 +218,21 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 if len(found):
                     new = np.ones(len(found), bool)
                     new[1:] = (found[1:] != found[:-1] + 1) | (of[found][1:] != of[found][:-1])
-                    begin, length = runs(new)
+                    begin, length, source = greedy(which[found], new)
                     first_row.append(open_[of[found[begin]]])
                     first.append(found[begin] - at[of[found[begin]]])
                     size.append(length)
+                    of_th.append(th[open_[of[found[source]]]])
+                    of_begin.append(word[open_[of[found[source]]]] + found[source] - at[of[found[source]]])
             row = np.concatenate(first_row)
             if not len(row):
                 return None
             take = pa.array(row)
-            begin = rows_.column(3).to_numpy()[row] + np.concatenate(first)
+            ints = [word[row] + np.concatenate(first), np.concatenate(size), np.concatenate(of_begin)]
+            begin, n, of_begin = (pa.array(x.astype(np.int32)) for x in ints)
             return pa.record_batch(
-                [rows_.column(1).take(take), rows_.column(2).take(take), pa.array(begin.astype(np.int32)), pa.array(np.concatenate(size).astype(np.int32))],
-                names=["doc_id", "th", "begin", "n"],
+                [rows_.column(1).take(take), rows_.column(2).take(take), begin, n, pa.array(np.concatenate(of_th)), of_begin],
+                names=["doc_id", "th", "begin", "n", "of_th", "of_begin"],
             )
 
         def joined() -> pa.RecordBatch:
@@ -203,7 +257,7 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     return (
         rows.mapInArrow(parse, schema)
         .repartition("anchor").sortWithinPartitions("anchor")
-        .mapInArrow(match, f"doc_id {kind}, th long, begin int, n int")
+        .mapInArrow(match, f"doc_id {kind}, th long, begin int, n int, of_th long, of_begin int")
     )
 
 

@@ -64,3 +64,29 @@ def test_sliding_least():
 
 def test_empty_table(docs):
     assert repeats.without_repeats(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("sample", [0, 4000])
+def test_a_factor_occurs_at_its_source_as_one_passage(docs, monkeypatch, sample):
+    """Windows 0 to 25 of the first text lie in the second, 25 to 65 in the third: no factor may span both."""
+    monkeypatch.setattr(repeats, "SAMPLE_DOCS", sample)
+    monkeypatch.setattr(repeats, "FREQUENT", 2)
+    w = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:60])), (3, " ".join(w[25:]))] + corpus(5)
+    df = docs(rows).withColumn("h", F.xxhash64("text"))
+    text = {r.h: (r.text or "").split() for r in df.collect()}
+    found = repeats.factors(df).collect()
+    for r in found:
+        size = r.n + repeats.WINDOW - 1
+        assert text[r.th][r.begin : r.begin + size] == text[r.of_th][r.of_begin : r.of_begin + size]
+        assert len(text[r.of_th]) >= r.of_begin + size
+    assert {r.begin + i for r in found if r.doc_id == 1 for i in range(r.n)} >= set(range(66))
+
+
+def test_factors_are_greedy_and_longest():
+    symbols = np.array([1, 2, 3, 4, 1, 2, 3, 4, 1, 2])
+    new = np.isin(np.arange(10), [0, 4, 6, 8])  # 1234, 12, 34, 12
+    first, n, source = repeats.greedy(symbols - 1, new)
+    got = sorted(zip(first.tolist(), n.tolist()))
+    assert got == [(0, 2), (2, 2), (4, 2), (6, 2), (8, 2)]
+    assert all(f != s and symbols[f : f + k].tolist() == symbols[s : s + k].tolist() for f, k, s in zip(first, n, source))
