@@ -15,8 +15,11 @@ against every block that can hold one of its windows, and consecutive windows mo
 windows that a sample of documents shows to be very frequent form block 0, which is broadcast (at most
 ``KNOWN_MOST`` hashes, each with one place in the sample, so its longest match runs along that place;
 the place itself has itself as source): they are factored where the document is read and are not shuffled, so no block
-receives the occurrences of a passage that a third of all documents share. The sample decides only
-where a window is looked up, never whether it counts.
+receives the occurrences of a passage that a third of all documents share. A line shorter than a window
+may still be the anchor of many windows that differ around it: a block that a sample of documents
+(``SAMPLE_DOCS`` or a 64th, whichever is more) shows to be larger than ``CROWDED`` windows is cut into
+blocks by bits of the window hash, which keeps equal windows together but gives shorter factors. The
+samples decide only where a window is looked up, never whether it counts.
 
 Words are compared by 64-bit hashes; a window by its anchor's 64 bits and 40 bits of its own, or by 64
 bits in block 0.
@@ -36,13 +39,14 @@ from pyspark.sql import functions as F
 
 from .decontaminate import COMPARED, compare, suffix_array
 from .registry import query, table
-from .textbytes import NOT_SPACE, binary_array, slices, span_hashes, text_bytes, window_hashes, word_blocks, word_spans
+from .textbytes import MULT, NOT_SPACE, binary_array, mix, slices, span_hashes, text_bytes, window_hashes, word_blocks, word_spans
 
 WINDOW = 35
 GROUP = 6  # words of an anchor
 SAMPLE_DOCS = 4_000
 FREQUENT = 8  # occurrences in the sample
 KNOWN_MOST = 1 << 20
+CROWDED = 1 << 18  # windows of a block
 SYMBOL = 5  # bytes
 PIECE = 1 << 20  # windows handled at a time
 PLACE = np.uint64((1 << 22) - 1)
@@ -139,16 +143,51 @@ def frequent(rows: DataFrame, width: int, group: int) -> tuple[np.ndarray, np.nd
     return hashes[by_hash], number[by_hash], source[by_hash]
 
 
-def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, group: int = GROUP) -> DataFrame:
-    """(doc_id, th, begin, n, of_th, of_begin): passages of n windows, by their first word, and where each occurs as a whole too."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    known = docs.sparkSession.sparkContext.broadcast(frequent(rows, width, group))
+def crowded(rows: DataFrame, known: np.ndarray, width: int, group: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of more than ``CROWDED`` windows that are not ``known``, by a sample, and into how many bits they are cut."""
+    total = max(1, rows.count())
+    most = min(total, max(SAMPLE_DOCS, total >> 6))
+    sample = rows.filter(F.pmod(F.xxhash64("doc_id", "th"), F.lit(total)) < most)
+    sent = rows.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                for _, _, hashes, anchor, _ in windows(part.column(2), width, group):
+                    seen, n = np.unique(anchor[~np.isin(hashes, sent.value)], return_counts=True)
+                    yield pa.record_batch([pa.array(seen.view(np.int64)), pa.array(n)], names=["anchor", "n"])
+
+    counts = sample.mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    got = counts.filter(F.col("n") * total > F.lit(CROWDED * most)).toArrow()
+    anchors = got.column("anchor").to_numpy().view(np.uint64)
+    bits = np.ceil(np.log2(got.column("n").to_numpy() * (total / max(1, most)) / CROWDED)).astype(np.uint64)
+    order = np.argsort(anchors)
+    return anchors[order], np.minimum(bits[order], 64 - 8 * SYMBOL)
+
+
+def cut(anchor: np.ndarray, hashes: np.ndarray, crowds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The block of each window: its anchor, mixed with bits of its hash (none that a symbol holds) where the anchor is crowded."""
+    anchors, bits = crowds
+    if not len(anchors):
+        return anchor
+    at = np.minimum(np.searchsorted(anchors, anchor), len(anchors) - 1)
+    some = np.flatnonzero(anchors[at] == anchor)
+    low = hashes[some] & ((np.uint64(1) << bits[at[some]]) - np.uint64(1))
+    anchor = anchor.copy()
+    anchor[some] = mix(anchor[some] + low * np.uint64(MULT))
+    return anchor
+
+
+def parts(rows: DataFrame, width: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """(anchor, doc_id, th, begin, n, symbols): runs of windows by their block; n is 0 where they are still to be looked up."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    frequent_ = frequent(rows, width, group)
+    known = rows.sparkSession.sparkContext.broadcast((*frequent_, crowded(rows, frequent_[0], width, group)))
     schema = f"anchor long, doc_id {kind}, th long, begin int, n int, symbols binary"
     names = ["anchor", "doc_id", "th", "begin", "n", "symbols"]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, number, source = known.value
+        block, number, source, crowds = known.value
         maybe = np.zeros(1 << 22, bool)
         maybe[block >> np.uint64(42)] = True
         for batch in batches:
@@ -157,6 +196,7 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 for word, row, hashes, anchor, place in windows(part.column(2), width, group):
                     if not len(word):
                         continue
+                    anchor = cut(anchor, hashes, crowds)
                     hit = maybe[hashes >> np.uint64(42)]
                     some = np.flatnonzero(hit)
                     at = np.searchsorted(block, hashes[some])
@@ -173,7 +213,7 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                         if factored:
                             new[1:] |= number[at][1:] != number[at][:-1] + 1
                         else:
-                            new[1:] |= place[mine][1:] != place[mine][:-1]
+                            new[1:] |= (place[mine][1:] != place[mine][:-1]) | (anchor[mine][1:] != anchor[mine][:-1])
                         first, n = runs(new)
                         if factored:
                             key, symbols, size = th[r[first]], source[at][first].view(np.uint8), np.full(len(first), SOURCE.itemsize)
@@ -189,6 +229,14 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                             names=names,
                         )
 
+    return rows.mapInArrow(parse, schema)
+
+
+def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """(doc_id, th, begin, n, of_th, of_begin): passages of n windows, by their first word, and where each occurs as a whole too."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Look the symbols of each block's parts up in the index of the block's symbols."""
         held: list[pa.RecordBatch] = []
@@ -204,9 +252,9 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             known_at = np.frombuffer(b"".join(rows_.column(5).take(pa.array(ready)).to_pylist()), SOURCE)
             of_th, of_begin = [known_at["th"]], [known_at["begin"]]
             if len(open_):
-                parts = rows_.column(5).take(pa.array(open_))
-                at = np.frombuffer(parts.buffers()[1], np.int32, len(parts) + 1) // SYMBOL
-                raw = np.frombuffer(parts.buffers()[2], np.uint8)[SYMBOL * at[0] : SYMBOL * at[-1]].reshape(-1, SYMBOL)
+                held_symbols = rows_.column(5).take(pa.array(open_))
+                at = np.frombuffer(held_symbols.buffers()[1], np.int64, len(open_) + 1) // SYMBOL
+                raw = np.frombuffer(held_symbols.buffers()[2], np.uint8)[SYMBOL * at[0] : SYMBOL * at[-1]].reshape(-1, SYMBOL)
                 at = at - at[0]
                 wide = np.zeros((len(raw), 8), np.uint8)
                 wide[:, :SYMBOL] = raw
@@ -236,26 +284,30 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             )
 
         def joined() -> pa.RecordBatch:
-            return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            whole = pa.Table.from_batches(held)
+            whole = whole.set_column(5, "symbols", whole.column(5).cast(pa.large_binary())).combine_chunks().to_batches()
+            if len(whole) != 1:
+                raise ValueError("ids of a block exceed one Arrow array")
+            return whole[0]
 
         for batch in batches:
             # Blocks end where the anchor changes; the last one may go on in the next batch.
             anchor = batch.column(0).to_numpy()
             change = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
             begins_new = bool(held) and held[-1].column(0)[held[-1].num_rows - 1].as_py() != anchor[0]
-            cut = int(change[-1]) if len(change) else 0
-            if cut or begins_new:
-                if cut:
-                    held.append(batch.slice(0, cut))
+            end = int(change[-1]) if len(change) else 0
+            if end or begins_new:
+                if end:
+                    held.append(batch.slice(0, end))
                 if (out := done(joined())) is not None:
                     yield out
                 held = []
-            held.append(batch.slice(cut))
+            held.append(batch.slice(end))
         if held and (out := done(joined())) is not None:
             yield out
 
     return (
-        rows.mapInArrow(parse, schema)
+        parts(rows, width, group)
         .repartition("anchor").sortWithinPartitions("anchor")
         .mapInArrow(match, f"doc_id {kind}, th long, begin int, n int, of_th long, of_begin int")
     )

@@ -90,3 +90,21 @@ def test_factors_are_greedy_and_longest():
     got = sorted(zip(first.tolist(), n.tolist()))
     assert got == [(0, 2), (2, 2), (4, 2), (6, 2), (8, 2)]
     assert all(f != s and symbols[f : f + k].tolist() == symbols[s : s + k].tolist() for f, k, s in zip(first, n, source))
+
+
+def line_in_many(n):
+    """A line shorter than a window in n documents, the words around it new in each, and some copies."""
+    line = " ".join(f"l{i}" for i in range(30))
+    new = lambda i: " ".join(f"{i}x{j}" for j in range(20))
+    return [(i, f"{new(i)} {line} {new(-i - 1)}") for i in range(n)] + [(i, f"{new(i)} {line} {new(-i - 1)}") for i in range(0, n, 7)]
+
+
+def test_the_windows_of_a_common_short_line_are_dealt_out(docs, monkeypatch):
+    """None of them is frequent, and all have the line's anchor."""
+    monkeypatch.setattr(repeats, "CROWDED", 64)
+    rows = line_in_many(150)
+    df = docs(rows).select("doc_id", F.xxhash64("text").alias("th"), "text")
+    largest = repeats.parts(df).filter("n = 0").groupBy("anchor").agg(F.sum(F.length("symbols") / repeats.SYMBOL).alias("n"))
+    assert largest.agg(F.max("n")).first()[0] < 3 * 64
+    out = repeats.without_repeats(docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in out) == brute(rows)
