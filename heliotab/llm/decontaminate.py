@@ -2,7 +2,8 @@
 
 Every shard (a run of documents in one task) gets a suffix array of its word sequence. All suffixes of
 the benchmark items are binary-searched in it; the range of suffixes that share an item's window gives
-all its occurrences, and the words beyond give the longest verbatim match and its place. Words that no
+all its occurrences. Every item that shares the window is compared beyond it, from each place where a
+match of that item begins, so each item has its own longest verbatim matches and their places. Words that no
 item holds end a training suffix, so suffixes too short for the shortest window are not sorted.
 
 Defined results: null texts have no words, on either side; an item without words matches nothing; an
@@ -29,6 +30,7 @@ BLOCK_BYTES = 16 << 20  # benchmark text held by a task at a time
 # Everything but [\x00-\x2F\x3A-\x60\x7B-\x7F].
 WORD_BYTES = byte_table([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
 COMPARED = 8  # words compared at a time
+PAIRS = 1 << 18  # places and items compared at a time
 
 
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +148,8 @@ class Hits:
     places: np.ndarray  # word where an occurrence of a window begins
     window: np.ndarray  # the first test suffix with that window
     suffixes_of: dict  # window -> all test suffixes that begin with it
-    longest: np.ndarray  # words that the occurrence agrees on with that suffix
+    symbols: np.ndarray  # word numbers of the shard, 0 where no item holds the word and after each document
+    at: np.ndarray  # the occurrences' places among them
 
 
 def search(column: pa.Array, tests: Tests) -> Hits:
@@ -154,7 +157,7 @@ def search(column: pa.Array, tests: Tests) -> Hits:
     hashes, rows = words_of(column)
     n, empty = len(hashes), np.zeros(0, np.int64)
     if not len(tests.starts) or not n:
-        return Hits(np.zeros(n, bool), rows, empty, empty, {}, empty)
+        return Hits(np.zeros(n, bool), rows, empty, empty, {}, empty, empty)
     place = np.minimum(np.searchsorted(tests.vocabulary, hashes), len(tests.vocabulary) - 1)
     numbers = np.where(tests.vocabulary[place] == hashes, place + 1, 0)
     counts = np.diff(rows)
@@ -171,7 +174,7 @@ def search(column: pa.Array, tests: Tests) -> Hits:
     found = np.flatnonzero(low < high)
     covered = np.zeros(n + 1, np.int64)
     if not len(found):
-        return Hits(covered[:n] > 0, rows, empty, empty, {}, empty)
+        return Hits(covered[:n] > 0, rows, empty, empty, {}, symbols, empty)
     # Equal windows have the same range; each range is walked once.
     _, first, group = np.unique(np.stack((low[found], tests.depths[found])), axis=1, return_index=True, return_inverse=True)
     group = group.ravel()
@@ -181,21 +184,51 @@ def search(column: pa.Array, tests: Tests) -> Hits:
     step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     at = suffixes[np.repeat(low[lead], size) + step]
     window = np.repeat(lead, size)
-    _, agree = compare(tests.symbols, tests.starts[window], symbols, at, np.full(len(at), tests.longest))
     doc_word = np.searchsorted(where, at)
     np.add.at(covered, doc_word, 1)
     np.add.at(covered, doc_word + tests.depths[window], -1)
-    return Hits(np.cumsum(covered)[:n] > 0, rows, doc_word, window, dict(zip(lead.tolist(), sharing)), agree)
+    return Hits(np.cumsum(covered)[:n] > 0, rows, doc_word, window, dict(zip(lead.tolist(), sharing)), symbols, at)
+
+
+def longest_matches(hits: Hits, tests: Tests) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, test suffix and length of every match that neither its words before nor those behind it extend."""
+    word, suffix, size = ([np.zeros(0, np.int64)] for _ in range(3))
+    if len(hits.places):
+        leads = np.array(list(hits.suffixes_of))
+        flat, n = np.concatenate(list(hits.suffixes_of.values())), np.array([len(x) for x in hits.suffixes_of.values()])
+        sort = np.argsort(leads)
+        group = sort[np.searchsorted(leads, hits.window, sorter=sort)]
+        upto = np.cumsum(n[group])
+        lo = 0
+        while lo < len(group):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, "right")))
+            g = group[lo:hi]
+            row = np.repeat(np.arange(lo, hi), n[g])
+            step = np.arange(len(row)) - np.repeat(np.cumsum(n[g]) - n[g], n[g])
+            test = flat[np.repeat(np.cumsum(n)[g] - n[g], n[g]) + step]
+            before = tests.symbols[tests.starts[test] - 1]  # 0 before an item
+            first = (before == 0) | (before != hits.symbols[hits.at[row] - 1])
+            row, test = row[first], test[first]
+            _, agree = compare(tests.symbols, tests.starts[test], hits.symbols, hits.at[row], np.full(len(row), tests.longest))
+            word.append(hits.places[row])
+            suffix.append(test)
+            size.append(agree)
+            lo = hi
+    word, suffix, size = map(np.concatenate, (word, suffix, size))
+    order = np.lexsort((suffix, word))
+    return word[order], suffix[order], size[order]
 
 
 MATCH = "array<struct<item_id:string,item_word:bigint,doc_word:bigint,n_words:bigint>>"
 
 
 def describe(hits: Hits, tests: Tests):
-    """For each document: covered ranges, item ids, and the longest match from each place where one begins."""
+    """For each document: covered ranges, item ids, and every item's longest match from each place where one begins."""
     order = np.argsort(hits.places, kind="stable")
-    places, window, longest = hits.places[order], hits.window[order], hits.longest[order]
+    places, window = hits.places[order], hits.window[order]
     at = np.searchsorted(places, hits.rows)
+    word, suffix, size = longest_matches(hits, tests)
+    match_at = np.searchsorted(word, hits.rows)
     for doc in range(len(hits.rows) - 1):
         base, stop = hits.rows[doc], hits.rows[doc + 1]
         lo, hi = at[doc], at[doc + 1]
@@ -204,13 +237,12 @@ def describe(hits: Hits, tests: Tests):
             continue
         edge = np.diff(hits.covered[base:stop].astype(np.int8), prepend=0, append=0)
         items = {tests.names[i] for w in np.unique(window[lo:hi]).tolist() for i in tests.item[hits.suffixes_of[w]].tolist()}
-        matches, end = [], {}
-        for p, w, k in zip((places[lo:hi] - base).tolist(), window[lo:hi].tolist(), longest[lo:hi].tolist()):
-            diagonal = (tests.item[w], tests.offset[w] - p)
-            if end.get(diagonal, -1) < p + k:  # not the rest of a match that began before
-                end[diagonal] = p + k
-                name = tests.names[tests.item[w]]
-                matches.append({"item_id": name, "item_word": int(tests.offset[w]), "doc_word": p, "n_words": k})
+        mine = slice(match_at[doc], match_at[doc + 1])
+        matches = dict.fromkeys(  # a repeated item has equal matches
+            (tests.names[i], o, p, k)
+            for i, o, p, k in zip(tests.item[suffix[mine]].tolist(), tests.offset[suffix[mine]].tolist(), (word[mine] - base).tolist(), size[mine].tolist())
+        )
+        matches = [dict(zip(("item_id", "item_word", "doc_word", "n_words"), m)) for m in matches]
         yield int(stop - base), np.flatnonzero(edge > 0).tolist(), np.flatnonzero(edge < 0).tolist(), sorted(i for i in items if i is not None), matches
 
 

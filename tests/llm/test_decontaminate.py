@@ -84,3 +84,41 @@ def test_empty_tables(spark, docs):
 def test_words_of_a_column_with_nulls():
     hashes, rows = decontaminate.words_of(pa.array(["A b", None, "", "b a"]))
     assert rows.tolist() == [0, 2, 2, 2, 4] and hashes[0] == hashes[3] and hashes[1] == hashes[2]
+
+
+def brute_matches(docs, items, window=10):
+    """(doc, item, its word, document's word, words) of all matches of a window at least that cannot be extended."""
+    out = set()
+    for doc_id, text in docs:
+        w = words(text)
+        for item_id, item in items:
+            v = words(item)
+            for o in range(len(v)):
+                for p in range(len(w)):
+                    if o and p and v[o - 1] == w[p - 1]:
+                        continue
+                    k = 0
+                    while o + k < len(v) and p + k < len(w) and v[o + k] == w[p + k]:
+                        k += 1
+                    if k >= min(window, len(v)):
+                        out.add((doc_id, None if item_id is None else str(item_id), o, p, k))
+    return out
+
+
+@pytest.mark.parametrize("pairs", [1 << 18, 7])
+def test_every_item_has_its_longest_matches(spark, docs, monkeypatch, pairs):
+    """Items that share a beginning, an item under two ids, and a repeated item."""
+    say = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    a, b = say("p", 50) + " " + say("a", 50), say("p", 50) + " " + say("b", 50)
+    bench = spark.createDataFrame([(1, a), (2, b), (3, b), (3, b)], "item_id long, text string")
+    (row,) = decontaminate.contamination(docs([(9, "x " + b + " y")]), bench).collect()
+    assert sorted(tuple(m) for m in row.matches) == [("1", 0, 1, 50), ("2", 0, 1, 100), ("3", 0, 1, 100)]
+    assert row.longest == 100
+    for seed in (0, 1):
+        rows, items = cases(seed)
+        texts = [t for _, t in rows]
+        column = pa.array(texts, pa.string())
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        tests = decontaminate.Tests.build([None if i is None else str(i) for i, t in items if t], [t for _, t in items if t], 10)
+        got = [(d, *m.values()) for d, x in enumerate(decontaminate.describe(decontaminate.search(column, tests), tests)) for m in x[4]]
+        assert len(got) == len(set(got)) and set(got) == brute_matches(list(enumerate(texts)), items)
