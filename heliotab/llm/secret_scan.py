@@ -1,13 +1,17 @@
 """Secret scan with DataFrame functions only: rules, and character Markov models for the rest.
 
 Rules find assignments, access keys and hexadecimal runs. Two first-order character models, one of
-random strings and one of ordinary identifiers, then score every long token with a letter and a digit that no rule covers;
-a token whose log-likelihood ratio favours the random model enough is added as kind ``random``.
+random strings and one of ordinary identifiers, then score every long token that no rule covers;
+a token whose log-likelihood ratio favours the random model enough is added as kind ``random``. A token
+without a digit must pass in lower case too, since ordinary words in capitals are rare in a sample. Of a
+token that fails, or that a rule covers in part, the runs of segments (between ``/``, ``=``, ``_`` and
+``-``) that each favour the random model are scored alone, so words before a key do not hide it.
 
 Both models are counted from labelled samples: random strings are the values that rules find in about
 ``TRAIN_DOCS`` documents (chosen by a hash of the id) and ``DIGESTS`` digests, ordinary ones are the
 identifiers of the text around those values. A pair that a sample lacks falls back on the frequency of
-its second character.
+its second character; pairs of one character twice, or without a letter or digit, never speak for the
+random model, so rulers are ordinary.
 
 Defined results: a null text counts as empty and has no spans; repeated rows each give a row; spans of
 one kind do not overlap, spans of different kinds may; ties of start are ordered by kind as listed; an
@@ -28,7 +32,9 @@ HEX = r"[0-9a-f]{24,}"
 VALUE_CHARS = 6
 
 TOKEN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN_LEAST = 20
+TOKEN = rf"[A-Za-z0-9+/_=-]{{{TOKEN_LEAST},}}"
+SEGMENTS = "[/=_-]"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{6,}"
 TRAIN_DOCS = 2_000
 DIGESTS = 2_000
@@ -73,7 +79,8 @@ def base_spans(text: Column) -> dict[str, Column]:
 def pairs_of(string: Column) -> Column:
     """Each character with the next one, in a number of steps that is linear in the string."""
     chars = F.filter(F.split(string, ""), lambda c: c != "")
-    return F.zip_with(F.slice(chars, F.lit(1), F.size(chars) - 1), F.slice(chars, F.lit(2), F.size(chars) - 1), lambda a, b: F.concat(a, b))
+    n = F.greatest(F.size(chars) - 1, F.lit(0))
+    return F.zip_with(F.slice(chars, F.lit(1), n), F.slice(chars, F.lit(2), n), lambda a, b: F.concat(a, b))
 
 
 def transitions(strings: DataFrame) -> DataFrame:
@@ -107,7 +114,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most:
         alone = (into[k, b] + 1.0) / (all_[k] + n)
         return math.log((seen.get((k, a + b), 0) + FALLBACK * alone) / (after[k, a] + FALLBACK))
 
-    return [log_p(1, a, b) - log_p(0, a, b) for a in TOKEN_CHARS for b in TOKEN_CHARS]
+    def pair(a: str, b: str) -> float:
+        value = log_p(1, a, b) - log_p(0, a, b)
+        return min(value, 0.0) if a == b or not (a.isalnum() or b.isalnum()) else value
+
+    return [pair(a, b) for a in TOKEN_CHARS for b in TOKEN_CHARS]
 
 
 def ratio(token: Column, model: list[float]) -> Column:
@@ -121,16 +132,67 @@ def ratio(token: Column, model: list[float]) -> Column:
     )
 
 
+def score(token: Column, model: list[float]) -> Column:
+    """The ratio; without a digit the lesser one of the token as it is and in lower case."""
+    forms = F.when(token.rlike("[0-9]"), F.array(token)).otherwise(F.array(token, F.lower(token)))
+    return F.array_min(F.transform(forms, lambda s: ratio(s, model)))
+
+
+def least_score(token: Column) -> Column:
+    return F.greatest(F.lit(MARGIN), MEAN_MARGIN * (F.char_length(token) - 1))
+
+
+def meets(spans: Column, start: Column, end: Column) -> Column:
+    return F.exists(spans, lambda b: (b["start"] < end) & (b["end"] > start))
+
+
+def random_segments(t: Column, base: Column, model: list[float]) -> Column:
+    """Runs of a token's segments, long enough for a token, that each favour the random model and meet no span of ``base``.
+
+    Segments of fewer than two characters have no pair; they neither end a run nor belong to its ends.
+    """
+    none = F.expr(f"cast(array() as {SPAN})")
+
+    def closed(state: Column) -> Column:
+        begin, end = state["begin"], state["end"]
+        value = F.substring(t["value"], begin + 1, end - begin)
+        span = F.struct((t["start"] + begin).alias("start"), F.lit(3).alias("rank"), (t["start"] + end).alias("end"), value.alias("value"))
+        return F.when((begin >= 0) & (end - begin >= TOKEN_LEAST), F.concat(state["out"], F.array(span))).otherwise(state["out"])
+
+    def step(state: Column, x: Column) -> Column:
+        at, end = state["at"], state["at"] + x["n"]
+        short = x["n"] < 2
+        good = ~short & (x["score"] > MEAN_MARGIN * (x["n"] - 1)) & ~meets(base, t["start"] + at, t["start"] + end)
+        return F.struct(
+            (end + 1).alias("at"),
+            F.when(short, state["begin"]).when(~good, F.lit(-1)).when(state["begin"] < 0, at).otherwise(state["begin"]).alias("begin"),
+            F.when(good, end).otherwise(state["end"]).alias("end"),
+            F.when(short | good, state["out"]).otherwise(closed(state)).alias("out"),
+        )
+
+    # Scored before the walk: an expression is copied wherever the walk names it, with the whole model.
+    scored = F.transform(F.split(t["value"], SEGMENTS, -1), lambda x: F.struct(F.char_length(x).alias("n"), score(x, model).alias("score")))
+    start = F.struct(F.lit(0).alias("at"), F.lit(-1).alias("begin"), F.lit(0).alias("end"), none.alias("out"))
+    return F.when(t["value"].rlike(SEGMENTS), F.aggregate(scored, start, step, closed)).otherwise(none)
+
+
 def scan(docs: DataFrame, model: list[float], text_col: str = "text") -> DataFrame:
     """``docs`` with arrays ``__assign``, ``__access``, ``__hex`` and ``__random`` of spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.withColumns({f"__{k}": c for k, c in base_spans(text).items()})
     base = F.concat("__assign", "__access", "__hex")
     tokens = spans_of(text, TOKEN, 3)
-    mixed = lambda t: t["value"].rlike("[0-9]") & t["value"].rlike("[A-Za-z]")
-    tokens = F.filter(tokens, lambda t: mixed(t) & (ratio(t["value"], model) > F.greatest(F.lit(MARGIN), MEAN_MARGIN * (F.char_length(t["value"]) - 1))))
     found = found.withColumn("__base", base).withColumn("__tokens", tokens)
-    alone = F.filter("__tokens", lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+
+    def secret(t: Column) -> Column:
+        none = F.expr(f"cast(array() as {SPAN})")
+        whole = F.when(meets(F.col("__base"), t["start"], t["end"]), none).otherwise(F.array(t))
+        passing = F.filter(F.concat(whole, random_segments(t, F.col("__base"), model)), lambda c: score(c["value"], model) > least_score(c["value"]))
+        # The whole comes first; if it passes, its segments are no spans of their own.
+        within = lambda out, c: (F.size(out) > 0) & (F.get(out, F.lit(0))["end"] >= c["end"])
+        return F.aggregate(passing, none, lambda out, c: F.when(within(out, c), out).otherwise(F.concat(out, F.array(c))))
+
+    alone = F.flatten(F.transform("__tokens", secret))
     return found.withColumn("__random", alone).drop("__tokens")
 
 

@@ -71,3 +71,19 @@ def test_only_the_spans_are_redacted(docs, monkeypatch):
     assert out[15].text == "a [SECRET] b" and out[8].text is None and out[3].text == TEXTS[3]
     assert out[2].text == "[SECRET] AKIASHORT" and out[10].text == "漢字 [SECRET] [SECRET]"
     assert secret_scan.redact(docs([])).count() == 0
+
+
+def test_random_strings_without_digits_and_behind_words(docs):
+    model = secret_scan.train(docs(MORE))
+    letters, key = "XkvdLqBmZpAjsWeFtRtYvQwz", "Xk29dLq83mZ/A7sWe4RtYvQ0"
+    words = "configuration/identifiers/documents/accountName/"
+    hidden = [
+        f"x {letters} y", letters.upper(), f"{words * 4}{RANDOM}", f"{words * 4}{key}", f"{RANDOM}-{words * 4}x", f"{'documents_' * 9}{RANDOM}==",
+        f"{words * 4}{RANDOM}/{words}{RANDOM}/{'anything' * 4}", f"AKIA{'Q' * 16}/{words}{RANDOM}",
+    ]
+    ordinary = ["-" * 40, "=" * 40, "_" * 30, "/" * 30, "+" * 25, "a" + "=" * 30, "z" * 40, "CONFIGURATION_VALUE_IDENTIFIERS", words * 4, "documentsWithoutMeaning"]
+    found = secret_scan.scan(docs(list(enumerate(hidden + ordinary)) + MORE), model).filter("size(__random) > 0")
+    got = {r.doc_id: [s.value for s in r["__random"]] for r in found.collect()}
+    place = {r.doc_id: all(r.text[s.start : s.end] == s.value for s in r["__random"]) for r in found.collect()}
+    assert all(place.values())
+    assert got == {0: [letters], 1: [letters.upper()], 2: [RANDOM], 3: [key], 4: [RANDOM], 5: [RANDOM], 6: [RANDOM, RANDOM], 7: [RANDOM]}
