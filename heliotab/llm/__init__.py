@@ -1,4 +1,4 @@
 """Operators for large training corpora, registered beside the other queries."""
 
-from . import caps, chat, decontaminate, langid, nearest, pieces, repeats, secret_scan, simhash, toxicity, turns, warc  # noqa: F401
+from . import alignment, caps, chat, decontaminate, langid, nearest, pieces, repeats, secret_scan, simhash, toxicity, turns, warc  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
