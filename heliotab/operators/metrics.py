@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import EPSILON, as_column, hash32
 from ..session import join_stats, settle
-from .ranks import bucket_count, exact_median, running_total
+from .ranks import exact_median, hash_ranges, running_total
 
 REGRESSION_SCORES = ["MAE", "MSE", "RMSE", "MAPE", "MedAE", "R2", "ExplainedVar"]
 
@@ -329,7 +329,7 @@ def permutation_importance(
     """
     order = order or (lambda run: hash32(key, run))
     rows = df.select(key, truth, *features)
-    ranges = bucket_count(df.sparkSession)
+    ranges = hash_ranges(df.sparkSession)
     spread = rows.withColumn("run", F.explode(F.array(*[F.lit(r) for r in range(runs)])))
     spread = spread.withColumn("_hash", order(F.col("run")).cast("bigint"))
     spread = spread.withColumn("_range", F.floor(F.col("_hash") * F.lit(ranges) / F.lit(2**32)))
