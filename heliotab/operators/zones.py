@@ -59,6 +59,7 @@ def to_utc(
     order: tuple[str, ...] = (),
     zones: list[str] | None = None,
     flag: str | None = None,
+    continued: bool = False,
 ) -> DataFrame:
     """Replace the text in ``column`` by a UTC timestamp.
 
@@ -67,6 +68,10 @@ def to_utc(
     the instant of the change. Times that occur twice are told apart by their order: within
     ``group`` the first one (by ``order``) is summer time, the second one standard time; a time
     seen only once stays summer time, and ``flag`` names a column that marks it.
+
+    With ``continued`` a group may be a piece of a longer series that was cut anywhere: a time is the second one
+    if the clock has gone back before it in its piece, or if the piece begins within the repeated hour,
+    passes it once and goes on behind it. So the pieces give what the whole series gives, in any order of arrival.
     """
     spark, z = df.sparkSession, F.trim(F.col(zone))
     text = F.trim(F.col(column).cast("string"))
@@ -117,18 +122,24 @@ def to_utc(
         column, F.when(F.col("_hit"), F.col("_instant")).otherwise(plain)
     )
     repeats = Window.partitionBy(*group, "_local").orderBy(*(order or (column,)))
+    doubled = marked.filter(twice).withColumn("_times", F.count("*").over(Window.partitionBy(*group, "_local")))
+    if continued:
+        hour = Window.partitionBy(*group, "_zone", "_start")
+        before = F.max("_local").over(hour.orderBy(*(order or (column,))).rowsBetween(Window.unboundedPreceding, -1))
+        # one row per piece: where it begins, and how far it goes
+        place = F.struct(*(order or (column,)))
+        pieces = rows.groupBy(*group).agg(F.min_by("_local", place).alias("_begins"), F.max("_local").alias("_goes"))
+        doubled = doubled.withColumn("_back", F.coalesce(before >= F.col("_local"), F.lit(False))).join(pieces, list(group))
+        once_within = ~F.bool_or("_back").over(hour) & F.col("_begins").between(F.col("_start"), F.col("_end")) & (F.col("_goes") >= F.col("_end"))
+        doubled = doubled.withColumn("_second_time", F.col("_back") | (once_within & (F.col("_begins") < F.col("_end"))))
+    else:
+        doubled = doubled.withColumn("_second_time", F.row_number().over(repeats) > 1)
     repeated = (
-        marked.filter(twice)
-        .withColumns(
-            {
-                "_occurrence": F.row_number().over(repeats),
-                "_times": F.count("*").over(Window.partitionBy(*group, "_local")),
-            }
-        )
+        doubled
         .withColumn(
             column,
             F.when(
-                F.col("_occurrence") > 1,
+                F.col("_second_time"),
                 F.col("_local").cast("timestamp") - F.make_interval(secs=F.col("_second")),
             ).otherwise(
                 F.col("_instant") - (F.col("_end") - F.col("_local"))

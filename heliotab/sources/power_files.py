@@ -1,8 +1,9 @@
 """Semicolon-separated power exports: one folder per installation, headers differ by file."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from ..operators.clean import (
     CANONICAL_COLUMNS,
@@ -32,19 +33,30 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep=";", header=True, schema=SITE_SCHEMA)
 
 
-def power_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of all ``root/<installation>/*.csv`` with file, place and decoded folder name."""
+def power_lines(reader: DataFrameReader | DataStreamReader, root: str) -> DataFrame:
+    """Lines of all ``root/<installation>/*.csv`` with file, block and decoded folder name."""
     path = F.col("_metadata.file_path")
     folder = F.replace(F.element_at(F.split(path, "/"), -2), F.lit("+"), F.lit("%2B"))
-    return spark.read.text(f"{root.rstrip('/')}/*/*.csv").select(
+    return reader.text(f"{root.rstrip('/')}/*/*.csv").select(
         path.alias("_file"),
         F.url_decode(folder).alias("installation"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
         F.col("value"),
     )
 
 
+def landed(lines: DataFrame) -> DataFrame:
+    """The lines as a table, numbered within their block, header lines with their cells.
+
+    The text is read this once. Headers are found by reading one nearly empty column of the table, and
+    the two branches of repeated and other times read its rows.
+    """
+    marked = lines.select(
+        "_file", "installation", "_block", F.monotonically_increasing_id().alias("_line"), F.when(_is_header(), _cells()).alias("_head"), "value"
+    )
+    return settle(marked.filter(F.trim("value") != ""), "lines")
+
+
 def _cells() -> Column:
     plain = F.regexp_replace("value", "^\\uFEFF", "")
     return F.transform(F.split(plain, ";"), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit(""))))
@@ -57,22 +69,26 @@ def _is_header() -> Column:
 
 def power_headers(lines: DataFrame) -> DataFrame:
     """One row per file that has lines: its first header, null if there is none."""
-    found = lines.filter(F.trim("value") != "").groupBy("_file", "installation").agg(
-        F.min(F.when(_is_header(), F.struct("_block", "_line", _cells().alias("cells")))).alias("_first")
+    found = lines.groupBy("_file", "installation").agg(
+        F.min(F.when(F.col("_head").isNotNull(), F.struct("_block", "_line", F.col("_head").alias("cells")))).alias("_first")
     )
     return settle(found.select("_file", "installation", F.col("_first.cells").alias("_header")), "headers")
 
 
-def read_power_files(spark: SparkSession, root: str, headers: DataFrame | None = None) -> DataFrame:
-    """All ``root/<installation>/*.csv`` as text columns, matched by each file's own header.
+def read_power_files(spark: SparkSession, root: str) -> DataFrame:
+    """All ``root/<installation>/*.csv`` as text columns, matched by each file's own header."""
+    lines = landed(power_lines(spark.read, root))
+    return matched(lines, power_headers(lines))
+
+
+def matched(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """Landed lines as text columns, matched by each file's own header.
 
     Lines are read splittably, so one huge file is still many tasks. Headers are one short row
     per file, settled and joined back on the file path; the column names found are schema-sized.
     A file without a header fails the job, a header repeated within a file adds nothing.
     ``_file``, ``_block`` and ``_line`` keep the order of the rows within a file.
     """
-    lines = power_lines(spark, root)
-    headers = power_headers(lines) if headers is None else headers
     bare = headers.filter("_header is null").select("_file").limit(5).collect()
     if bare:
         raise ValueError(f"no header with a timestamp column in {', '.join(r._file for r in bare)}")
@@ -89,7 +105,7 @@ def read_power_files(spark: SparkSession, root: str, headers: DataFrame | None =
         "_file", *[(F.array_position("_header", F.lit(n)) - 1).cast("int").alias(f"_at_{i}") for i, n in enumerate(wanted)]
     )
     positional = ", ".join(f"c{i} string" for i in range(width))
-    parsed = lines.filter(~_is_header() & (F.trim("value") != "")).withColumn(
+    parsed = lines.filter(F.col("_head").isNull()).withColumn(
         "_row", F.from_csv("value", positional, {"sep": ";"})
     )
     cells = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
@@ -122,27 +138,33 @@ def check_sites(sites: DataFrame, installations: DataFrame) -> None:
         raise ValueError(f"no metadata for installation {', '.join(r.installation for r in unknown)}")
 
 
-def ingest_power(spark: SparkSession, root: str, sites: DataFrame) -> DataFrame:
-    """Raw exports to the power table: renamed, numeric, scaled by peak power, UTC.
+def ingest_lines(lines: DataFrame, sites: DataFrame, continued: bool = False) -> DataFrame:
+    """Lines of exports (``power_lines``) to the power table: renamed, numeric, scaled by peak power, UTC.
 
     Folder names are checked against the metadata from the small table of headers, so no reading
-    of an unknown installation is dropped without notice.
+    of an unknown installation is dropped without notice. ``continued``: files may be pieces of an export
+    that was cut anywhere (see ``to_utc``).
     """
-    sites = settle(sites, "sites")
-    headers = power_headers(power_lines(spark, root))
+    sites, lines = settle(sites, "sites"), landed(lines)
+    headers = power_headers(lines)
     check_sites(sites, headers)
-    raw = read_power_files(spark, root, headers)
+    raw = matched(lines, headers)
     extra = [c for c in raw.columns if c not in CANONICAL_COLUMNS and not c.startswith("_")]
     numbers = raw.transform(coerce_numeric, ["soc", *POWER_COLUMNS])
     local = numbers.transform(normalize_peak, sites, keep=("timezone",))
     zones = [r.timezone for r in sites.select("timezone").distinct().collect()]
     named = [z for z in zones if z and not z.lower().startswith("utc")]
     utc = to_utc(
-        local, "timestamp", "timezone", group=("installation", "_file"), order=("_block", "_line"), zones=named
+        local, "timestamp", "timezone", group=("installation", "_file"), order=("_block", "_line"), zones=named, continued=continued
     )
     return utc.select(*CANONICAL_COLUMNS, *extra)
 
 
+def ingest_power(spark: SparkSession, root: str, sites: DataFrame, continued: bool = False) -> DataFrame:
+    """Raw exports below ``root`` to the power table."""
+    return ingest_lines(power_lines(spark.read, root), sites, continued)
+
+
 def read_series(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """A stored power or weather table; only the asked columns are read."""
     stored = spark.read.parquet(path)

@@ -6,7 +6,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import coerce_numeric, normalize_peak, rename_power_columns
 from ..operators.zones import to_utc
-
+from ..sources.power_files import ingest_lines, power_lines
+from .tables import DayTable
 
 
 def read_power_stream(spark: SparkSession, path: str, columns: list[str], files_per_trigger: int = 1000) -> DataFrame:
@@ -24,13 +25,13 @@ def clean_power_stream(raw: DataFrame, sites: DataFrame, late_by: str | None = N
 
     Files may arrive in any order, so nothing is late: the keys seen are kept in the state store. With
     ``late_by`` readings older than that behind the newest one are given up, and the state stays as small.
-    Zones with summer time need the order of the rows in a file and stay in the batch job: a named zone
+    Zones with summer time need the order of the rows in a file, which ``ingest_stream`` keeps: a named zone
     fails here.
     """
     zone = F.lower(F.trim("timezone"))
     named = sites.filter(~(zone.rlike("^utc([+-].*)?$") | (zone == ""))).select("timezone").distinct().limit(5).collect()
     if named:
-        raise ValueError(f"named time zones need the batch job: {', '.join(r.timezone for r in named)}")
+        raise ValueError(f"named time zones need ingest_stream: {', '.join(r.timezone for r in named)}")
     renamed = rename_power_columns(raw)
     measures = [c for c in renamed.columns if c not in ("installation", "timestamp")]
     local = normalize_peak(coerce_numeric(renamed, measures), sites, keep=("timezone",))
@@ -84,3 +85,29 @@ def read_latest(spark: SparkSession, path: str, schema, keys: tuple[str, ...] =
     rest = [c for c in stored.columns if c not in (*keys, "_path", "batch")]
     last = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), batch).alias("_last"))
     return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
+def ingest_stream(
+    spark: SparkSession, root: str, sites: DataFrame, readings: DayTable, checkpoint: str, files_per_trigger: int = 1000,
+    hourly: tuple[DayTable, list[str], list[str]] | None = None, keep: int = 2,
+) -> StreamingQuery:
+    """Exports that arrive below ``root/<installation>/`` into a table by day, as the batch job reads them.
+
+    Files may have any headers (columns are added by name as they come), any time zone and any order, may be
+    pieces of an export cut anywhere, and may come again. A file is within one batch, so the order of its
+    rows tells the repeated hour apart; repeats are found among the days that a batch touches, and no state is kept
+    between batches but the table. ``hourly`` is a table of hours with sums and means: the
+    touched days are aggregated anew after each batch. The last ``keep`` versions of the tables stay.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+
+    def batch(lines: DataFrame, version: int) -> None:
+        grown = readings.append(ingest_lines(lines, sites, continued=True), version)
+        if hourly:
+            table, sums, means = hourly
+            days = sorted(grown)
+            table.replace(stream_aggregate(readings.read(days, version), "1 hour", sums, means), days, version)
+            table.vacuum(keep)
+        readings.vacuum(keep)
+
+    return power_lines(reader, root).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
