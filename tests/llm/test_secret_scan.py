@@ -1,5 +1,10 @@
+import base64
 import hashlib
+import random
 import re
+import string
+import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -44,7 +49,7 @@ def test_base_spans_against_python(docs, sf, spark):
 
 def test_model_tells_random_strings_from_words(docs, spark):
     model = secret_scan.train(docs(MORE))
-    score = spark.createDataFrame([(RANDOM,), ("documentsWithoutIdentifiers",)], "t string").select(secret_scan.ratio(F.col("t"), model).alias("r"))
+    score = spark.createDataFrame([(RANDOM,), ("documentsWithoutIdentifiers",)], "t string").select(secret_scan.ratio(F.col("t"), model.ratios).alias("r"))
     high, low = [r.r for r in score.collect()]
     assert high > 20 > 0 > low
 
@@ -87,3 +92,65 @@ def test_random_strings_without_digits_and_behind_words(docs):
     place = {r.doc_id: all(r.text[s.start : s.end] == s.value for s in r["__random"]) for r in found.collect()}
     assert all(place.values())
     assert got == {0: [letters], 1: [letters.upper()], 2: [RANDOM], 3: [key], 4: [RANDOM], 5: [RANDOM], 6: [RANDOM, RANDOM], 7: [RANDOM]}
+
+
+def rate(docs, model, strings):
+    """Share of strings in which a random span is found."""
+    found = secret_scan.scan(docs([(i, f"see {t} there") for i, t in enumerate(strings)]), model)
+    return found.filter("size(__random) > 0").count() / len(strings)
+
+
+WORDS = """src main java com example service handler home user documents projects report articles index products overview
+configuration template account controller repository transaction manager builder factory settings python library include
+network interface session database migration schema version release static assets images resources public private""".split()
+GERMAN = """Donaudampfschifffahrt Gesellschaft Versicherung Vertreter Kraftfahrzeug Haftpflicht Rindfleisch Etikettierung Aufgaben
+Geschwindigkeit Begrenzung Bundes Verfassung Gericht Arbeiter Unfall Lebens Abschnitt Nahrungs Mittel Stadt Verwaltung""".split()
+
+
+def test_recall_and_false_alarms_by_kind(docs):
+    rng = random.Random(11)
+    model = secret_scan.train(docs(MORE))
+    pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    letters, n = string.ascii_letters, 400
+    secrets = {
+        "base62": [pick(letters + string.digits, rng.randrange(20, 50)) for _ in range(n)],
+        "base64": [base64.b64encode(rng.randbytes(rng.randrange(18, 40))).decode() for _ in range(n)],
+        "base32": [base64.b32encode(rng.randbytes(rng.randrange(15, 30))).decode().rstrip("=") for _ in range(n)],
+        "letters": [pick(letters, rng.randrange(24, 50)) for _ in range(n)],
+    }
+    join = lambda sep, k, words=WORDS: sep.join(rng.choice(words) for _ in range(k))
+    ordinary = {
+        "paths": [join("/", rng.randrange(4, 9)) for _ in range(n)],
+        "urls": [f"https://www.{join('', 2)}.com/{join('/', 3)}/{join('-', 4)}/{rng.randrange(10**6)}" for _ in range(n)],
+        "uuids": [str(uuid.UUID(int=rng.getrandbits(128), version=4)) for _ in range(n)],
+        "snake": [join("_", 4) for _ in range(n)],
+        "upper": [join("_", 4).upper() for _ in range(n)],
+        "camel": ["".join(w.capitalize() for w in join(" ", 4).split()) for _ in range(n)],
+        "german": [join("", 3, GERMAN) for _ in range(n)],
+        "numbers": [f"{rng.randrange(10**19, 10**20)}" for _ in range(n)],
+        "dates": [f"{rng.randrange(1990, 2030)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)}_{rng.randrange(10**5)}-{join('_', 2)}" for _ in range(n)],
+    }
+    recall = {k: rate(docs, model, v) for k, v in secrets.items()}
+    alarms = {k: rate(docs, model, v) for k, v in ordinary.items()}
+    print(recall, alarms, model.threshold)
+    assert min(recall.values()) >= 0.95, recall
+    assert max(alarms.values()) <= 0.01, alarms
+
+
+def test_a_million_matches_in_one_text(spark, docs):
+    key = "0123456789abcdef" * 2
+    df = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit(f"{key} é"), 1_000_000).alias("text"))
+    start = time.time()
+    spans = secret_scan.spans_of(F.col("text"), secret_scan.HEX, 2)
+    row = df.select(spans.alias("s")).select(F.size("s").alias("n"), F.element_at("s", -1)["start"].alias("at")).first()
+    assert (row.n, row.at) == (1_000_000, 999_999 * 34)
+    assert time.time() - start < 60
+    redacted = secret_scan.redact(docs([(1, f"{key} é" * 20_000)] + MORE)).filter("doc_id = 1").first().text
+    assert redacted == "[SECRET] é" * 20_000
+
+
+def test_places_are_running_sums(spark):
+    for n in (0, 1, 2, 3, 10, 101):
+        lengths = [(i * 7) % 5 for i in range(n)]
+        df = spark.createDataFrame([(lengths,)], "n array<int>")
+        assert df.select(secret_scan.places_of(F.col("n"))).first()[0] == [sum(lengths[:i]) for i in range(n)]
