@@ -5,12 +5,13 @@ with map-side combine. What is left per model is a row with d x d numbers; solvi
 one place where NumPy runs, inside tasks, one small row per model.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from operator import and_
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,15 +87,38 @@ def gram(df: DataFrame, keys: list[str], xs: list[str], ys: list[str], nulls: st
 WIDE = 16
 
 
+# Columns of a block of the matrix of sums, and rows of sums that are merged together.
+GRAM_BLOCK = 256
+GRAM_FAN = 256
+
+
+def _merge_tiles(rows: Iterable[dict]) -> dict:
+    """Sums of disjoint sets of rows as one: counts, means of two blocks of columns and their centred products."""
+    total = None
+    for b in rows:
+        b = {"n": float(b["n"])} | {k: np.asarray(b[k], float) for k in ("mi", "mj", "c")}
+        if total is None:
+            total = b
+            continue
+        a, n = total, total["n"] + b["n"]
+        di, dj, w = b["mi"] - a["mi"], b["mj"] - a["mj"], a["n"] * b["n"] / n
+        total = {"n": n, "mi": a["mi"] + di * b["n"] / n, "mj": a["mj"] + dj * b["n"] / n, "c": a["c"] + b["c"] + w * np.outer(di, dj).ravel()}
+    return total
+
+
 def _wide_gram(complete: DataFrame, keys: list[str], xs: list[str], ys: list[str]) -> DataFrame:
-    """``gram`` of many features: a matrix product per Arrow batch and key, merged per key.
+    """``gram`` of many features: matrix products per Arrow batch, totalled per key and task, merged as a tree.
 
-    A key meets one row of sums for each batch it occurs in, not its rows.
+    All columns meet in square blocks of ``GRAM_BLOCK``; a task emits one row per key and block, however many
+    batches it reads, and ``GRAM_FAN`` neighbouring tasks are merged at each level, so no task holds more than so
+    many blocks of a key, hot or not. Levels follow the number of shuffle partitions.
     """
-    d = len(xs)
+    d, m = len(xs), len(ys)
+    cuts = [slice(i, min(i + GRAM_BLOCK, d + m)) for i in range(0, d + m, GRAM_BLOCK)]
     doubles = [F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate([*xs, *ys])]
-    names = [*keys, "n", "mx", "my", "xx", "xy", "yy"]
-    ddl = _key_ddl(complete, keys) + "n bigint, " + ", ".join(f"{c} array<double>" for c in names[-5:])
+    names = ["bi", "bj", "n", "mi", "mj", "c"]
+    kinds = "bi int, bj int, n bigint, mi array<double>, mj array<double>, c array<double>"
+    ddl = _key_ddl(complete, keys) + f"_part int, {kinds}"
 
     def parts(pdf: pd.DataFrame):
         if not keys:
@@ -102,27 +126,56 @@ def _wide_gram(complete: DataFrame, keys: list[str], xs: list[str], ys: list[str
         return [(k, p) for k, p in pdf.groupby(keys, dropna=False, sort=False)]
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        held: dict[tuple, tuple] = {}
+
+        def emit() -> pd.DataFrame:
             out = []
-            for key, part in parts(pdf):
-                values = part.iloc[:, len(keys) :].to_numpy(float)
-                mean = values.mean(axis=0)
+            for n, mean, c, key in held.values():
+                out += [(*key, part, i, j, n, mean[a], mean[b], c[a, b].ravel()) for i, a in enumerate(cuts) for j, b in enumerate(cuts) if i <= j]
+            held.clear()
+            return pd.DataFrame(out, columns=[*keys, "_part", *names])
+
+        part = TaskContext.get().partitionId()
+        for pdf in batches:
+            for key, rows in parts(pdf):
+                values = rows.iloc[:, len(keys) :].to_numpy(float)
+                n, mean = len(values), values.mean(axis=0)
                 c = values - mean
-                x, y = c[:, :d], c[:, d:]
-                xx = (x.T @ x)[np.triu_indices(d)]
-                out.append((*key, len(c), mean[:d], mean[d:], xx, (x.T @ y).ravel(), (y * y).sum(axis=0)))
-            yield pd.DataFrame(out, columns=names)
+                c = c.T @ c
+                name = tuple("" if x != x else x for x in key)  # NaN equals nothing
+                if name in held:
+                    n0, mean0, c0, _ = held[name]
+                    step = mean - mean0
+                    c = c + c0 + n0 * n / (n0 + n) * np.outer(step, step)
+                    n, mean = n0 + n, mean0 + step * n / (n0 + n)
+                held[name] = n, mean, c, key
+            if len(held) * (d + m) ** 2 > 1 << 23:  # 64 MB of sums, where keys are many
+                yield emit()
+        yield emit()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = None
-        for row in pdf.to_dict("records"):
-            part = {"n": float(row["n"])} | {k: np.asarray(row[k], float) for k in names[-5:]}
-            total = part if total is None else _merged(total, part, d)
-        out = pdf[keys].head(1).reset_index(drop=True)
-        return out.assign(n=int(total["n"]), **{k: [np.asarray(total[k]).ravel()] for k in names[-5:]})
-
-    partial = complete.select(*keys, *doubles).mapInPandas(sums, ddl)
-    return partial.groupBy(*keys).applyInPandas(merge, ddl)
+        total = _merge_tiles(pdf.to_dict("records"))
+        out = pdf[[*keys, "_part", "bi", "bj"]].head(1).reset_index(drop=True)
+        return out.assign(n=int(total["n"]), **{k: [total[k]] for k in ("mi", "mj", "c")})
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The blocks of one key as one row."""
+        mean, c = np.zeros(d + m), np.zeros((d + m, d + m))
+        for (i, j), tiles in pdf.groupby(["bi", "bj"]):
+            t = _merge_tiles(tiles.to_dict("records"))
+            mean[cuts[i]], mean[cuts[j]] = t["mi"], t["mj"]
+            c[cuts[i], cuts[j]] = t["c"].reshape(len(t["mi"]), -1)
+            c[cuts[j], cuts[i]] = c[cuts[i], cuts[j]].T
+        arrays = {"mx": mean[:d], "my": mean[d:], "xx": c[:d, :d][np.triu_indices(d)], "xy": c[:d, d:].ravel(), "yy": np.diag(c)[d:]}
+        return pdf[keys].head(1).reset_index(drop=True).assign(n=int(t["n"]), **{k: [v] for k, v in arrays.items()})
+
+    rows = complete.select(*keys, *doubles).mapInPandas(sums, ddl)
+    width, block = int(complete.sparkSession.conf.get("spark.sql.shuffle.partitions")), [*keys, "bi", "bj"]
+    while width > GRAM_FAN:
+        rows = rows.withColumn("_part", F.floor(F.col("_part") / GRAM_FAN).cast("int")).groupBy(*block, "_part").applyInPandas(merge, ddl)
+        width //= GRAM_FAN
+    out = _key_ddl(complete, keys) + "n bigint, mx array<double>, my array<double>, xx array<double>, xy array<double>, yy array<double>"
+    return rows.groupBy(*keys).applyInPandas(whole, out)
 
 
 def _centred(row, d: int, m: int):
