@@ -7,7 +7,8 @@ from ..operators.aggregate import hourly_sum, period_features
 from ..operators.models import linear_value, ridge_fit, ridge_predict
 from ..operators.stations import station_list
 from ..plans.jobs import enrich_observed, forecast_weather, hourly_baseline, load_model, retrain_from_exports, train_observed_model
-from ..session import scratch_dir
+from ..plans.stored_sums import arrivals, fit_from_sums, sums_table
+from ..session import scratch_dir, settle
 from ..sources.run_files import scan_runs
 from ..sources.sinks import write_csv
 from .cleaning import PEAKS, site_rows
@@ -25,6 +26,7 @@ from .stand_ins import (
     listed_stations,
     observations,
     quarter_hourly,
+    table,
     weather_long,
     yearly_readings,
 )
@@ -204,3 +206,30 @@ def retrain_exports(spark, sf_dir):
     named = F.col("name") == F.col("model_name")
     stored = (F.abs(F.col("R2") - F.col("_r2")) < 1e-9) & (F.col("d") == len(model.features))
     return runs.select("special_features", "model_purpose", "model_class", "timestamp", named.alias("named"), stored.alias("stored"))
+
+
+@query(
+    "retrain_from_sums",
+    """WITH d AS (SELECT 'inst_' || CAST(o_custkey % 3 AS VARCHAR) AS installation, date_trunc('day', o_orderdate) AS date, sum(o_totalprice) / 100000 AS y, CAST(count(*) AS DOUBLE) AS x
+      FROM orders GROUP BY 1, 2),
+    r AS (SELECT *, min(x) OVER (PARTITION BY installation) AS lo, max(x) OVER (PARTITION BY installation) AS hi FROM d),
+    s AS (SELECT installation, y, (x - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1 END AS x FROM r),
+    f AS (SELECT installation, count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) AS sxy, var_pop(x) * count(*) AS sxx FROM s GROUP BY 1)
+    SELECT installation, n, round(sxy / (sxx + 1), 6) AS coefficient, round(my - mx * sxy / (sxx + 1), 6) AS intercept FROM f""",
+    digits=6,
+)
+def retrain_from_sums(spark, sf_dir):
+    """Three exports, of which the last one corrects days of the first: the fit from stored sums is that of all data."""
+    o = table(spark, sf_dir, "orders")
+    name = F.concat(F.lit("inst_"), (F.col("o_custkey") % 3).cast("string"))
+    days = o.groupBy(name.alias("installation"), F.date_trunc("day", "o_orderdate").alias("date")).agg(
+        (F.sum("o_totalprice") / 100000).alias("y"), F.count("*").cast("double").alias("x")
+    )
+    days = settle(days, "days")
+    early, odd = F.col("date") < "1995-06-01", F.dayofmonth("date") % 7 == 0
+    wrong = days.filter(early).withColumn("y", F.when(odd, F.col("y") + 9).otherwise(F.col("y")))
+    readings = sums_table(spark, scratch_dir(spark, "months"))
+    sums = sums_table(spark, scratch_dir(spark, "sums"))
+    arrivals(iter([wrong, days.filter(~early), days.filter(early & odd)]), readings, sums, ["x"], ["y"])
+    fit = fit_from_sums(sums.read(), ["x"], ["y"])
+    return fit.select("installation", "n", F.col("coefficients")[0].alias("coefficient"), "intercept")
