@@ -1,4 +1,4 @@
-"""Language identification with bit-sliced Bloom filters over character n-grams.
+"""Language identification with bit-sliced Bloom filters over n-grams of UTF-8 bytes.
 
 One table of slots serves all languages: a slot holds a bitmask of the languages that put an n-gram
 there. The masks of an n-gram's slots, ANDed, give all languages that contain it at once. Per language
@@ -31,7 +31,8 @@ HASHES = 3
 SLOT_BITS = 21
 PER_LANGUAGE = 2_000
 SHARE = 0.25
-LEAST_DOCS = 2
+LEAST_DOCS = 2  # learning documents that an n-gram must occur in
+FEW_DOCS = 50  # a language with fewer learning documents keeps the n-grams of a single one
 TOGETHER = 1 << 18  # bytes of text whose n-grams are looked up together
 LETTERS = byte_table([*range(0x61, 0x7B), *range(0x80, 0x100)])
 SPACE = 0x20
@@ -113,7 +114,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         return None
     number = {r.lang: i for i, r in enumerate(per)}
     # The table of languages is written, so Spark sees its size and broadcasts it while it is small.
-    sample = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id"), "count") < per_language).select("lang", "text")
+    sample = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id", "text"), "count") < per_language).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,9 +136,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     seen = sample.mapInArrow(count, "lang int, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
     kept = {i: min(r["count"], per_language) for i, r in enumerate(per)}
-    rate = F.col("docs") / F.get(F.array(*[F.lit(float(kept[i])) for i in range(len(per))]), F.col("lang"))
+    learnt = F.get(F.array(*[F.lit(float(kept[i])) for i in range(len(per))]), F.col("lang"))
+    rate, needed = F.col("docs") / learnt, F.when(learnt < FEW_DOCS, 1).otherwise(LEAST_DOCS)
     by_gram = (
-        seen.filter(F.col("docs") >= LEAST_DOCS).withColumn("rate", rate)
+        seen.filter(F.col("docs") >= needed).withColumn("rate", rate)
         .groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate")).alias("of"))
     )
     slot = F.explode(F.array(*[F.shiftrightunsigned("gram", SLOT_BITS * k).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)) for k in range(HASHES)]))

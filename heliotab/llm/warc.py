@@ -5,14 +5,15 @@ record; request and metadata name the response as concurrent. Payloads of at lea
 stored once: of the captures with equal ones that with the least id is the response. Files are gzip
 streams, each record ended by ``\r\n\r\n`` as the format has it.
 
-Reading splits the files at the version line. A piece shorter than its Content-Length goes on in the next
-ones, so payloads may hold that line; a record that ends early is an error. Records meet again by the id
-they are concurrent to, and each capture becomes one nested row.
+Reading splits the files at the version line (1.0 or 1.1). A piece shorter than its Content-Length goes on in the next
+ones, so payloads may hold that line; a record that ends early, or has more behind its block than line ends, is an error. Records meet again by the ids
+they are concurrent to (each of them, where a record names several), and each capture becomes one nested row with all
+its requests and metadata records; ``request`` is the first of them. A response is its own capture, also where it names others.
 
 Defined results: a null payload counts as empty, a null url as an empty one; line ends in a url are
 percent-encoded; a row without id is a response of its own that nothing refers to; of rows equal in id and
 payload one is the response and the others revisit it; request or metadata records without a response give
-a capture without one; an empty table gives no rows; other columns are not read.
+a capture without one; a very long payload is one row; an empty table gives no rows; other columns are not read.
 """
 
 import hashlib
@@ -27,6 +28,7 @@ from .registry import query, table
 
 LEAST_BYTES = 100
 VERSION = "WARC/1.1\r\n"
+ANY_VERSION, VERSIONS = "WARC/1.", (b"0\r\n", b"1\r\n")
 DATE = "2000-01-01T00:00:00Z"
 
 
@@ -90,24 +92,29 @@ def write_warc(
 
 
 RECORD = [
-    ("record_id", pa.string()), ("type", pa.string()), ("concurrent_to", pa.string()), ("refers_to", pa.string()),
+    ("record_id", pa.string()), ("type", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()),
     ("target_uri", pa.string()), ("date", pa.string()), ("stated_digest", pa.string()), ("payload_bytes", pa.int64()),
     ("payload_digest", pa.string()), ("fields", pa.string()), ("payload", pa.binary()),
 ]
 
 
 def parse(raw: bytes, with_payload: bool) -> tuple | None:
-    """One record without its version line; None if it goes on."""
+    """One record without its version; None if it goes on."""
     head, found, rest = raw.partition(b"\r\n\r\n")
     if not found:
         return None
-    headers = {}
-    for line in head.split(b"\r\n"):
+    headers, concurrent = {}, []
+    for line in head.split(b"\r\n")[1:]:
         key, _, value = line.partition(b":")
-        headers[key.strip().lower()] = value.strip()
+        key, value = key.strip().lower(), value.strip()
+        headers[key] = value
+        if key == b"warc-concurrent-to":
+            concurrent.append(value.strip(b"<>").decode("utf-8", "replace"))
     size = int(headers[b"content-length"])
     if len(rest) < size:
         return None
+    if rest[size:].strip(b"\r\n"):
+        raise ValueError(f"{len(rest) - size} bytes stand behind the Content-Length of a record")
     block = rest[:size]
     kind = headers[b"warc-type"].decode()
     text = lambda k: headers[k].strip(b"<>").decode("utf-8", "replace") if k in headers else None
@@ -121,22 +128,24 @@ def parse(raw: bytes, with_payload: bool) -> tuple | None:
     elif kind == "metadata":
         fields = block.decode("utf-8", "replace")
     return (
-        text(b"warc-record-id"), kind, text(b"warc-concurrent-to"), text(b"warc-refers-to"), text(b"warc-target-uri"),
+        text(b"warc-record-id"), kind, concurrent, text(b"warc-refers-to"), text(b"warc-target-uri"),
         text(b"warc-date"), stated and stated.removeprefix("sha256:"), n, digest, fields, payload if with_payload else None,
     )
 
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """All records of the archives (gzip files) at a path."""
-    kinds = dict.fromkeys((n for n, _ in RECORD), "string") | {"payload_bytes": "long", "payload": "binary"}
-    mark = VERSION.encode()
+    kinds = dict.fromkeys((n for n, _ in RECORD), "string") | {"concurrent_to": "array<string>", "payload_bytes": "long", "payload": "binary"}
+    mark = ANY_VERSION.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: list[bytes] = []
         for batch in batches:
             out, size = [], 0
             for piece in batch.column(0).to_pylist():
-                if not open_ and not piece:
+                if not open_ and not piece.startswith(VERSIONS):
+                    if piece.strip(b"\r\n"):
+                        raise ValueError("an archive has text outside its records")
                     continue  # what stands before the first version line of a file
                 open_.append(piece)
                 found = parse(open_[0] if len(open_) == 1 else mark.join(open_), with_payload)
@@ -148,18 +157,20 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
         if open_:
             raise ValueError("an archive ends within a record")
 
-    pieces = spark.read.option("lineSep", VERSION).text(path).select(F.col("value").cast("binary").alias("value"))
+    pieces = spark.read.option("lineSep", ANY_VERSION).text(path).select(F.col("value").cast("binary").alias("value"))
     return pieces.mapInArrow(run, ", ".join(f"{n} {kinds[n]}" for n, _ in RECORD))
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row per capture: its response or revisit, its request, and its metadata records."""
+    """One nested row per capture: its response or revisit, its requests, and its metadata records."""
     whole = F.struct(*[F.col(n) for n, _ in RECORD])
     of = lambda *kinds: F.when(F.col("type").isin(*kinds), whole)
-    return records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture")).agg(
-        F.max(of("response", "revisit")).alias("response"), F.max(of("request")).alias("request"),
+    answer = F.col("type").isin("response", "revisit") | (F.size("concurrent_to") == 0)
+    named = records.withColumn("capture", F.explode(F.when(answer, F.array("record_id")).otherwise(F.array_distinct("concurrent_to"))))
+    return named.groupBy("capture").agg(
+        F.max(of("response", "revisit")).alias("response"), F.sort_array(F.collect_list(of("request"))).alias("requests"),
         F.sort_array(F.collect_list(of("metadata"))).alias("metadata"),
-    )
+    ).withColumn("request", F.get("requests", F.lit(0)))
 
 
 def resolved(found: DataFrame) -> DataFrame:

@@ -73,3 +73,11 @@ def test_counts_are_those_of_plain_sets():
         for lang in (0, 1):
             expected[lang] += sum(int(k) in known[lang] for k in key[good])
     assert total.tolist() == [n, 0, 0] and hits[0].tolist() == expected
+
+
+def test_a_language_with_one_learning_document_keeps_its_ngrams(docs):
+    rng = random.Random(4)
+    rows = [(i, say(rng, "aa", 30), "aa") for i in range(120)] + [(500, say(rng, "bb", 60), "bb")]
+    filters = langid.fit(docs(rows))
+    got = langid.identify(docs([(1, say(rng, "bb", 20)), (2, say(rng, "aa", 20))]), filters).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "bb", 2: "aa"}

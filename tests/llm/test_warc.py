@@ -68,6 +68,39 @@ def test_orphans_and_broken_archives(spark, tmp_path):
         warc.read_warc(spark, f"{tmp_path}/b").collect()
 
 
+def crawl(*records, version=b"1.0"):
+    """An archive of (type, id, concurrent ids, block)."""
+    out = b""
+    for kind, name, ids, block in records:
+        lines = [b"WARC/" + version, b"WARC-Type: " + kind, b"WARC-Record-ID: <" + name + b">", *[b"WARC-Concurrent-To: <" + i + b">" for i in ids]]
+        out += b"\r\n".join([*lines, b"Content-Length: %d" % len(block), b"", block, b"", b""])
+    return out
+
+
+def test_archives_of_both_versions_with_several_requests(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\n\r\nWARC/1.0\r\nbody"
+    old = crawl((b"warcinfo", b"i", [], b"software: x"), (b"response", b"r1", [b"q1"], http), (b"request", b"q1", [b"r1"], b"GET 1"),
+                (b"request", b"q2", [b"r1", b"r2"], b"GET 2"), (b"metadata", b"m", [b"r1"], b"a: b"))
+    new = crawl((b"response", b"r2", [], http), version=b"1.1")
+    (tmp_path / "c").mkdir()
+    with gzip.open(tmp_path / "c/a.warc.gz", "wb") as f:
+        f.write(old + new)
+    records = warc.read_warc(spark, f"{tmp_path}/c")
+    assert sorted(r.record_id for r in records.collect()) == ["i", "m", "q1", "q2", "r1", "r2"]
+    found = {r.capture: r for r in warc.captures(records).collect()}
+    assert [q.record_id for q in found["r1"].requests] == ["q1", "q2"] and [q.record_id for q in found["r2"].requests] == ["q2"]
+    assert found["r1"].response.payload == b"WARC/1.0\r\nbody" and len(found["r1"].metadata) == 1 and found["r2"].metadata == []
+
+
+@pytest.mark.parametrize("raw", [crawl((b"request", b"q", [], b"abc")) + b"more", b"lost" + crawl((b"request", b"q", [], b"abc"))])
+def test_bytes_that_belong_to_no_record_are_an_error(spark, tmp_path, raw):
+    (tmp_path / "c").mkdir()
+    with gzip.open(tmp_path / "c/a.warc.gz", "wb") as f:
+        f.write(raw)
+    with pytest.raises(Exception, match="Content-Length of a record|outside its records"):
+        warc.read_warc(spark, f"{tmp_path}/c").collect()
+
+
 def test_empty_table(spark, tmp_path):
     warc.write_warc(spark.createDataFrame([], SCHEMA), f"{tmp_path}/w")
     assert captures(spark, f"{tmp_path}/w").count() == 0
