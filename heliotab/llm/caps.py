@@ -363,7 +363,8 @@ def near_duplicates(
     counts = found.groupBy(F.col("a").alias("num")).agg(F.sum("n").alias("n"))
     labels = components(found.filter("a <> b").select("a", "b"))
     linked = points.select("num", "least").join(labels, F.col("num") == F.col("vertex"))
-    least = linked.groupBy(F.col("label")).agg(F.min("least").alias("root"))
+    # Written, so that Spark knows its size and need not deal a large component's vectors out by its label.
+    least = settle(linked.groupBy(F.col("label")).agg(F.min("least").alias("root")), "roots")
     roots = linked.join(least, "label").select("num", "root")
     known = (
         points.select("num", "k1", "k2", "weight", "least").withColumnRenamed("least", "own_least")
