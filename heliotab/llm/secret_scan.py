@@ -30,6 +30,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
 from .registry import query, table
 
 # The base rules, in the order of their kinds.
@@ -193,7 +194,7 @@ def ratios(counted: DataFrame) -> list[float]:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Model:
     """Both models and the threshold."""
-    labelled = samples(docs, id_col, text_col, most)
+    labelled = settle(samples(docs, id_col, text_col, most), "labelled")
     known = ratios(transitions(segments(labelled.filter(~F.col("held"))).select("label", "s")))
     held = labelled.filter("held")
     compounds = held.filter("label = 0").groupBy(F.pmod(F.xxhash64("s", F.lit(9)), F.lit(DIGESTS)).alias("g"))
