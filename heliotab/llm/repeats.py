@@ -4,10 +4,13 @@ A symbol of the parse is a whole window of ``WINDOW`` consecutive words, so a fa
 passage of n + WINDOW - 1 words and every factor is long enough; a window across the boundary of two
 factors is a symbol itself and is looked up like any other.
 
-A block is indexed by a suffix array of its symbols, whose neighbours give the longest match of a place
-and where it lies. Each part of a document is factored greedily: the longest match from its first open
-symbol, then on behind it. So a factor is one passage that occurs as a whole at another place, its
-source. A part ends where the block changes, hence a passage of several blocks gives several factors.
+A block is indexed by a suffix array of all its symbols, whose neighbours give the longest match of a
+place and where it lies. Each part of a document is factored greedily: the longest match from its first
+open symbol, then on behind it; a symbol without a match is a literal. So a factor is one passage that
+occurs as a whole at another place, its source, and the words that go are those of the factors: nothing
+else counts windows. A window that spans the boundary of two factors is the first symbol behind the
+boundary or inside a factor, so it is looked up by the parse itself. A part ends where the block
+changes, hence a passage of several blocks gives several factors.
 
 The corpus is its own reference, cut into blocks such that equal windows meet in one block. The block of
 a window is its anchor, the least hash among its word groups (a minimizer), so a document is parsed
@@ -90,8 +93,11 @@ def runs(breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(breaks)))
 
 
-def greedy(symbols: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First places, lengths and sources of the factors of runs (``new`` begins one) of symbols that each occur twice."""
+def longest(symbols: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of the runs (``new`` begins one): symbols of its longest match at another place (0: none), and that place.
+
+    The index is a suffix array over all symbols; a suffix ends with its run, and the longest match is with a neighbour.
+    """
     begin, length = runs(new)
     where = np.arange(len(symbols)) + np.cumsum(new) - 1  # a 0 after each run
     text = np.zeros(len(symbols) + len(begin) + int(length.max()) + COMPARED + 64, np.int64)
@@ -103,12 +109,21 @@ def greedy(symbols: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray
     reach, source = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
     reach[order] = np.maximum(before, after)
     source[order] = np.where(before >= after, np.roll(order, 1), np.roll(order, -1))
+    return reach, source
+
+
+def greedy(symbols: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First places, lengths and sources of the factors of runs of symbols; symbols that match nothing are literals between them."""
+    reach, source = longest(symbols, new)
+    begin, length = runs(new)
+    matched = np.append(np.flatnonzero(reach), len(symbols))
     firsts, here, stop = [], begin, begin + length
     while len(here):
-        firsts.append(here)
-        here = here + reach[here]
+        here = matched[np.searchsorted(matched, here)]  # past literals
         open_ = here < stop
         here, stop = here[open_], stop[open_]
+        firsts.append(here)
+        here = here + reach[here]
     first = np.concatenate(firsts)
     return first, reach[first], source[first]
 
@@ -116,7 +131,7 @@ def greedy(symbols: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def frequent(rows: DataFrame, width: int, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows that the sample holds often: hashes, numbers that count on along a passage, and sources."""
     total = max(1, rows.count())
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(total)) < SAMPLE_DOCS)
+    sample = rows.filter(F.pmod(F.xxhash64("doc_id", "th"), F.lit(total)) < SAMPLE_DOCS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,17 +276,15 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
                 block = np.cumsum(np.concatenate(([0], anchor[open_][1:] != anchor[open_][:-1])))
                 of = np.repeat(np.arange(len(open_)), np.diff(at))
                 key = wide.view(np.uint64).ravel() | (block[of].astype(np.uint64) << np.uint64(8 * SYMBOL))
-                _, which, count = np.unique(key, return_inverse=True, return_counts=True)
-                found = np.flatnonzero(count[which] > 1)
-                if len(found):
-                    new = np.ones(len(found), bool)
-                    new[1:] = (found[1:] != found[:-1] + 1) | (of[found][1:] != of[found][:-1])
-                    begin, length, source = greedy(which[found], new)
-                    first_row.append(open_[of[found[begin]]])
-                    first.append(found[begin] - at[of[found[begin]]])
-                    size.append(length)
-                    of_th.append(th[open_[of[found[source]]]])
-                    of_begin.append(word[open_[of[found[source]]]] + found[source] - at[of[found[source]]])
+                _, rank = np.unique(key, return_inverse=True)
+                begins = np.zeros(len(key), bool)
+                begins[at[:-1]] = True
+                begin, length, source = greedy(rank, begins)
+                first_row.append(open_[of[begin]])
+                first.append(begin - at[of[begin]])
+                size.append(length)
+                of_th.append(th[open_[of[source]]])
+                of_begin.append(word[open_[of[source]]] + source - at[of[source]])
             row = np.concatenate(first_row)
             if not len(row):
                 return None

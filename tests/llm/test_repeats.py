@@ -92,6 +92,45 @@ def test_factors_are_greedy_and_longest():
     assert all(f != s and symbols[f : f + k].tolist() == symbols[s : s + k].tolist() for f, k, s in zip(first, n, source))
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_greedy_parse_against_brute_force(seed):
+    """Symbols that occur once are literals; every factor is the longest match from its place."""
+    rng = np.random.default_rng(seed)
+    symbols = rng.integers(0, [3, 12, 40, 200, 10**6, 2][seed], 150)
+    symbols = np.unique(symbols, return_inverse=True)[1]
+    new = rng.random(150) < 0.15
+    new[0] = True
+    ends = np.append(np.flatnonzero(new)[1:], 150)
+    end_of = ends[np.cumsum(new) - 1]
+
+    def match(i):
+        best = 0
+        for j in range(150):
+            k = 0
+            while j != i and i + k < end_of[i] and j + k < end_of[j] and symbols[i + k] == symbols[j + k]:
+                k += 1
+            best = max(best, k)
+        return best
+
+    expected, i = [], 0
+    while i < 150:
+        n = match(i)
+        if n:
+            expected.append((i, n))
+        i += max(n, 1)
+    first, n, source = repeats.greedy(symbols, new)
+    assert sorted(zip(first.tolist(), n.tolist())) == expected
+    assert all(symbols[f : f + k].tolist() == symbols[s : s + k].tolist() and f != s for f, k, s in zip(first, n, source))
+
+
+def test_an_index_without_matches_removes_nothing(monkeypatch):
+    """What goes is decided by the longest matches of the index alone."""
+    symbols, new = np.array([0, 1, 2, 0, 1, 2]), np.array([True, False, False, True, False, False])
+    assert len(repeats.greedy(symbols, new)[0]) == 2
+    monkeypatch.setattr(repeats, "compare", lambda a, x, b, y, depth: (None, np.zeros(len(x), np.int64)))
+    assert len(repeats.greedy(symbols, new)[0]) == 0
+
+
 def line_in_many(n):
     """A line shorter than a window in n documents, the words around it new in each, and some copies."""
     line = " ".join(f"l{i}" for i in range(30))
