@@ -15,12 +15,11 @@ from .cleaning import PEAKS, site_rows
 from .enrichment import _CHOSEN, _COMBINED, _FILLED, _GRID, _IN_RANGE, _PIVOTED, _REGRID
 from .registry import query
 from .stand_ins import (
-    DAILY_LONG,
     DAILY_WEATHER,
     LISTED_STATIONS,
     OBSERVATIONS,
     READINGS,
-    daily_long,
+    WEATHER_LONG,
     daily_weather,
     hourly_weather,
     listed_stations,
@@ -139,10 +138,15 @@ def forecast_normal_equations(spark, sf_dir):
     return each.groupBy("installation", "target").agg(F.first("n").alias("n"), F.max(F.abs("gradient")).alias("worst"))
 
 
+def _hours(spark, sf_dir):
+    """Hourly sums of records at all hours of the day."""
+    return hourly_sum(weather_long(spark, sf_dir).withColumnRenamed("sunshine_duration", "sol_prod"))
+
+
 @query(
     "hourly_baseline_job",
-    f"""WITH {DAILY_LONG}, hours AS (SELECT installation, CAST("timestamp" AS DATE) AS date, hour("timestamp") AS hour, sum(sol_prod) AS y FROM daily_long GROUP BY 1, 2, 3),
-    parted AS (SELECT *, row_number() OVER (PARTITION BY installation ORDER BY date DESC, hour DESC) <= 364 AS test FROM hours),
+    f"""WITH {WEATHER_LONG}, hours AS (SELECT installation, CAST("timestamp" AS DATE) AS date, hour("timestamp") AS hour, coalesce(sum(sunshine_duration), 0) AS y FROM weather_long GROUP BY 1, 2, 3),
+    parted AS (SELECT *, row_number() OVER (PARTITION BY installation ORDER BY date DESC, hour DESC) <= 8759 AS test FROM hours),
     yearly AS (SELECT installation, hour + 24 * (dayofyear(date) - 1) AS hoy, year(date) AS yr, sum(y) AS s FROM parted WHERE NOT test GROUP BY 1, 2, 3),
     means AS (SELECT installation, hoy, avg(s) AS pred FROM yearly GROUP BY 1, 2),
     model AS (SELECT * FROM means UNION ALL SELECT installation, hoy + 24, pred FROM means m WHERE hoy BETWEEN 8736 AND 8759
@@ -153,16 +157,15 @@ def forecast_normal_equations(spark, sf_dir):
     ratio=6,
 )
 def hourly_baseline_job(spark, sf_dir):
-    """Climatology on held-out hours with residuals."""
-    hours = hourly_sum(daily_long(spark, sf_dir))
-    predicted, _ = hourly_baseline(hours, holdout=365)
+    """Climatology of every hour of the year on the held-out last 8 759 hours, with residuals."""
+    predicted, _ = hourly_baseline(_hours(spark, sf_dir))
     return predicted.select("installation", "timestamp", "y", "pred", "diff", "ratio")
 
 
 @query(
     "hourly_baseline_scores",
-    f"""WITH {DAILY_LONG}, hours AS (SELECT installation, CAST("timestamp" AS DATE) AS date, hour("timestamp") AS hour, sum(sol_prod) AS y FROM daily_long GROUP BY 1, 2, 3),
-    parted AS (SELECT *, row_number() OVER (PARTITION BY installation ORDER BY date DESC, hour DESC) <= 364 AS test FROM hours),
+    f"""WITH {WEATHER_LONG}, hours AS (SELECT installation, CAST("timestamp" AS DATE) AS date, hour("timestamp") AS hour, coalesce(sum(sunshine_duration), 0) AS y FROM weather_long GROUP BY 1, 2, 3),
+    parted AS (SELECT *, row_number() OVER (PARTITION BY installation ORDER BY date DESC, hour DESC) <= 8759 AS test FROM hours),
     yearly AS (SELECT installation, hour + 24 * (dayofyear(date) - 1) AS hoy, year(date) AS yr, sum(y) AS s FROM parted WHERE NOT test GROUP BY 1, 2, 3),
     means AS (SELECT installation, hoy, avg(s) AS pred FROM yearly GROUP BY 1, 2),
     model AS (SELECT * FROM means UNION ALL SELECT installation, hoy + 24, pred FROM means m WHERE hoy BETWEEN 8736 AND 8759
@@ -173,7 +176,7 @@ def hourly_baseline_job(spark, sf_dir):
     digits=1,
 )
 def hourly_baseline_scores(spark, sf_dir):
-    _, metrics = hourly_baseline(hourly_sum(daily_long(spark, sf_dir)), holdout=365)
+    _, metrics = hourly_baseline(_hours(spark, sf_dir))
     return metrics.select("installation", "n", "n_dropped", "MAE", "MedAE")
 
 
