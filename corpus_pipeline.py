@@ -5,7 +5,6 @@ benchmark passage go, secrets are replaced by a marker, and the texts become tok
 works on all rows that the one before kept, and all but the last return the columns of ``documents``.
 """
 
-import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,13 +56,6 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
-def let_go(spark: SparkSession) -> None:
-    """Collect on the driver what a finished stage no longer refers to, so that Spark's cleaner removes its
-    shuffle files and broadcasts now and not at its half-hourly turn."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; every stage's result is written as Parquet and reread."""
     prepare(spark)
@@ -72,5 +64,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_dir(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-        let_go(spark)
     return docs
