@@ -7,8 +7,8 @@ factors is a symbol itself and is looked up like any other.
 A block is indexed by a suffix array of all its symbols, whose neighbours give the longest match of a
 place and where it lies. Each part of a document is factored greedily: the longest match from its first
 open symbol, then on behind it; a symbol without a match is a literal. So a factor is one passage that
-occurs as a whole at another place, its source, and the words that go are those of the factors: nothing
-else counts windows. A window that spans the boundary of two factors is the first symbol behind the
+occurs as a whole at another place, its source, and the words that go are those of the factors; windows
+are counted only in the sample that fills block 0 (below). A window that spans the boundary of two factors is the first symbol behind the
 boundary or inside a factor, so it is looked up by the parse itself. A part ends where the block
 changes, hence a passage of several blocks gives several factors.
 
