@@ -33,6 +33,7 @@ PER_LANGUAGE = 2_000
 SHARE = 0.25
 LEAST_DOCS = 2  # learning documents that an n-gram must occur in
 FEW_DOCS = 50  # a language with fewer learning documents keeps the n-grams of a single one
+WAITING = 1 << 19  # n-grams of documents that are counted together in a task
 TOGETHER = 1 << 18  # bytes of text whose n-grams are looked up together
 LETTERS = byte_table([*range(0x61, 0x7B), *range(0x80, 0x100)])
 SPACE = 0x20
@@ -104,8 +105,13 @@ class Filters:
         return best, np.where(sums > 0, score, 1 / len(self.languages))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Filters | None:
-    """Filters from rows with a language; None if there are none."""
+def fit(
+    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int | None = PER_LANGUAGE
+) -> Filters | None:
+    """Filters from rows with a language; None if there are none. Without ``per_language`` all rows are counted.
+
+    An n-gram must be as common among all rows as ``LEAST_DOCS`` of a sample are, so the filters do not fill up.
+    """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("lang is not null and text is not null")
     sizes = settle(rows.groupBy("lang").count(), "languages")
@@ -114,30 +120,51 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         return None
     number = {r.lang: i for i, r in enumerate(per)}
     # The table of languages is written, so Spark sees its size and broadcasts it while it is small.
-    sample = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id", "text"), "count") < per_language).select("lang", "text")
+    sample = rows.join(sizes, "lang").filter(F.pmod(F.xxhash64("id", "text"), "count") < per_language) if per_language else rows
+    sample = sample.select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}  # arrays of n-grams and their documents, by language
+        waiting = 0
+
+        def merged():
+            for lang, got in held.items():
+                key = np.concatenate([g for g, _ in got])
+                seen, place = np.unique(key, return_inverse=True)
+                docs = np.bincount(place, np.concatenate([d for _, d in got]), len(seen)).astype(np.int64)
+                yield lang, seen, docs
+
+        def out():
+            for lang, seen, docs in merged():
+                yield pa.record_batch(
+                    [pa.array(np.full(len(seen), lang, np.int32)), pa.array(seen.view(np.int64)), pa.array(docs)],
+                    names=["lang", "gram", "docs"],
+                )
+            held.clear()
+
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, TOGETHER):
                 chars, at = spaced(part.column(1))
-                langs = np.array([number[x] for x in part.column(0).to_pylist()])
-                got = []
+                langs = [number[x] for x in part.column(0).to_pylist()]
                 for size in SIZES:
                     key, good = grams(chars, size)
                     for i in range(part.num_rows):
-                        mine = key[at[i] : at[i + 1]][good[at[i] : at[i + 1]]]
-                        got.append((langs[i], np.unique(mine)))
-                for lang in np.unique(langs):
-                    seen, docs = np.unique(np.concatenate([g for x, g in got if x == lang]), return_counts=True)
-                    yield pa.record_batch(
-                        [pa.array(np.full(len(seen), lang, np.int32)), pa.array(seen.view(np.int64)), pa.array(docs)],
-                        names=["lang", "gram", "docs"],
-                    )
+                        mine = np.unique(key[at[i] : at[i + 1]][good[at[i] : at[i + 1]]])
+                        held.setdefault(langs[i], []).append((mine, np.ones(len(mine))))
+                        waiting += len(mine)
+                if waiting > WAITING:
+                    for lang, seen, docs in list(merged()):
+                        held[lang] = [(seen, docs)]
+                    waiting = sum(len(g) for got in held.values() for g, _ in got)
+                    if waiting > WAITING // 2:
+                        yield from out()
+                        waiting = 0
+        yield from out()
 
     seen = sample.mapInArrow(count, "lang int, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
-    kept = {i: min(r["count"], per_language) for i, r in enumerate(per)}
+    kept = {i: min(r["count"], per_language or r["count"]) for i, r in enumerate(per)}
     learnt = F.get(F.array(*[F.lit(float(kept[i])) for i in range(len(per))]), F.col("lang"))
-    rate, needed = F.col("docs") / learnt, F.when(learnt < FEW_DOCS, 1).otherwise(LEAST_DOCS)
+    rate, needed = F.col("docs") / learnt, F.when(learnt < FEW_DOCS, 1).otherwise(F.greatest(F.lit(float(LEAST_DOCS)), learnt * (LEAST_DOCS / (per_language or PER_LANGUAGE))))
     by_gram = (
         seen.filter(F.col("docs") >= needed).withColumn("rate", rate)
         .groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate")).alias("of"))

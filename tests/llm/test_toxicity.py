@@ -125,3 +125,51 @@ def test_training_improves_on_its_start():
         z = net.logits(buckets, rows)
         share[epochs] = ((z >= toxicity.threshold(z[:cut], y[:cut])) == y)[cut:].mean()
     assert share[0] < 0.75 and share[12] > 0.95
+
+
+def test_every_labelled_row_is_learned_from(docs, spark, monkeypatch):
+    """Thousands of rows of one class and a text of more than 64 KB reach the filters, the net and the thresholds."""
+    rows, labels = corpus(300)
+    rows += [(1000 + i, f"ba mo {i}", "aa") for i in range(4000)] + [(9000, "ux ja " * 12_000, "bb")]
+    labels += [(i, 1, 0) for i, *_ in rows[300:]]
+    seen = {}
+
+    def spy(name, arg=0):
+        inner = getattr(toxicity, name)
+
+        def run(*args, **kwargs):
+            seen[name] = args[arg].select("text").distinct().count()
+            return inner(*args, **kwargs)
+
+        monkeypatch.setattr(toxicity, name, run)
+
+    for name in ("fit_languages", "start_net", "trained_net", "margins"):
+        spy(name)
+    model = toxicity.train(docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), shard_rows=500)
+    assert seen["fit_languages"] == len({t for _, t, _ in rows})
+    assert seen["start_net"] == seen["trained_net"] and seen["trained_net"] + seen["margins"] == seen["fit_languages"]
+    score = toxicity.scorer(model)(pa.array([t for _, t, _ in rows]))
+    assert np.mean((score >= 0.5) == np.array([t for *_, t in labels])) > 0.98
+
+
+def test_start_counts_all_rows(docs, spark):
+    rows, labels = corpus(200)
+    learned = docs(rows, 5).join(spark.createDataFrame(labels, "doc_id long, quality int, y int"), "doc_id")
+    buckets, at = toxicity.features(pa.array([t for _, t, _ in rows]))
+    y = np.array([t for *_, t in labels], float)
+    whole = toxicity.started(toxicity.bucket_counts(buckets, at, y), 0.25)
+    assert np.array_equal(whole.emb, toxicity.start_net(learned, 0.25).emb)
+
+
+def test_thresholds_of_all_rows_equal_those_in_memory(spark):
+    rng = np.random.default_rng(2)
+    z, y, lang = rng.normal(size=700).round(2), rng.integers(0, 2, 700), rng.integers(0, 3, 700)
+    z += y * lang  # apart, a little, not at all
+    z[lang == 2] += 9.0 * y[lang == 2]
+    y[lang == 0] = 0
+    rows = [(int(a), float(b), int(c)) for a, b, c in zip(lang, z, y)]
+    got = toxicity.thresholds(spark.createDataFrame(rows, "lang int, z double, y int").repartition(3))
+    for k in range(3):
+        mine = lang == k
+        want = (toxicity.threshold(z[mine], y[mine]), max(0, y[mine].sum()), (1 - y[mine]).sum())
+        assert np.allclose(got[k], want)
