@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from heliotab.functions.scalars import rounded
+from heliotab.operators import stations as station_module
 from heliotab.operators.aggregate import period_features
 from heliotab.operators.stations import (
     closest_station_ids,
@@ -194,6 +196,65 @@ def test_nearest_stations_far_north_and_date_line(spark, frame):
     assert ("fiji", "s0") in got and ("pole", "s2") in got
 
 
+def test_nearest_stations_many_sites_repeated_and_moved(spark, frame, monkeypatch):
+    """Small blocks and batches; an installation with two rows, in one cell and in several; null ids; equal distances."""
+    monkeypatch.setattr(station_module, "PAIRS", 50)
+    monkeypatch.setattr(station_module, "BLOCK_PAIRS", 200)
+    monkeypatch.setattr(station_module, "ROWS", 7)
+    rng = random.Random(4)
+    sites = [(f"i{n}", 50 + rng.random(), 8 + rng.random()) for n in range(120)]
+    sites += [("i3", 50.4, 8.4), ("i3", 50.4, 8.4), ("i5", 10.0, 8.0), (None, 50.5, 8.5), (None, 50.5, 8.6), ("none", None, 8.0), ("far", 0.0, 0.0)]
+    stations = [(f"s{n}", 50 + rng.random(), 8 + rng.random()) for n in range(30)]
+    stations += [("b", 50.5, 8.5), ("a", 50.5, 8.5), ("a", 50.5, 8.5), (None, 50.6, 8.5), ("z", 10.1, 8.0), ("n", None, None)]
+    near = nearest_stations(
+        frame(sites, "installation string, latitude double, longitude double"),
+        frame(stations, "station_id string, latitude double, longitude double"),
+    )
+
+    def km(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * 6371 * math.asin(math.sqrt(h))
+
+    want = {}
+    for i, a, b in sites:
+        for s, c, d in stations:
+            if None not in (a, c) and km(a, b, c, d) <= 50:
+                want.setdefault(i, []).append((round(km(a, b, c, d), 9), s is not None, s or ""))
+    got = {}
+    for r in near.orderBy("station_rank").collect():
+        own = got.setdefault(r.installation, [])
+        own.append((round(r.distance, 9), r.station_id is not None, r.station_id or ""))
+        assert r.station_rank == len(own)
+    assert got == {i: sorted(v) for i, v in want.items()}
+    lists = nearest_stations(
+        frame(sites, "installation string, latitude double, longitude double"),
+        frame(stations, "station_id string, latitude double, longitude double"),
+        listed=True,
+    )
+    texts = {r.installation: r.closest_weather_station_ids for r in closest_station_ids(lists).collect()}
+    assert texts == {r.installation: r.closest_weather_station_ids for r in closest_station_ids(near).collect()}
+    assert texts["i3"] == "|".join(s for _, known, s in sorted(want["i3"]) if known)
+    assert "z" in texts["i5"].split("|")
+
+
+def test_pairs_of_sites_and_stations_are_never_shuffled(spark, frame):
+    sites = frame([("a", 52.52, 13.405)], "installation string, latitude double, longitude double")
+    stations = frame([("s1", 52.39, 13.06)], "station_id string, latitude double, longitude double")
+    for df in (nearest_stations(sites, stations), closest_station_ids(nearest_stations(sites, stations, listed=True))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("MapInArrow")] and "Window" not in plan
+
+
+def test_rounded_is_round(spark):
+    values = [0.0, -0.0, 1.5, 0.0000005, 1.0000005, 2.0000015, -0.0000005, 12.3456785, 12.34567849999, 1e300, -1e300, 49.9999995, math.nan, math.inf, None]
+    rng = random.Random(1)
+    values += [rng.uniform(-50, 50) for _ in range(500)] + [rng.randrange(10**8) / 1e7 for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    different = df.filter(~(rounded("x", 6) + 0.0).eqNullSafe(F.round("x", 6) + 0.0)).collect()
+    assert different == []
+
+
 def test_unknown_installations(spark, frame):
     readings, sites = frame([("a",), ("b",), ("b",)], "installation string"), frame([("a",)], "installation string")
     assert [r.installation for r in unknown_installations(readings, sites).collect()] == ["b"]
