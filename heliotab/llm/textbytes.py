@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 MULT = 0x9E3779B97F4A7C15 | 1
-PIECE = 1 << 20  # bytes hashed at a time, which bounds the eight-byte arrays
+PIECE = 1 << 18  # bytes hashed at a time, which bounds the eight-byte arrays and the table of powers
 LONG_WORD = 1 << 16  # longer words are hashed one by one
 
 

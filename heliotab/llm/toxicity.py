@@ -151,6 +151,14 @@ def bucket_counts(buckets: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.nd
     return out
 
 
+def occurrences(buckets: np.ndarray) -> np.ndarray:
+    """How often each bucket is held; counted in blocks, as ``bincount`` makes eight bytes of every two."""
+    out = np.zeros(1 << BUCKET_BITS)
+    for lo in range(0, len(buckets), BLOCK):
+        out += np.bincount(buckets[lo : lo + BLOCK].ravel(), minlength=len(out))
+    return out
+
+
 def start_values(net: Net, counts: np.ndarray, rate: float) -> None:
     """The warm start: the first dimension gets the log-odds of buckets whose documents clearly lean to the toxic class."""
     for seen, bad in zip(*counts):
@@ -351,7 +359,7 @@ def trained_net(learned: DataFrame, start: Net, rate: float, shards: int) -> Net
             buckets, size, y = (np.concatenate(x) for x in zip(*got))
             got.clear()
             net = train_net(buckets, np.concatenate(([0], np.cumsum(size))), y, net=copy_of(sent.value), rate=rate)
-            held = np.bincount(buckets.ravel(), minlength=1 << BUCKET_BITS).astype(np.float64)
+            held = occurrences(buckets)
             moved = (net.emb.astype(np.float64) - sent.value["emb"]) * held[:, None]
             rest = np.concatenate([*(f.ravel() for f in net.filters), net.bias, net.out, [net.base]]).astype(np.float64)
             return np.concatenate([moved.ravel(), held, rest * len(y), [len(y)]])

@@ -1,11 +1,12 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from heliotab.llm import toxicity
+from heliotab.llm import textbytes, toxicity
 from heliotab.llm.registry import QUERIES
 
 PLAIN = {"aa": ["ba", "mo", "tir", "sel"], "bb": ["ux", "ja", "len", "ko"]}
@@ -173,3 +174,20 @@ def test_thresholds_of_all_rows_equal_those_in_memory(spark):
         mine = lang == k
         want = (toxicity.threshold(z[mine], y[mine]), max(0, y[mine].sum()), (1 - y[mine]).sum())
         assert np.allclose(got[k], want)
+
+
+def test_memory_of_a_worker_is_bounded_by_blocks():
+    buckets = np.random.default_rng(2).integers(0, 1 << 16, (2_000_000, 4)).astype(np.uint16)
+    tracemalloc.start()
+    try:
+        held = toxicity.occurrences(buckets)
+        assert tracemalloc.get_traced_memory()[1] < 16 << 20
+        textbytes._POWERS.clear()
+        tracemalloc.reset_peak()
+        data = np.full(3_000_000, 0x61, np.uint8)
+        found = textbytes.span_hashes(data, np.arange(0, 2_999_990, 10), np.arange(7, 2_999_997, 10))
+        assert tracemalloc.get_traced_memory()[1] < 48 << 20 and len(set(found.tolist())) == 1
+        assert sum(x.nbytes for pair in textbytes._POWERS.values() for x in pair) <= 8 << 20
+    finally:
+        tracemalloc.stop()
+    assert held.sum() == buckets.size and held[buckets[0, 0]] == (buckets == buckets[0, 0]).sum()
