@@ -4,6 +4,8 @@ import math
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,6 +248,43 @@ def test_pairs_of_sites_and_stations_are_never_shuffled(spark, frame):
         assert "Exchange" not in plan[: plan.index("MapInArrow")] and "Window" not in plan
 
 
+@pytest.mark.parametrize("rows", [5, 1000])
+def test_an_installation_crosses_from_python_as_lists_not_as_pairs(rows):
+    stations = pa.record_batch({"_block": [1] * 30, "_site": [False] * 30, "installation": pa.nulls(30, pa.string()), "station_id": [f"s{n:02d}" for n in range(30)], "latitude": [50 + n / 1000 for n in range(30)], "longitude": [8.0] * 30})
+    sites = pa.record_batch({"_block": [1] * 4, "_site": [True] * 4, "installation": list("abcd"), "station_id": pa.nulls(4, pa.string()), "latitude": [50.0, 50.0145, 50.029, 60.0], "longitude": [8.0] * 4})
+    sent = [r for b in station_module._rank_blocks(50.0, False, 40, rows)(iter([stations, sites])) for r in b.to_pylist()]
+    assert len(sent) == 3 * -(-30 // rows)
+    got = {}
+    for r in sent:
+        own = got.setdefault(r["installation"], [])
+        assert r["before"] == len(own) and len(r["station_ids"]) == len(r["distances"]) <= rows
+        own += zip(r["distances"], r["station_ids"])
+    assert sorted(got) == ["a", "b", "c"] and all(len(own) == 30 and own == sorted(own) for own in got.values())
+    assert [s for _, s in got["c"]] == [f"s{n:02d}" for n in reversed(range(30))]
+
+
+@pytest.mark.parametrize("one_by_one", [1, 10**9])
+@pytest.mark.parametrize("ordered", [True, False])
+def test_by_distance_is_exact(monkeypatch, one_by_one, ordered):
+    """Equal distances, distances a few units in the last place apart, and any others; as a sort by three columns."""
+    monkeypatch.setattr(station_module, "ONE_BY_ONE", one_by_one)
+    rng = np.random.default_rng(3)
+    for most, longest in ((50.0, 3), (50.0, 400), (20037.0, 90), (0.0, 20)):
+        size = rng.integers(1, longest, 60)
+        group = np.repeat(np.arange(len(size)), size)
+        distance = rng.choice([0.0, most / 7, most / 3, most], len(group))
+        near = rng.random(len(group)) < 0.7
+        for _ in range(3):
+            distance = np.where(near & (rng.random(len(group)) < 0.5) & (distance > 0), np.nextafter(distance, 0), distance)
+        distance = np.where(rng.random(len(group)) < 0.3, rng.random(len(group)) * most, distance)
+        t = rng.integers(0, 50, len(group))
+        if ordered:
+            t = t[np.lexsort((t, group))]
+        want = np.lexsort((t, distance, group))
+        got_t, got_distance = station_module._by_distance(size, t, distance, most, ordered)
+        assert got_t.tolist() == t[want].tolist() and got_distance.tolist() == distance[want].tolist()
+
+
 def test_rounded_is_round(spark):
     values = [0.0, -0.0, 1.5, 0.0000005, 1.0000005, 2.0000015, -0.0000005, 12.3456785, 12.34567849999, 1e300, -1e300, 49.9999995, math.nan, math.inf, None]
     rng = random.Random(1)
